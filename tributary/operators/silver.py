@@ -53,6 +53,23 @@ def clean_events(df: DataFrame) -> DataFrame:
     return timed.withColumns(changes)
 
 
+# Columns the Silver steps read (besides the quality columns that exist).
+SILVER_INPUT_COLUMNS = (
+    "event_id", "meta_id", "event_type", "event_datetime", "event_unix_timestamp", "wiki",
+    "domain", "stream_name", "namespace", "page_title", "page_url", "event_user", "is_bot",
+    "is_minor", "is_patrolled", "server_name", "comment", "parsed_comment",
+    "bronze_ingested_at", "source_system", "message_key", "kafka_topic", "kafka_partition",
+    "kafka_offset", "kafka_timestamp",
+)
+
+
+def silver_inputs(df: DataFrame) -> DataFrame:
+    """Keep only what Silver reads, before the dedup carries whole rows through
+    its sort and shuffle (the raw message and error text are not needed)."""
+    extra = [c for c in QUALITY_COLUMNS if c in df.columns]
+    return df.select(*SILVER_INPUT_COLUMNS, *extra)
+
+
 def silver_projection(df: DataFrame) -> DataFrame:
     """The 24 Silver columns plus the quality columns that exist."""
     extra = [c for c in QUALITY_COLUMNS if c in df.columns]
@@ -66,4 +83,5 @@ def transform_to_silver(loaded: DataFrame) -> DataFrame:
     the lowest (topic, partition, offset) so reruns give the same rows. One
     shuffle, on ``meta_id``; the output stays hash-partitioned on it.
     """
-    return silver_projection(clean_events(keep_one_per_key(structural_filter(loaded), "meta_id")))
+    deduped = keep_one_per_key(silver_inputs(structural_filter(loaded)), "meta_id")
+    return silver_projection(clean_events(deduped))

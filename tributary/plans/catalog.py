@@ -35,7 +35,7 @@ from tributary.operators.star import (
     build_fact_recent_changes,
 )
 from tributary.schemas import UNKNOWN_LABEL
-from tributary.session import checkpoint_dir, use_utc
+from tributary.session import cut_lineage, use_utc
 from tributary.sinks.kafka import kafka_records
 from tributary.sources.feed import change_feed, feed_events
 from tributary.sources.kafka import parse_raw_messages, to_bronze
@@ -90,8 +90,7 @@ def _silver(spark, sf_dir) -> DataFrame:
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return cut_lineage(df)
 
 
 def _model(spark, sf_dir) -> dict[str, DataFrame]:

@@ -43,8 +43,8 @@ from tributary.schemas import (
     QUARANTINE_PARTITIONS,
     SILVER_PARTITIONS,
 )
-from tributary.session import checkpoint_dir
-from tributary.sinks.lake import LayerWriter, write_tables
+from tributary.session import cut_lineage
+from tributary.sinks.lake import LayerWriter, run_concurrently, write_tables
 from tributary.sources.kafka import parse_raw_messages, to_bronze
 from tributary.sources.lake import (
     has_data_files,
@@ -82,8 +82,7 @@ class LakeConfig:
 def _checkpoint_top_k(df: DataFrame) -> DataFrame:
     # A top-k result (≤ 100 rows) reused by several joins: computed once and
     # cut from its lineage in the shared checkpoint folder.
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return cut_lineage(df)
 
 
 # --- W4 ----------------------------------------------------------------------
@@ -149,8 +148,6 @@ def run_bronze_to_silver(
             config.path("silver"), config.layer_format, "overwrite",
             config.silver_partitions, overwrite_partitions="dynamic",
         )
-        silver_path = silver_writer.write(transform_to_silver(valid))
-
         windowed_run = start is not None or end is not None or lookback_days is not None
         observation = Observation("quarantine")
         rejected = select_quarantine_columns(quarantine).observe(
@@ -161,7 +158,13 @@ def run_bronze_to_silver(
             config.quarantine_partitions,
             overwrite_partitions="dynamic" if windowed_run else "static",
         )
-        quarantine_path = quarantine_writer.write(rejected)
+        paths = run_concurrently(
+            {
+                "silver": lambda: silver_writer.write(transform_to_silver(valid)),
+                "quarantine": lambda: quarantine_writer.write(rejected),
+            }
+        )
+        silver_path, quarantine_path = paths["silver"], paths["quarantine"]
         rows = observation.get.get("rows", 0)
     finally:
         windowed.unpersist()
@@ -209,8 +212,16 @@ def read_gold_tables(spark: SparkSession, config: LakeConfig, names=GOLD_TABLES)
     return {n: read_gold_table(spark, config.path("gold"), n, config.layer_format) for n in names}
 
 
-def run_checks(spark: SparkSession, config: LakeConfig, skip_bronze: bool = False) -> list[tuple]:
-    """Bronze (optional), Silver, quarantine and Gold checks; one report."""
+def run_checks(
+    spark: SparkSession,
+    config: LakeConfig,
+    skip_bronze: bool = False,
+    raise_on_failure: bool = True,
+) -> list[tuple]:
+    """Bronze (optional), Silver, quarantine and Gold checks; one report.
+
+    Returns every metric row; raises once, listing all failures, unless
+    ``raise_on_failure`` is false."""
     frames = []
     if not skip_bronze:
         frames.append(bronze_metrics(read_bronze(spark, config.path("bronze"), config.layer_format)))
@@ -223,7 +234,10 @@ def run_checks(spark: SparkSession, config: LakeConfig, skip_bronze: bool = Fals
     )
     frames.append(quarantine_metrics(quarantine, spark))
     frames.append(gold_metrics(read_gold_tables(spark, config)))
-    return raise_on_failures(metrics_report(*frames))
+    report = metrics_report(*frames)
+    if raise_on_failure:
+        return raise_on_failures(report)
+    return [tuple(r) for r in report.collect()]
 
 
 def run_dashboard_check(spark: SparkSession, config: LakeConfig, min_fact_rows: int = 1) -> list[tuple]:
@@ -242,12 +256,13 @@ def run_scheduled(
     strict: bool = False,
     min_fact_rows: int = 1,
     as_of: dt.datetime | None = None,
+    raise_on_failure: bool = True,
 ) -> dict:
     """The scheduled order: Silver, Gold, checks without Bronze, dashboard check."""
     silver = run_bronze_to_silver(
         spark, config, late_arrival_days, lookback_days=lookback_days, strict=strict, as_of=as_of
     )
     gold = run_silver_to_gold(spark, config)
-    checks = run_checks(spark, config, skip_bronze=True)
+    checks = run_checks(spark, config, skip_bronze=True, raise_on_failure=raise_on_failure)
     dashboard = run_dashboard_check(spark, config, min_fact_rows)
     return {"silver": silver, "gold": gold, "checks": checks, "dashboard": dashboard}

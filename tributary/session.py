@@ -52,6 +52,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def cut_lineage(df):
+    """Reliable checkpoint into the shared checkpoint folder, computed once.
+
+    ``checkpoint(eager=True)`` runs one job to count and a second to write
+    the files, which recomputes the frame unless it is persisted; persisting
+    first makes the write read the cached blocks. The files survive executor
+    loss; the cache is dropped once they exist.
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tributary"):
     """Session for tests and the benchmark (local mode)."""
     spark = (

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 
 from tributary.sources.lake import partition_columns
 
+T = TypeVar("T")
+
 
 def write_layer(
     df: DataFrame,
@@ -63,13 +67,35 @@ class LayerWriter:
 
 
 def write_tables(
-    writer: LayerWriter, tables: Mapping[str, DataFrame], partitions: Mapping[str, str]
+    writer: LayerWriter,
+    tables: Mapping[str, DataFrame],
+    partitions: Mapping[str, str],
+    parallel: int = 8,
 ) -> dict[str, str]:
-    """Each table to its own folder with its own partition columns (K6)."""
-    return {
-        name: writer.write(df, child=name, partition_by=partitions.get(name, ""))
-        for name, df in tables.items()
-    }
+    """Each table to its own folder with its own partition columns (K6).
+
+    The writes are independent jobs, so they are submitted from a small
+    thread pool: Spark schedules their stages side by side, and many small
+    jobs no longer leave most executor slots idle while each one finishes.
+    Frames persisted upstream are computed once (concurrent tasks wait for the
+    block being cached instead of computing it twice).
+    """
+    return run_concurrently(
+        {
+            name: (lambda df=df, name=name: writer.write(df, child=name, partition_by=partitions.get(name, "")))
+            for name, df in tables.items()
+        },
+        parallel,
+    )
+
+
+def run_concurrently(actions: Mapping[str, Callable[[], T]], parallel: int = 8) -> dict[str, T]:
+    """Run independent Spark actions from a thread pool; re-raise the first error."""
+    if parallel <= 1 or len(actions) <= 1:
+        return {name: action() for name, action in actions.items()}
+    with ThreadPoolExecutor(max_workers=min(parallel, len(actions))) as pool:
+        futures = {name: pool.submit(action) for name, action in actions.items()}
+        return {name: future.result() for name, future in futures.items()}
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

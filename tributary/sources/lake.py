@@ -45,20 +45,19 @@ _NO_DATA_CONDITIONS = ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")
 def has_data_files(spark: SparkSession, path: str) -> bool:
     """True when the folder (recursively) holds a data file.
 
-    Hidden and ``_``-prefixed files (``_SUCCESS``, checkpoints) are skipped by
-    Spark's own file listing; any failure counts as "no data".
+    Spark's file listing already skips hidden and ``_``-prefixed files
+    (``_SUCCESS``, ``_committed_*``); the listing is metadata work on the
+    driver (parallelised by Spark for large folders), no task reads data.
+    Any failure counts as "no data".
     """
     try:
         listing = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .load(path)
-            .select("path")
         )
-        return not listing.isEmpty()
-    except AnalysisException:
-        return False
-    except Exception:  # noqa: BLE001 - any storage error means "not readable"
+        return len(listing.inputFiles()) > 0
+    except Exception:  # noqa: BLE001 - missing path or storage error means "no"
         return False
 
 
@@ -68,20 +67,28 @@ def read_layer(
     source_format: str = "parquet",
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Generic layer scan (S7); Parquet folders without data raise a clear error."""
-    if source_format == "parquet" and not has_data_files(spark, path):
-        raise MissingDataError(
-            f"No Parquet data files found at {path}. "
-            "Run the upstream step before reading this layer."
-        )
+    """Generic layer scan (S7); a Parquet folder without data raises a clear error.
+
+    For Parquet the guard is the read itself: Spark reports a missing folder or
+    one without data files (nothing to take a schema from) while planning,
+    before any job runs.
+    """
     reader = spark.read.format(source_format)
     if schema is not None:
         reader = reader.schema(schema)
+        if source_format == "parquet" and not has_data_files(spark, path):
+            raise MissingDataError(
+                f"No Parquet data files found at {path}. "
+                "Run the upstream step before reading this layer."
+            )
     try:
         return reader.load(path)
     except AnalysisException as exc:
         if any(cond in str(exc) for cond in _NO_DATA_CONDITIONS):
-            raise MissingDataError(f"No readable data at {path}.") from exc
+            raise MissingDataError(
+                f"No Parquet data files found at {path}. "
+                "Run the upstream step before reading this layer."
+            ) from exc
         raise
 
 
