@@ -158,14 +158,15 @@ def metrics_report(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def raise_on_failures(report: DataFrame) -> list[tuple]:
+def raise_on_failures(report: DataFrame | list[tuple]) -> list[tuple]:
     """Q15: collect the (few) metric rows, then raise once listing every failure."""
-    rows = report.collect()  # one row per metric, bounded by the check list
-    failures = [r for r in rows if r["failed"]]
+    if isinstance(report, DataFrame):
+        report = [tuple(r) for r in report.collect()]  # one row per metric, bounded
+    failures = [r for r in report if r[3]]
     if failures:
-        lines = "\n".join(f"- {r['check']}.{r['metric']} = {r['value']}" for r in failures)
+        lines = "\n".join(f"- {c}.{m} = {v}" for c, m, v, _ in failures)
         raise ChecksFailedError(f"Lakehouse quality checks failed:\n{lines}")
-    return [tuple(r) for r in rows]
+    return report
 
 
 def dashboard_readiness(

@@ -93,29 +93,32 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def _model(spark, sf_dir) -> dict[str, DataFrame]:
-    # Gold reads a stored Silver table, as the Silver -> Gold job does: the
-    # Silver frame is checkpointed once into the shared checkpoint folder, so
-    # queries that use several Gold tables do not re-derive it per table.
-    modeled = add_star_schema_keys(_checkpointed(_silver(spark, sf_dir)))
+def _model(spark, sf_dir, cut: bool = False) -> dict[str, DataFrame]:
+    """Dimensions and fact. With ``cut`` (queries that read several Gold
+    tables) Silver is checkpointed once into the shared checkpoint folder, as
+    the Silver -> Gold job reads a stored Silver, instead of being re-derived
+    for every table."""
+    silver = _silver(spark, sf_dir)
+    modeled = add_star_schema_keys(_checkpointed(silver) if cut else silver)
     tables = build_dimensions(modeled)
     tables["fact_recent_changes"] = build_fact_recent_changes(modeled)
     return tables
 
 
-def _snapshot(spark, sf_dir) -> DataFrame:
-    m = _model(spark, sf_dir)
+def _snapshot(spark, sf_dir, model: dict[str, DataFrame] | None = None) -> DataFrame:
+    m = model or _model(spark, sf_dir)
     return agg.recent_events_snapshot(
         m["fact_recent_changes"], m["dim_wiki"], m["dim_page"], m["dim_user"],
         m["dim_event_type"], materialize=_checkpointed,
     )
 
 
-def _gold(spark, sf_dir) -> dict[str, DataFrame]:
-    """All 14 Gold tables (the snapshot only when asked for)."""
-    m = _model(spark, sf_dir)
+def _gold(spark, sf_dir, cut: bool = False, snapshot: bool = False) -> dict[str, DataFrame]:
+    """Gold tables from one model; the snapshot (an eager top-k) only when asked."""
+    m = _model(spark, sf_dir, cut)
     fact = m["fact_recent_changes"]
-    m.update(
+    tables = dict(m)
+    tables.update(
         {
             "agg_dashboard_kpis": agg.agg_dashboard_kpis(fact),
             "agg_events_by_date": agg.agg_events_by_date(fact),
@@ -126,12 +129,13 @@ def _gold(spark, sf_dir) -> dict[str, DataFrame]:
             "agg_top_pages": agg.agg_top_pages(fact, m["dim_page"]),
         }
     )
-    return m
+    if snapshot:
+        tables["recent_events_snapshot"] = _snapshot(spark, sf_dir, m)
+    return tables
 
 
 def _serving_data(spark, sf_dir) -> dict[str, DataFrame]:
-    tables = _gold(spark, sf_dir)
-    tables["recent_events_snapshot"] = _snapshot(spark, sf_dir)
+    tables = _gold(spark, sf_dir, cut=True, snapshot=True)
     return serving.load_dashboard_data(tables, MAX_TOP_N, MAX_RECENT_ROWS)
 
 
@@ -329,16 +333,12 @@ def q_check_quarantine(spark, sf_dir):
 
 def q_check_gold(spark, sf_dir):
     """Q14."""
-    tables = _gold(spark, sf_dir)
-    tables["recent_events_snapshot"] = _snapshot(spark, sf_dir)
-    return checks.gold_metrics(tables)
+    return checks.gold_metrics(_gold(spark, sf_dir, cut=True, snapshot=True))
 
 
 def q_dashboard_readiness(spark, sf_dir):
     """Q16, Q17."""
-    tables = _gold(spark, sf_dir)
-    tables["recent_events_snapshot"] = _snapshot(spark, sf_dir)
-    return checks.dashboard_readiness(tables, min_fact_rows=1)
+    return checks.dashboard_readiness(_gold(spark, sf_dir, cut=True, snapshot=True), min_fact_rows=1)
 
 
 # --- serving ----------------------------------------------------------------------------

@@ -40,10 +40,30 @@ def write_layer(
         writer = writer.option("partitionOverwriteMode", overwrite_partitions)
     if columns:
         writer = writer.partitionBy(*columns)
-    writer.save(path)
+    try:
+        writer.save(path)
+    except Exception as exc:
+        if any(marker in str(exc) for marker in _MISSING_CONTAINER_MARKERS):
+            raise MissingContainerError(
+                f"The storage container for {path} does not exist. "
+                "Create it in the storage account first, then rerun the job."
+            ) from None
+        raise
     return path
 
 
+# Error texts of object stores whose container/bucket is missing.
+_MISSING_CONTAINER_MARKERS = (
+    "FilesystemNotFound",
+    "specified filesystem does not exist",
+    "NoSuchBucket",
+)
+
+
+class MissingContainerError(RuntimeError):
+    """The target container/bucket of a write does not exist."""
+
+
 @dataclass(frozen=True)
 class LayerWriter:
     """Settings of one layer: where, in which format, how, partitioned by what."""

@@ -3,6 +3,8 @@
 from tributary.sources.feed import change_feed
 from tributary.sources.kafka import (
     load_from_kafka,
+    load_parsed_bronze,
+    load_transformed,
     parse_raw_messages,
     raw_envelope,
     read_kafka,
@@ -26,6 +28,8 @@ __all__ = [
     "has_data_files",
     "lake_path",
     "load_from_kafka",
+    "load_parsed_bronze",
+    "load_transformed",
     "parse_raw_messages",
     "partition_columns",
     "raw_envelope",

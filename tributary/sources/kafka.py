@@ -128,3 +128,17 @@ def parse_raw_messages(raw_df: DataFrame) -> DataFrame:
 def load_from_kafka(kafka_df: DataFrame, ingested_at=None) -> DataFrame:
     """Kafka records -> parsed table (S13, debugging path)."""
     return parse_raw_messages(raw_envelope(kafka_df, ingested_at))
+
+
+def load_parsed_bronze(spark: SparkSession, bronze_path: str, source_format: str = "parquet"):
+    """Bronze folder -> parsed table."""
+    from tributary.sources.lake import read_bronze
+
+    return parse_raw_messages(read_bronze(spark, bronze_path, source_format))
+
+
+def load_transformed(spark: SparkSession, bronze_path: str, source_format: str = "parquet"):
+    """Bronze folder -> parsed -> Silver clean-up, without the quality stage."""
+    from tributary.operators.silver import transform_to_silver
+
+    return transform_to_silver(load_parsed_bronze(spark, bronze_path, source_format))
