@@ -103,8 +103,7 @@ def run_kafka_to_bronze(
     bronze = to_bronze(kafka_df, ingested_at)
     path = config.path("bronze")
     if only_new_offsets and has_data_files(spark, path):
-        landed = read_bronze(spark, path, config.layer_format).select(*BRONZE_KEY)
-        bronze = bronze.join(landed, list(BRONZE_KEY), "left_anti")
+        bronze = _skip_landed_offsets(bronze, read_bronze(spark, path, config.layer_format))
     writer = LayerWriter(path, config.layer_format, "append", config.bronze_partitions)
     return writer.write(bronze)
 
@@ -131,6 +130,26 @@ def start_kafka_to_bronze_stream(
     )
 
 
+def _skip_landed_offsets(batch: DataFrame, landed: DataFrame) -> DataFrame:
+    """Drop records of ``batch`` whose (topic, partition, offset) is in Bronze.
+
+    Only landed offsets at or above the batch's lowest offset per
+    (topic, partition) can collide, so the landed side is cut to that range
+    before the anti join instead of shuffling all of Bronze. The lookup of
+    lowest offsets has one row per Kafka partition of the subscription (a
+    bound set by the topic configuration), so it is broadcast.
+    """
+    topic_partition = ["kafka_topic", "kafka_partition"]
+    lowest = batch.groupBy(*topic_partition).agg(F.min("kafka_offset").alias("_from"))
+    candidates = (
+        landed.select(*BRONZE_KEY)
+        .join(F.broadcast(lowest), topic_partition)
+        .where(F.col("kafka_offset") >= F.col("_from"))
+        .select(*BRONZE_KEY)
+    )
+    return batch.join(candidates, list(BRONZE_KEY), "left_anti")
+
+
 # --- W2 ----------------------------------------------------------------------
 
 def _observed_rows(observation: Observation, observed: DataFrame) -> int:
