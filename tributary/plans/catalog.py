@@ -10,6 +10,7 @@ clock) so results compare with engines that have no session zone.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ from tributary.operators.star import (
     build_fact_recent_changes,
 )
 from tributary.schemas import UNKNOWN_LABEL
-from tributary.session import cut_lineage, use_utc
+from tributary.session import checkpoint_dir, cut_lineage, use_utc
 from tributary.sinks.kafka import kafka_records
 from tributary.sources.feed import change_feed, feed_events
 from tributary.sources.kafka import parse_raw_messages, to_bronze
@@ -212,6 +213,69 @@ def q_dashboard_base(spark, sf_dir):
     return _ntz(base)
 
 
+# --- jobs and streams over a scratch lake in the shared checkpoint folder ----------
+
+def _scratch_lake(spark) -> "jobs.LakeConfig":
+    """A fresh lake folder under ``spark.checkpoint.dir`` (shared storage)."""
+    from tributary.plans import jobs
+
+    root = checkpoint_dir(spark).rstrip("/")
+    if "://" not in root and not root.startswith("file:"):
+        root = f"file:{root}"
+    return jobs.LakeConfig(base_uri=f"{root}/lake-{uuid.uuid4().hex}")
+
+
+def _landed_lake(spark, sf_dir):
+    from tributary.plans import jobs
+
+    config = _scratch_lake(spark)
+    feed = change_feed(_table(spark, sf_dir, "events"))
+    jobs.run_kafka_to_bronze(spark, config, feed, ingested_at=F.col("ingested_at"))
+    return config
+
+
+def q_stream_bronze(spark, sf_dir):
+    """The feed as Kafka-layout files, landed by the streaming
+    Bronze job (available-now trigger, checkpointed offsets), read back. The
+    stream stamps its own ingest time, so the two clock columns are left out."""
+    from tributary.plans import jobs
+    from tributary.sources.kafka import read_kafka_layout_files
+    from tributary.sources.lake import lake_path, read_bronze
+
+    use_utc(spark)
+    config = _scratch_lake(spark)
+    source = lake_path(config.base_uri, "kafka_files")
+    change_feed(_table(spark, sf_dir, "events")).drop("ingested_at").write.parquet(source)
+    stream = read_kafka_layout_files(spark, source, streaming=True)
+    query = jobs.start_kafka_to_bronze_stream(spark, config, stream, available_now=True)
+    query.awaitTermination()
+    landed = read_bronze(spark, config.path("bronze"))
+    return _ntz(landed.drop("bronze_ingested_at", "bronze_ingested_date"))
+
+
+def q_job_silver(spark, sf_dir):
+    """Land Bronze, run Bronze -> Silver, read Silver back."""
+    from tributary.plans import jobs
+    from tributary.sources.lake import read_layer
+
+    use_utc(spark)
+    config = _landed_lake(spark, sf_dir)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    return _ntz(read_layer(spark, config.path("silver")))
+
+
+def q_job_gold_fact(spark, sf_dir):
+    """Silver -> Gold job, the fact table read back."""
+    from tributary.plans import jobs
+    from tributary.sources.lake import read_gold_table
+
+    use_utc(spark)
+    config = _landed_lake(spark, sf_dir)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    jobs.run_silver_to_gold(spark, config)
+    return _ntz(read_gold_table(spark, config.path("gold"), "fact_recent_changes"))
+
+
 # --- Kafka publishing --------------------------------------------------------------
 
 def q_kafka_publish(spark, sf_dir):
@@ -450,6 +514,9 @@ def queries() -> dict[str, Query]:
             "recent_events_snapshot": q_recent_events_snapshot,
             "dashboard_base": q_dashboard_base,
             "kafka_publish": q_kafka_publish,
+            "stream_bronze": q_stream_bronze,
+            "job_silver": q_job_silver,
+            "job_gold_fact": q_job_gold_fact,
             "clean_text_pages": q_clean_text_pages,
             "dim_date_orders": q_dim_date_orders,
             "duplicate_keys": q_duplicate_keys,

@@ -418,6 +418,9 @@ def oracle_sql() -> dict[str, str]:
         {
             "recent_events_snapshot": "SELECT * FROM recent_events_snapshot",
             "dashboard_base": "SELECT * EXCLUDE (recent_change_key) FROM base",
+            "stream_bronze": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
+            "job_silver": "SELECT * FROM silver",
+            "job_gold_fact": "SELECT * FROM fact_recent_changes",
             "kafka_publish": f"""
 SELECT n AS event_id,
        CASE WHEN w <> '' AND t <> '' THEN w || ':' || t
