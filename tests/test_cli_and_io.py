@@ -70,3 +70,12 @@ def test_lenient_date_coercion(spark):
     assert got[0]["t"] == dt.datetime(2024, 1, 5, 10, 0) and got[0]["d"] == dt.date(2024, 1, 5)
     assert got[1]["t"] is None and got[1]["d"] is None
     assert got[2]["t"] is None
+
+
+def test_scheduled_order(spark, tmp_lake):
+    config = jobs.LakeConfig(base_uri=f"file:{tmp_lake}")
+    land(spark, config)
+    result = jobs.run_scheduled(spark, config, as_of=dt.datetime(2024, 3, 1), raise_on_failure=False)
+    assert set(result) == {"silver", "gold", "checks", "dashboard"}
+    assert not any(check == "bronze" for check, *_ in result["checks"])
+    assert result["silver"].quarantine_rows > 0

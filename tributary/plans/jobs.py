@@ -200,9 +200,7 @@ def run_bronze_to_silver(
         )
         windowed_run = start is not None or end is not None or lookback_days is not None
         observation = Observation("quarantine")
-        rejected = select_quarantine_columns(quarantine).observe(
-            observation, F.count(F.lit(1)).alias("rows")
-        )
+        rejected = select_quarantine_columns(quarantine)
         quarantine_writer = LayerWriter(
             config.path("quarantine"), config.layer_format, "overwrite",
             config.quarantine_partitions,
@@ -211,7 +209,9 @@ def run_bronze_to_silver(
         paths = run_concurrently(
             {
                 "silver": lambda: silver_writer.write(transform_to_silver(valid)),
-                "quarantine": lambda: quarantine_writer.write(rejected),
+                "quarantine": lambda: quarantine_writer.write(
+                    rejected, observe=(observation, [F.count(F.lit(1)).alias("rows")])
+                ),
             }
         )
         silver_path, quarantine_path = paths["silver"], paths["quarantine"]

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from tributary.sources.lake import partition_columns
 
@@ -22,6 +22,7 @@ def write_layer(
     partition_by: str | Sequence[str] | None = None,
     overwrite_partitions: str | None = None,
     rebalance: bool = True,
+    observe: tuple[Observation, Sequence[Column]] | None = None,
 ) -> str:
     """Write one layer or table folder and return its path (K1).
 
@@ -31,10 +32,17 @@ def write_layer(
       ``REBALANCE`` hint that adaptive execution sizes and splits when one
       value is hot), so each task writes few, large files per partition
       instead of every task writing a file into every partition.
+    * ``observe`` attaches metrics after the rebalance, in the stage that
+      writes: updates from result tasks are applied once per partition even
+      when a lost executor forces tasks to rerun, which would not hold for an
+      observation placed in a map stage below the shuffle.
     """
     columns = partition_columns(partition_by)
     if columns and rebalance:
         df = df.hint("rebalance", *columns)
+    if observe is not None:
+        observation, metrics = observe
+        df = df.observe(observation, *metrics)
     writer = df.write.mode(mode).format(output_format)
     if overwrite_partitions:
         writer = writer.option("partitionOverwriteMode", overwrite_partitions)
@@ -74,7 +82,13 @@ class LayerWriter:
     partition_by: str = ""
     overwrite_partitions: str | None = None
 
-    def write(self, df: DataFrame, child: str | None = None, partition_by: str | None = None) -> str:
+    def write(
+        self,
+        df: DataFrame,
+        child: str | None = None,
+        partition_by: str | None = None,
+        observe: tuple[Observation, Sequence[Column]] | None = None,
+    ) -> str:
         path = self.path.rstrip("/") + (f"/{child.strip('/')}" if child else "")
         return write_layer(
             df,
@@ -83,6 +97,7 @@ class LayerWriter:
             output_format=self.output_format,
             partition_by=self.partition_by if partition_by is None else partition_by,
             overwrite_partitions=self.overwrite_partitions,
+            observe=observe,
         )
 
 
