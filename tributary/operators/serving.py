@@ -131,26 +131,30 @@ def metric_cards(
     stale_after_minutes: int = DEFAULT_STALE_AFTER_MINUTES,
     as_of: dt.datetime | None = None,
 ) -> DataFrame:
-    """V1: one row of headline figures (all inputs are one-row frames)."""
+    """V1: one row of headline figures.
+
+    The three inputs are one-row frames; they are stacked and folded into a
+    single row by one aggregate (each column comes from exactly one input).
+    """
     totals = kpis.agg(
         null_safe_long(F.first("events")).alias("total_events"),
         null_safe_long(F.first("bot_events")).alias("bot_events"),
         null_safe_long(F.first("unique_users")).alias("unique_users"),
         null_safe_long(F.first("unique_pages")).alias("unique_pages"),
     )
-    fresh = freshness_status(recent, stale_after_minutes, as_of)
-    return (
-        totals.crossJoin(selected_events)  # one row x one row x one row
-        .crossJoin(fresh)
-        .select(
-            "selected_events",
-            "total_events",
-            safe_percent("bot_events", "total_events").alias("bot_share_pct"),
-            "unique_users",
-            "unique_pages",
-            "freshness",
-            "freshness_detail",
-        )
+    fresh = freshness_status(recent, stale_after_minutes, as_of).drop("latest_event")
+    stacked = totals.unionByName(selected_events, allowMissingColumns=True).unionByName(
+        fresh, allowMissingColumns=True
+    )
+    row = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    return row.select(
+        "selected_events",
+        "total_events",
+        safe_percent("bot_events", "total_events").alias("bot_share_pct"),
+        "unique_users",
+        "unique_pages",
+        "freshness",
+        "freshness_detail",
     )
 
 

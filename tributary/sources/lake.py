@@ -46,17 +46,18 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
     """True when the folder (recursively) holds a data file.
 
     Spark's file listing already skips hidden and ``_``-prefixed files
-    (``_SUCCESS``, ``_committed_*``); the listing is metadata work on the
-    driver (parallelised by Spark for large folders), no task reads data.
-    Any failure counts as "no data".
+    (``_SUCCESS``, ``_committed_*``). Only file paths are selected, so no file
+    content is read, and ``isEmpty`` moves at most one row to the driver, not
+    the folder's file list. Any failure counts as "no data".
     """
     try:
         listing = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .load(path)
+            .select("path")
         )
-        return len(listing.inputFiles()) > 0
+        return not listing.isEmpty()
     except Exception:  # noqa: BLE001 - missing path or storage error means "no"
         return False
 
