@@ -1,7 +1,6 @@
 """A key holding a third of the rows: results stay whole and exact, and the
 plans combine the hot key map-side before any shuffle."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 

@@ -279,9 +279,9 @@ def q_job_gold_fact(spark, sf_dir):
 # --- Kafka publishing --------------------------------------------------------------
 
 def q_kafka_publish(spark, sf_dir):
-    """K7, K8: record key and JSON value for each change event."""
+    """K7, K8: record key and JSON value for every change event."""
     use_utc(spark)
-    events = feed_events(_table(spark, sf_dir, "events")).where(F.col("d") >= 4)
+    events = feed_events(_table(spark, sf_dir, "events"))
     return kafka_records(events, keep=["event_id"])
 
 

@@ -432,7 +432,7 @@ FROM (
          json_extract_string(value, '$.wiki') AS w,
          json_extract_string(value, '$.title') AS t,
          json_extract_string(value, '$.meta.id') AS m
-  FROM feed WHERE d >= 4
+  FROM (SELECT n, CAST({PAYLOAD_SQL} AS VARCHAR) AS value FROM feed_src)
 )""",
             "clean_text_pages": f"""
 SELECT page_id, {clean_sql('html')} AS clean_html, {blank_to_null_sql('url')} AS clean_url,
