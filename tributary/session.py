@@ -82,11 +82,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Small local runs: AQE would merge a small rebalanced output into one
-        # task, which then creates every partition file serially (~30 ms per
-        # file here). A lower floor keeps a few writers in parallel. Cluster
-        # sessions keep Spark's default.
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
