@@ -4,7 +4,8 @@
     python -m tributary.plans.cli gold --base-uri file:/data/lake
 
 Sub-commands: ``bronze`` (Kafka -> Bronze, ``--stream`` for continuous),
-``silver`` (Bronze -> Silver + quarantine), ``gold`` (Silver -> Gold),
+``topic-schema`` (schema of a topic's records), ``silver`` (Bronze -> Silver +
+quarantine), ``gold`` (Silver -> Gold),
 ``checks``, ``dashboard-check``, ``scheduled`` (silver, gold, checks without
 Bronze, dashboard check) and ``preview`` (schema and first rows of a layer).
 """
@@ -54,6 +55,10 @@ def build_parser() -> argparse.ArgumentParser:
         else:
             p.add_argument("--min-fact-rows", type=int, default=1)
 
+    topic = sub.add_parser("topic-schema", help="schema of a topic's records (bounded scan)")
+    topic.add_argument("--bootstrap-servers", required=True)
+    topic.add_argument("--topic", required=True)
+
     sub.add_parser("gold", help="Silver -> Gold")
     checks = sub.add_parser("checks", help="layer checks")
     checks.add_argument("--skip-bronze", action="store_true")
@@ -82,6 +87,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
             return query
         kafka = read_kafka(spark, args.bootstrap_servers, args.topic)
         return jobs.run_kafka_to_bronze(spark, config, kafka, args.only_new_offsets)
+    if args.job == "topic-schema":
+        from tributary.sources.kafka import read_kafka
+
+        kafka = read_kafka(spark, args.bootstrap_servers, args.topic)
+        kafka.printSchema()
+        return kafka.schema
     if args.job == "silver":
         return jobs.run_bronze_to_silver(
             spark, config, args.late_arrival_days, args.backfill_start_date,
