@@ -276,6 +276,18 @@ def q_job_gold_fact(spark, sf_dir):
     return _ntz(read_gold_table(spark, config.path("gold"), "fact_recent_changes"))
 
 
+def q_job_checks(spark, sf_dir):
+    """W5, Q11-Q15 over the written lake: land, Silver and Gold jobs, then the
+    metrics of Bronze, Silver, quarantine and the 14 Gold tables."""
+    from tributary.plans import jobs
+
+    use_utc(spark)
+    config = _landed_lake(spark, sf_dir)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    jobs.run_silver_to_gold(spark, config)
+    return jobs.lake_metrics(spark, config)
+
+
 # --- Kafka publishing --------------------------------------------------------------
 
 def q_kafka_publish(spark, sf_dir):
@@ -517,6 +529,7 @@ def queries() -> dict[str, Query]:
             "stream_bronze": q_stream_bronze,
             "job_silver": q_job_silver,
             "job_gold_fact": q_job_gold_fact,
+            "job_checks": q_job_checks,
             "clean_text_pages": q_clean_text_pages,
             "dim_date_orders": q_dim_date_orders,
             "duplicate_keys": q_duplicate_keys,

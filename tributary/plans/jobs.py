@@ -262,16 +262,8 @@ def read_gold_tables(spark: SparkSession, config: LakeConfig, names=GOLD_TABLES)
     return {n: read_gold_table(spark, config.path("gold"), n, config.layer_format) for n in names}
 
 
-def run_checks(
-    spark: SparkSession,
-    config: LakeConfig,
-    skip_bronze: bool = False,
-    raise_on_failure: bool = True,
-) -> list[tuple]:
-    """Bronze (optional), Silver, quarantine and Gold checks; one report.
-
-    Returns every metric row; raises once, listing all failures, unless
-    ``raise_on_failure`` is false."""
+def lake_metrics(spark: SparkSession, config: LakeConfig, skip_bronze: bool = False) -> DataFrame:
+    """All layer metrics as one lazy frame ``(check, metric, value, failed)``."""
     frames = []
     if not skip_bronze:
         frames.append(bronze_metrics(read_bronze(spark, config.path("bronze"), config.layer_format)))
@@ -284,10 +276,23 @@ def run_checks(
     )
     frames.append(quarantine_metrics(quarantine, spark))
     frames.append(gold_metrics(read_gold_tables(spark, config)))
-    report = metrics_report(*frames)
+    return metrics_report(*frames)
+
+
+def run_checks(
+    spark: SparkSession,
+    config: LakeConfig,
+    skip_bronze: bool = False,
+    raise_on_failure: bool = True,
+) -> list[tuple]:
+    """Bronze (optional), Silver, quarantine and Gold checks; one report.
+
+    Returns every metric row; raises once, listing all failures, unless
+    ``raise_on_failure`` is false."""
+    report = lake_metrics(spark, config, skip_bronze)
     if raise_on_failure:
         return raise_on_failures(report)
-    return [tuple(r) for r in report.collect()]
+    return [tuple(r) for r in report.collect()]  # one row per metric
 
 
 def run_dashboard_check(spark: SparkSession, config: LakeConfig, min_fact_rows: int = 1) -> list[tuple]:

@@ -421,6 +421,17 @@ def oracle_sql() -> dict[str, str]:
             "stream_bronze": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
             "job_silver": "SELECT * FROM silver",
             "job_gold_fact": "SELECT * FROM fact_recent_changes",
+            "job_checks": "\nUNION ALL ".join([
+                _metric("bronze", "rows", "count(*)", "count(*) = 0", "bronze"),
+                _metric("bronze", "duplicate_keys",
+                        _dup_count("bronze", "kafka_topic, kafka_partition, kafka_offset"),
+                        _dup_count("bronze", "kafka_topic, kafka_partition, kafka_offset") + " > 0"),
+                _silver_checks(),
+                _metric("quarantine", "rows", "count(*)", "false", "quarantine"),
+                "SELECT 'quarantine', 'rows_' || coalesce(quality_error_category, 'none'), "
+                "count(*), false FROM quarantine GROUP BY quality_error_category",
+                _gold_checks(),
+            ]),
             "kafka_publish": f"""
 SELECT n AS event_id,
        CASE WHEN w <> '' AND t <> '' THEN w || ':' || t
