@@ -4,7 +4,7 @@ Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default
 ``/root/testdata/sf0.1``) and prints one JSON line. Each step is timed
 ``$BENCH_REPEAT`` times (default 3) after a warm-up; the median is reported.
 
-Steps (a lake folder under a fresh temporary directory):
+Steps (a lake folder under the session's checkpoint folder):
   land_bronze      change feed from ``events`` -> Bronze (W4, batch)
   bronze_to_silver Bronze -> Silver + quarantine (W2)
   silver_to_gold   Silver -> 14 Gold tables (W3)
@@ -21,7 +21,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tributary.operators import serving  # noqa: E402
 from tributary.plans import catalog, jobs  # noqa: E402
-from tributary.session import local_session, use_utc  # noqa: E402
+from tributary.session import checkpoint_dir, local_session, use_utc  # noqa: E402
 from tributary.sources.feed import change_feed  # noqa: E402
 
 AS_OF = catalog.AS_OF
@@ -49,11 +48,16 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = use_utc(local_session(cpus, shuffle_partitions=int(cpus) if cpus != "*" else 8, app="bench"))
-    root = tempfile.mkdtemp(prefix="tributary-bench-")
+    # Lakes live in the shared folder named by spark.checkpoint.dir (a local
+    # folder is made only when it is unset in local mode).
+    root = checkpoint_dir(spark).rstrip("/")
+    if "://" not in root and not root.startswith("file:"):
+        root = f"file:{root}"
+    root = f"{root}/bench-{os.getpid()}-{int(time.time())}"
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
 
     def lake(run: int) -> jobs.LakeConfig:
-        return jobs.LakeConfig(base_uri=f"file:{root}/lake{run}")
+        return jobs.LakeConfig(base_uri=f"{root}/lake{run}")
 
     def land(run: int):
         feed = change_feed(events)
