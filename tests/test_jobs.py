@@ -53,6 +53,10 @@ def test_full_run_and_reruns(spark, tmp_lake):
     failed = {(c, m) for c, m, v, f in metrics if f}
     # the feed's "<b></b>" titles pass the required check but clean to null
     assert failed == {("silver", "null_page_title")}
+    report = jobs.lake_metrics(spark, config)  # the same metrics, still lazy
+    assert sorted(tuple(r) for r in report.collect()) == sorted(metrics)
+    without_bronze = jobs.lake_metrics(spark, config, skip_bronze=True).collect()
+    assert {r[0] for r in without_bronze} == {c for c, *_ in metrics} - {"bronze"}
     with pytest.raises(ChecksFailedError, match="null_page_title"):
         jobs.run_checks(spark, config)
     ready = jobs.run_dashboard_check(spark, config)
