@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, mixing, quality
+from tributary.llm import bpe, mixing, near_duplicates, quality, suffixes
 from tributary.llm.common import read_table, stage_table
 from tributary.llm.queries import vocabulary
 
@@ -16,6 +16,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs)
 
 
+def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return near_duplicates.one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of passages that also start earlier in the corpus go."""
+    return suffixes.without_repeats(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target takes them."""
     return mixing.mixed_documents(docs)
@@ -28,6 +38,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicate_join),
+    ("repeated_passages", repeated_passages),
     ("mix_sources", mix_sources),
     ("encode", encode),
 ]
