@@ -77,12 +77,17 @@ WINDOW_WORDS = 96
 GAP_LINES = 2
 #: Templates confirmed per block, by rank.
 CONFIRM = 4
-MIN_REDUCTION = 0.15
+MIN_REDUCTION = 0.3
 MIN_COVERAGE = 0.9
 
 _TOKEN = re.compile(r"[^\W_]+(?:[.][0-9]+)*")
 
 
+def plain_form(text: str) -> str:
+    """What is compressed: the wording without case and line breaks."""
+    return " ".join(text.lower().split())
+
+
 def tokens(text: str) -> list[str]:
     return [t.lower() for t in _TOKEN.findall(text)]
 
@@ -131,21 +136,23 @@ class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.tokens = {name: tokens(t) for name, t in templates.items()}
         self.plain = zstandard.ZstdCompressor(level=3)
+        self.sizes = {name: len(self.plain.compress(plain_form(t).encode())) for name, t in templates.items()}
         self.given = {
             name: zstandard.ZstdCompressor(
                 level=3,
-                dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                dict_data=zstandard.ZstdCompressionDict(plain_form(t).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
             )
             for name, t in templates.items()
         }
 
     def rank(self, block: str) -> list[tuple[float, str]]:
-        """(saved share of the template's or block's size, name), best first."""
-        data = block.encode()
+        """(reduction, name), best first: the bytes that the template saves, as
+        a share of the smaller of the compressed block and template."""
+        data = plain_form(block).encode()
         alone = len(self.plain.compress(data))
         ranked = []
         for name, compressor in self.given.items():
-            ranked.append(((alone - len(compressor.compress(data))) / alone, name))
+            ranked.append(((alone - len(compressor.compress(data))) / min(alone, self.sizes[name]), name))
         return sorted(ranked, key=lambda r: (-r[0], r[1]))
 
     def confirm(self, block: str, name: str) -> tuple[float, list[str], list[str]] | None:

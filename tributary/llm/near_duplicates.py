@@ -234,7 +234,8 @@ def _spread(least: np.ndarray, left: np.ndarray, right: np.ndarray, pairs: np.nd
 
 
 def join_documents(docs: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
-    """doc_id, class_id, n_links, node for every document."""
+    """doc_id, class_id, n_links, node, class_node for every document; the
+    class nodes tell classes apart whose smallest doc_id is the same."""
     ship_package(docs.sparkSession)
     depth = prefix_depth(target_recall)
     signed = stage_table(signatures(docs, depth), "near-signatures")
@@ -282,12 +283,15 @@ def join_documents(docs: DataFrame, target_recall: float = TARGET_RECALL) -> Dat
         )
     )
     least = rooted.groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    named = rooted.join(least, "root").select(F.col("node").alias("_node"), "class_id", "n_links")
+    named = rooted.join(least, "root").select(
+        F.col("node").alias("_node"), F.col("root").alias("class_node"), "class_id", "n_links"
+    )
     return signed.join(named, F.col("node") == F.col("_node"), "left").select(
         "doc_id",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         "node",
+        "class_node",
     )
 
 
@@ -312,7 +316,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     # The rows of the class's smallest doc_id; of several nodes the smallest.
     chosen = (
         found.where(F.expr("doc_id <=> class_id"))
-        .groupBy("doc_id", "class_id")
+        .groupBy("doc_id", "class_node")
         .agg(F.min("node").alias("_kept_node"))
         .select(F.col("doc_id").alias("_kept_id"), "_kept_node")
     )

@@ -69,7 +69,7 @@ QUOTES = frozenset("\"“”„«»")
 
 TOKEN = re.compile(r"\w+(?:'\w+)?|[.!?;\n\"“”„«»]")
 
-#: Share of a match's weight by what surrounds it; tt is a targeted match.
+#: Share of a match's weight by what surrounds it; II and TT are targeted matches, i and t negated ones, q is the factor of reported ones.
 FACTORS = {"I": 1.0, "II": 1.5, "T": 0.3, "TT": 1.2, "i": 0.3, "t": 0.1, "q": 0.5}
 THREAT_WEIGHT = 4.0
 
@@ -326,7 +326,7 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
         k[:-1]: w
         for k, w in weights.items()
         if k.endswith("*")
-        and seen[k, True] >= 3 * max((seen[x, True] for x in words if x.startswith(k[:-1])), default=1)
+        and seen[k, True] >= 2 * max((seen[x, True] for x in words if x.startswith(k[:-1])), default=1)
     }
     return words, stems
 
