@@ -12,9 +12,14 @@ from tributary.functions.util import as_column
 # Largest magnitude of Unix seconds a Spark timestamp can hold.
 _MAX_UNIX_SECONDS = 9_223_372_036_854
 
+# Years whose days have a ``yyyyMMdd`` key in an int. Times outside count as
+# unreadable, so that every accepted time has a key.
+FIRST_YEAR, LAST_YEAR = 1, 214_748
+
 
 def event_time(datetime_text: Column | str, unix_seconds: Column | str) -> Column:
-    """ISO text first, Unix seconds as fallback, null when both fail.
+    """ISO text first, Unix seconds as fallback, null when both fail or when
+    the time found lies outside ``FIRST_YEAR`` to ``LAST_YEAR``.
 
     ``try_to_timestamp`` keeps a malformed text from failing the job under
     ANSI mode; ``timestamp_seconds`` converts without a string round trip, so
@@ -25,12 +30,15 @@ def event_time(datetime_text: Column | str, unix_seconds: Column | str) -> Colum
         seconds.between(-_MAX_UNIX_SECONDS, _MAX_UNIX_SECONDS),
         F.timestamp_seconds(seconds),
     )
-    return F.coalesce(F.try_to_timestamp(as_column(datetime_text)), from_seconds)
+    found = F.coalesce(F.try_to_timestamp(as_column(datetime_text)), from_seconds)
+    return F.when(F.year(found).between(FIRST_YEAR, LAST_YEAR), found)
 
 
 def date_key(date: Column | str) -> Column:
-    """``yyyyMMdd`` as int."""
-    return F.date_format(as_column(date), "yyyyMMdd").cast("int")
+    """``yyyyMMdd`` as int; null outside ``FIRST_YEAR`` to ``LAST_YEAR``."""
+    d = as_column(date)
+    key = F.year(d) * 10_000 + F.month(d) * 100 + F.dayofmonth(d)
+    return F.when(F.year(d).between(FIRST_YEAR, LAST_YEAR), key)
 
 
 def calendar_parts(date: Column | str) -> dict[str, Column]:

@@ -10,17 +10,19 @@ aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.functions.keys import stable_key
 from tributary.operators.star import (
+    LABEL_DEFAULTS,
     event_type_lookup,
     label,
     page_lookup,
     user_lookup,
     wiki_lookup,
 )
-from tributary.schemas import SNAPSHOT_COLUMNS, SNAPSHOT_ROWS, WINDOW_DURATION
+from tributary.schemas import SNAPSHOT_COLUMNS, SNAPSHOT_ROWS, UNKNOWN_LABEL, WINDOW_DURATION
 
 
 def agg_dashboard_kpis(fact: DataFrame) -> DataFrame:
@@ -94,6 +96,57 @@ def agg_top_pages(fact: DataFrame, dim_page: DataFrame) -> DataFrame:
     return _by_label(per_key, ["page_title", "namespace"])
 
 
+#: Key, attributes and labels of the four breakdowns, as their dimensions hold them.
+BREAKDOWNS = {
+    "agg_events_by_type": ("event_type_key", ("event_type",), ("event_type",)),
+    "agg_events_by_wiki": ("wiki_key", ("wiki", "domain", "server_name", "stream_name", "source_system"), ("wiki",)),
+    "agg_top_users": ("user_key", ("event_user", "is_bot"), ("event_user", "is_bot")),
+    "agg_top_pages": ("page_key", ("wiki_key", "namespace", "page_title", "page_url"), ("page_title", "namespace")),
+}
+
+
+def _own_label(name: str) -> Column:
+    """C15 on an event's own column."""
+    default = F.lit(LABEL_DEFAULTS.get(name, UNKNOWN_LABEL))
+    return F.coalesce(F.col(name), default.cast("long") if name == "namespace" else default).alias(name)
+
+
+def label_counts(events: DataFrame, name: str) -> DataFrame:
+    """A4-A7 straight from keyed events with one row per ``meta_id``.
+
+    The same rows as counting the fact per key and joining the dimension:
+    the events of a key are counted per combination of attributes, and the
+    smallest combination, which is the dimension's row, gives the label. One
+    pass over the events and no join, for where the dimension isn't stored.
+    """
+    key, attributes, labels = BREAKDOWNS[name]
+    if "event_user" in attributes:
+        events = events.withColumn("event_user", F.coalesce("event_user", F.lit(UNKNOWN_LABEL)))
+    combinations = events.groupBy(key, *attributes).agg(F.count("*").alias("_events"))
+    per_key = combinations.groupBy(key).agg(
+        F.min(F.struct(*attributes)).alias("_best"), F.sum("_events").alias("_events")
+    )
+    named = per_key.select(*[F.col(f"_best.{n}").alias(n) for n in labels], "_events")
+    return named.groupBy(*[_own_label(n) for n in labels]).agg(F.sum("_events").alias("events"))
+
+
+def recent_events_of(events: DataFrame, rows: int = SNAPSHOT_ROWS) -> DataFrame:
+    """L1 straight from keyed events with one row per ``meta_id``: the labels
+    ride along with the top-k, so nothing is joined and the events are read
+    once. They are the events' own attributes; a dimension says otherwise only
+    where two different attribute tuples share a key (a value that holds the
+    key separator or is the literal null token)."""
+    return (
+        events.select(
+            stable_key("meta_id").alias("_key"), "event_datetime", "event_date", "comment",
+            *[_own_label(n) for n in ("event_type", "wiki", "page_title", "event_user", "is_bot", "namespace")],
+        )
+        .orderBy(F.col("event_datetime").desc_nulls_last(), "_key")
+        .limit(rows)
+        .select(*SNAPSHOT_COLUMNS)
+    )
+
+
 def _semi_filtered(lookup: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     # ``keys`` holds at most ``rows`` rows (a top-k result), so broadcasting it
     # has a proven size bound; the dimension is streamed, never shuffled.

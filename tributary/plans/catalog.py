@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,12 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from tributary.functions.text import blank_to_null, clean_text
 from tributary.functions.time import calendar_parts, date_key
+from tributary.functions.values import coerce_date, coerce_timestamp
 from tributary.operators import aggregates as agg
 from tributary.operators import checks, serving
+from tributary.operators.gold import build_model, build_star_schema, serving_tables_of
 from tributary.operators.quality import (
+    QuarantineGateError,
     apply_processing_window,
     prepare_for_quality_checks,
     quarantine_counts,
@@ -29,17 +33,23 @@ from tributary.operators.quality import (
     split_valid_and_quarantine,
 )
 from tributary.operators.silver import transform_to_silver
-from tributary.operators.star import (
-    add_star_schema_keys,
-    build_dashboard_base,
-    build_dimensions,
-    build_fact_recent_changes,
-)
-from tributary.schemas import UNKNOWN_LABEL
-from tributary.session import checkpoint_dir, cut_lineage, use_utc
+from tributary.operators.star import build_dashboard_base
+from tributary.plans import jobs
+from tributary.schemas import KAFKA_SCHEMA, UNKNOWN_LABEL
+from tributary.session import checkpoint_dir, use_utc
 from tributary.sinks.kafka import kafka_records
-from tributary.sources.feed import change_feed, feed_events
-from tributary.sources.kafka import parse_raw_messages, to_bronze
+from tributary.sinks.lake import export_dashboard, write_layer
+from tributary.sources.feed import FEED_TOPIC, change_feed, feed_events
+from tributary.sources.kafka import (
+    load_parsed_bronze,
+    load_transformed,
+    parse_raw_messages,
+    raw_envelope,
+    read_kafka,
+    read_kafka_stream,
+    to_bronze,
+)
+from tributary.sources.lake import lake_path, read_bronze, read_gold_table, read_layer
 
 # --- fixed parameters of the registered queries -------------------------------
 AS_OF = dt.datetime(2024, 3, 1, 0, 0, 0)
@@ -54,6 +64,8 @@ MAX_TOP_N = 30
 RECENT_ROWS = 25
 MAX_RECENT_ROWS = 100
 STALE_AFTER_MINUTES = 30
+LONG_RUN = 100_000
+FAR_SECONDS = 7_000_000_000_000
 # ------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,54 +102,17 @@ def _silver(spark, sf_dir) -> DataFrame:
     return transform_to_silver(valid)
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    return cut_lineage(df)
-
-
-def _model(spark, sf_dir, cut: bool = False) -> dict[str, DataFrame]:
-    """Dimensions and fact. With ``cut`` (queries that read several Gold
-    tables) Silver is checkpointed once into the shared checkpoint folder, as
-    the Silver -> Gold job reads a stored Silver, instead of being re-derived
-    for every table."""
-    silver = _silver(spark, sf_dir)
-    modeled = add_star_schema_keys(_checkpointed(silver) if cut else silver)
-    tables = build_dimensions(modeled)
-    tables["fact_recent_changes"] = build_fact_recent_changes(modeled)
-    return tables
-
-
-def _snapshot(spark, sf_dir, model: dict[str, DataFrame] | None = None) -> DataFrame:
-    m = model or _model(spark, sf_dir)
-    return agg.recent_events_snapshot(
-        m["fact_recent_changes"], m["dim_wiki"], m["dim_page"], m["dim_user"],
-        m["dim_event_type"], materialize=_checkpointed,
-    )
+def _model(spark, sf_dir) -> dict[str, DataFrame]:
+    return build_model(_silver(spark, sf_dir))
 
 
-def _gold(spark, sf_dir, cut: bool = False, snapshot: bool = False) -> dict[str, DataFrame]:
-    """Gold tables from one model; the snapshot (an eager top-k) only when asked."""
-    m = _model(spark, sf_dir, cut)
-    fact = m["fact_recent_changes"]
-    tables = dict(m)
-    tables.update(
-        {
-            "agg_dashboard_kpis": agg.agg_dashboard_kpis(fact),
-            "agg_events_by_date": agg.agg_events_by_date(fact),
-            "agg_events_by_window": agg.agg_events_by_window(fact),
-            "agg_events_by_type": agg.agg_events_by_type(fact, m["dim_event_type"]),
-            "agg_events_by_wiki": agg.agg_events_by_wiki(fact, m["dim_wiki"]),
-            "agg_top_users": agg.agg_top_users(fact, m["dim_user"]),
-            "agg_top_pages": agg.agg_top_pages(fact, m["dim_page"]),
-        }
-    )
-    if snapshot:
-        tables["recent_events_snapshot"] = _snapshot(spark, sf_dir, m)
-    return tables
+def _serving_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The eight serving tables, lazily: a query runs only those it reads."""
+    return serving_tables_of(_silver(spark, sf_dir))
 
 
 def _serving_data(spark, sf_dir) -> dict[str, DataFrame]:
-    tables = _gold(spark, sf_dir, cut=True, snapshot=True)
-    return serving.load_dashboard_data(tables, MAX_TOP_N, MAX_RECENT_ROWS)
+    return serving.load_dashboard_data(_serving_tables(spark, sf_dir), MAX_TOP_N, MAX_RECENT_ROWS)
 
 
 # --- Bronze, parse, quality ----------------------------------------------------
@@ -193,7 +168,8 @@ def q_silver(spark, sf_dir):
 
 def _gold_query(name: str) -> Query:
     def run(spark, sf_dir):
-        return _ntz(_gold(spark, sf_dir)[name])
+        tables = _serving_tables(spark, sf_dir) if name.startswith("agg_") else _model(spark, sf_dir)
+        return _ntz(tables[name])
 
     run.__name__ = f"q_{name}"
     return run
@@ -201,90 +177,259 @@ def _gold_query(name: str) -> Query:
 
 def q_recent_events_snapshot(spark, sf_dir):
     """L1: latest 100 events with labels."""
-    return _ntz(_snapshot(spark, sf_dir))
+    return _ntz(_serving_tables(spark, sf_dir)["recent_events_snapshot"])
 
 
-def q_dashboard_base(spark, sf_dir):
-    """Fact left-joined to four dimensions with label fallbacks."""
-    m = _model(spark, sf_dir)
-    base = build_dashboard_base(
-        m["fact_recent_changes"], m["dim_wiki"], m["dim_page"], m["dim_user"], m["dim_event_type"]
-    )
-    return _ntz(base)
+# --- jobs and streams over a scratch lake in the shared checkpoint folder ----------
 
+def _scratch_lake(spark) -> jobs.LakeConfig:
+    """A fresh lake folder under ``spark.checkpoint.dir`` (shared storage).
 
-# --- jobs and streams over a scratch lake in the shared checkpoint folder ----------
+    The queries below are jobs: they write the lake when they are called and
+    return a frame over its files, which are needed until that frame has been
+    read. Nothing reads a ``lake-<uuid>`` folder later, so it can be deleted
+    with the other files of the checkpoint folder after the application.
+    """
+    return jobs.LakeConfig(base_uri=f"{_shared_root(spark)}/lake-{uuid.uuid4().hex}")
 
-def _scratch_lake(spark) -> "jobs.LakeConfig":
-    """A fresh lake folder under ``spark.checkpoint.dir`` (shared storage)."""
-    from tributary.plans import jobs
 
+def _shared_root(spark) -> str:
     root = checkpoint_dir(spark).rstrip("/")
-    if "://" not in root and not root.startswith("file:"):
-        root = f"file:{root}"
-    return jobs.LakeConfig(base_uri=f"{root}/lake-{uuid.uuid4().hex}")
+    return root if "://" in root or root.startswith("file:") else f"file:{root}"
 
 
-def _landed_lake(spark, sf_dir):
-    from tributary.plans import jobs
+def _land(spark, sf_dir, config, events=None, **kwargs) -> None:
+    feed = change_feed(_table(spark, sf_dir, "events") if events is None else events)
+    jobs.run_kafka_to_bronze(spark, config, feed, ingested_at=F.col("ingested_at"), **kwargs)
 
+
+def _landed_lake(spark, sf_dir) -> jobs.LakeConfig:
+    use_utc(spark)
     config = _scratch_lake(spark)
-    feed = change_feed(_table(spark, sf_dir, "events"))
-    jobs.run_kafka_to_bronze(spark, config, feed, ingested_at=F.col("ingested_at"))
+    _land(spark, sf_dir, config)
     return config
 
 
+def _gold_lake(spark, sf_dir) -> tuple[jobs.LakeConfig, dict[str, DataFrame]]:
+    """A lake with all layers, and its 14 Gold tables."""
+    config = _landed_lake(spark, sf_dir)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    jobs.run_silver_to_gold(spark, config)
+    return config, jobs.read_gold_tables(spark, config)
+
+
+def _kafka_files(spark, events: DataFrame, source: str, mode: str = "errorifexists") -> None:
+    change_feed(events).drop("ingested_at").write.mode(mode).parquet(source)
+
+
+def _stream_into(spark, config, source: str) -> None:
+    """Run the streaming Bronze job over Kafka-layout files until it is idle."""
+    stream = read_kafka_stream(
+        spark, "unused:9092", FEED_TOPIC, options={"path": source}, source_format="parquet", schema=KAFKA_SCHEMA
+    )
+    jobs.start_kafka_to_bronze_stream(spark, config, stream, available_now=True).awaitTermination()
+
+
+def _without_clock(bronze: DataFrame) -> DataFrame:
+    # The stream stamps its own ingest time.
+    return _ntz(bronze.drop("bronze_ingested_at", "bronze_ingested_date"))
+
+
+def q_dashboard_base(spark, sf_dir):
+    """Stored fact left-joined to four stored dimensions with label fallbacks."""
+    _, m = _gold_lake(spark, sf_dir)
+    return _ntz(
+        build_dashboard_base(
+            m["fact_recent_changes"], m["dim_wiki"], m["dim_page"], m["dim_user"], m["dim_event_type"]
+        )
+    )
+
+
 def q_stream_bronze(spark, sf_dir):
     """The feed as Kafka-layout files, landed by the streaming
-    Bronze job (available-now trigger, checkpointed offsets), read back. The
-    stream stamps its own ingest time, so the two clock columns are left out."""
-    from tributary.plans import jobs
-    from tributary.sources.kafka import read_kafka_layout_files
-    from tributary.sources.lake import lake_path, read_bronze
-
+    Bronze job (available-now trigger, checkpointed offsets), read back."""
     use_utc(spark)
     config = _scratch_lake(spark)
     source = lake_path(config.base_uri, "kafka_files")
-    change_feed(_table(spark, sf_dir, "events")).drop("ingested_at").write.parquet(source)
-    stream = read_kafka_layout_files(spark, source, streaming=True)
-    query = jobs.start_kafka_to_bronze_stream(spark, config, stream, available_now=True)
-    query.awaitTermination()
-    landed = read_bronze(spark, config.path("bronze"))
-    return _ntz(landed.drop("bronze_ingested_at", "bronze_ingested_date"))
+    _kafka_files(spark, _table(spark, sf_dir, "events"), source)
+    _stream_into(spark, config, source)
+    return _without_clock(read_bronze(spark, config.path("bronze")))
 
 
-def q_job_silver(spark, sf_dir):
-    """Land Bronze, run Bronze -> Silver, read Silver back."""
-    from tributary.plans import jobs
-    from tributary.sources.lake import read_layer
+def q_stream_restart(spark, sf_dir):
+    """Half of the feed, a restart without new files, then the rest;
+    the checkpointed offsets land every record once."""
+    use_utc(spark)
+    config = _scratch_lake(spark)
+    source, events = lake_path(config.base_uri, "kafka_files"), _table(spark, sf_dir, "events")
+    _kafka_files(spark, events.where("event_id % 2 = 0"), source)
+    _stream_into(spark, config, source)
+    _stream_into(spark, config, source)
+    _kafka_files(spark, events.where("event_id % 2 = 1"), source, mode="append")
+    _stream_into(spark, config, source)
+    return _without_clock(read_bronze(spark, config.path("bronze")))
 
+
+def _mixed_landing(stream_first: bool) -> Query:
+    def run(spark, sf_dir):
+        use_utc(spark)
+        config = _scratch_lake(spark)
+        source, events = lake_path(config.base_uri, "kafka_files"), _table(spark, sf_dir, "events")
+        _kafka_files(spark, events.where("event_id % 2 = 1"), source)
+        steps = [
+            lambda: _land(spark, sf_dir, config, events.where("event_id % 2 = 0")),
+            lambda: _stream_into(spark, config, source),
+        ]
+        for step in reversed(steps) if stream_first else steps:
+            step()
+        _land(spark, sf_dir, config, only_new_offsets=True)  # the whole feed again
+        return _without_clock(read_bronze(spark, config.path("bronze")))
+
+    run.__doc__ = "W4, K2, K3, S6: half by batch, half by stream, then the batch rerun with only new offsets."
+    return run
+
+
+def q_batch_new_offsets(spark, sf_dir):
+    """A batch that brings old and new offsets lands the new ones only."""
     use_utc(spark)
+    config = _scratch_lake(spark)
+    _land(spark, sf_dir, config, _table(spark, sf_dir, "events").where("event_id % 3 = 0"))
+    _land(spark, sf_dir, config, only_new_offsets=True)
+    return _ntz(read_bronze(spark, config.path("bronze")))
+
+
+def q_kafka_scan(spark, sf_dir):
+    """The bounded Kafka scan, over files in the Kafka layout."""
+    use_utc(spark)
+    source = f"{_shared_root(spark)}/kafka-{uuid.uuid4().hex}"
+    _kafka_files(spark, _table(spark, sf_dir, "events"), source)
+    scan = read_kafka(
+        spark, "unused:9092", FEED_TOPIC, options={"path": source}, source_format="parquet", schema=KAFKA_SCHEMA
+    )
+    return _ntz(raw_envelope(scan).drop("bronze_ingested_at"))
+
+
+def q_loaded_bronze(spark, sf_dir):
+    """The composed loader over a landed Bronze folder."""
+    return _ntz(load_parsed_bronze(spark, _landed_lake(spark, sf_dir).path("bronze")))
+
+
+def q_loaded_transformed(spark, sf_dir):
+    """Bronze folder to cleaned events, without the quality stage."""
+    return _ntz(load_transformed(spark, _landed_lake(spark, sf_dir).path("bronze")))
+
+
+def q_silver_window_rerun(spark, sf_dir):
+    """A full run, then a rerun of a window of dates."""
     config = _landed_lake(spark, sf_dir)
     jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, WINDOW_START, WINDOW_END, as_of=AS_OF)
     return _ntz(read_layer(spark, config.path("silver")))
 
 
-def q_job_gold_fact(spark, sf_dir):
-    """Silver -> Gold job, the fact table read back."""
-    from tributary.plans import jobs
-    from tributary.sources.lake import read_gold_table
+def q_quarantine_window_rerun(spark, sf_dir):
+    """The same runs leave every rejected row in quarantine once."""
+    config = _landed_lake(spark, sf_dir)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, WINDOW_START, WINDOW_END, as_of=AS_OF)
+    return _ntz(select_quarantine_columns(read_layer(spark, config.path("quarantine"))))
+
 
+def q_silver_moved_survivor(spark, sf_dir):
+    """A copy of a meta_id that lands later under a lower Kafka key
+    takes over in the next full run, and the old row goes."""
     use_utc(spark)
+    config, events = _scratch_lake(spark), _table(spark, sf_dir, "events")
+    _land(spark, sf_dir, config, events.where("event_id % 100 != 10"))
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    _land(spark, sf_dir, config, events.where("event_id % 100 = 10"))
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    return _ntz(read_layer(spark, config.path("silver")))
+
+
+def q_strict_gate(spark, sf_dir):
+    """Q8: the strict gate fires after both layers are written."""
+    config = _landed_lake(spark, sf_dir)
+    try:
+        jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, strict=True, as_of=AS_OF)
+        fired = False
+    except QuarantineGateError:
+        fired = True
+    rows = F.count(F.lit(1))
+    silver = read_layer(spark, config.path("silver")).agg(rows.alias("silver_rows"))
+    rejected = read_layer(spark, config.path("quarantine")).agg(rows.alias("quarantine_rows"))
+    both = silver.unionByName(rejected, allowMissingColumns=True)
+    return both.agg(
+        F.lit(fired).alias("gate_fired"), F.max("silver_rows").alias("silver_rows"),
+        F.max("quarantine_rows").alias("quarantine_rows"),
+    )
+
+
+def q_scheduled(spark, sf_dir):
+    """The scheduled order over a landed lake; the by-date table it leaves."""
+    config = _landed_lake(spark, sf_dir)
+    jobs.run_scheduled(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF, raise_on_failure=False)
+    return _ntz(read_gold_table(spark, config.path("gold"), "agg_events_by_date"))
+
+
+def q_star_schema_rows(spark, sf_dir):
+    """Rows of the 14 tables of the composed model over stored Silver."""
     config = _landed_lake(spark, sf_dir)
     jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
-    jobs.run_silver_to_gold(spark, config)
-    return _ntz(read_gold_table(spark, config.path("gold"), "fact_recent_changes"))
+    tables = build_star_schema(read_layer(spark, config.path("silver")))
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows")) for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
-def q_job_checks(spark, sf_dir):
-    """W5, Q11-Q15 over the written lake: land, Silver and Gold jobs, then the
-    metrics of Bronze, Silver, quarantine and the 14 Gold tables."""
-    from tributary.plans import jobs
+def q_csv_exports(spark, sf_dir):
+    """K9: the dashboard's four CSV exports, read back and counted."""
+    use_utc(spark)
+    base = f"{_shared_root(spark)}/exports-{uuid.uuid4().hex}"
+    paths = export_dashboard(_views(spark, sf_dir), base)
+    frames = [
+        spark.read.option("header", True).csv(path).agg(F.lit(name).alias("export"), F.count(F.lit(1)).alias("rows"))
+        for name, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
+
+def q_csv_top_pages(spark, sf_dir):
+    """K9: the top pages export, read back with its types."""
     use_utc(spark)
+    base = f"{_shared_root(spark)}/exports-{uuid.uuid4().hex}"
+    path = export_dashboard(_views(spark, sf_dir), base)["top_pages"]
+    return spark.read.option("header", True).schema("page_title string, namespace long, events long").csv(path)
+
+
+def q_dynamic_overwrite(spark, sf_dir):
+    """All event types written, one overwritten dynamically."""
+    path = f"{_shared_root(spark)}/overwrite-{uuid.uuid4().hex}"
+    events = _table(spark, sf_dir, "events").select("event_id", "value", "event_type")
+    write_layer(events, path, mode="overwrite", partition_by="event_type")
+    doubled = events.where("event_type = 'click'").withColumn("value", F.col("value") * 2)
+    write_layer(doubled, path, mode="overwrite", partition_by="event_type", overwrite_partitions="dynamic")
+    return spark.read.parquet(path)
+
+
+def q_job_silver(spark, sf_dir):
+    """Land Bronze, run Bronze -> Silver, read Silver back."""
     config = _landed_lake(spark, sf_dir)
     jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
-    jobs.run_silver_to_gold(spark, config)
+    return _ntz(read_layer(spark, config.path("silver")))
+
+
+def q_job_gold_fact(spark, sf_dir):
+    """Silver -> Gold job, the fact table read back."""
+    _, tables = _gold_lake(spark, sf_dir)
+    return _ntz(tables["fact_recent_changes"])
+
+
+def q_job_checks(spark, sf_dir):
+    """W5, Q11-Q15 over the written lake: land, Silver and Gold jobs, then the
+    metrics of Bronze, Silver, quarantine and the 14 Gold tables."""
+    config, _ = _gold_lake(spark, sf_dir)
     return jobs.lake_metrics(spark, config)
 
 
@@ -310,6 +455,40 @@ def q_clean_text_pages(spark, sf_dir):
     )
 
 
+def q_clean_text_long(spark, sf_dir):
+    """Pages with long runs of blanks, tags and entities around them."""
+    pages = _table(spark, sf_dir, "pages")
+    run = {text: F.repeat(F.lit(text), LONG_RUN) for text in (" ", "<b>", "&nbsp;")}
+    text = F.concat(run[" "], F.col("html"), run["<b>"], F.lit("middle"), run["&nbsp;"], F.lit("end"))
+    return pages.select("page_id", clean_text(text).alias("clean_html"))
+
+
+def q_far_event_times(spark, sf_dir):
+    """Seconds that no int date key can hold are rejected, and the
+    model is built from the other rows; events per date key."""
+    bronze = _bronze(spark, sf_dir)
+    far = F.regexp_replace("raw_message", r'"timestamp":\d+', f'"timestamp":{FAR_SECONDS}')
+    moved = bronze.withColumn("raw_message", F.when(F.col("raw_message").contains('"dt":"bad"'), far).otherwise(F.col("raw_message")))
+    prepared = prepare_for_quality_checks(parse_raw_messages(moved), LATE_ARRIVAL_DAYS, AS_OF)
+    valid, rejected = split_valid_and_quarantine(prepared)
+    fact = build_model(transform_to_silver(valid))["fact_recent_changes"]
+    times = rejected.where("quality_error_category = 'invalid_event_timestamp'")
+    count = F.count(F.lit(1)).alias("events")
+    return fact.groupBy("date_key").agg(count).unionByName(
+        times.groupBy(F.lit(None).cast("int").alias("date_key")).agg(count)
+    )
+
+
+def q_date_coercion(spark, sf_dir):
+    """Order dates as text, some of them unreadable, to dates and times."""
+    orders = _table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 7 == 0, F.lit("no date")).when(
+        F.col("o_orderkey") % 11 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")
+    )
+    rows = orders.select("o_orderkey", text.alias("t"))
+    return rows.select("o_orderkey", coerce_date("t").alias("day"), coerce_timestamp("t").cast(TimestampNTZType()).alias("at"))
+
+
 def q_dim_date_orders(spark, sf_dir):
     """Date dimension over order dates."""
     orders = _table(spark, sf_dir, "orders")
@@ -408,13 +587,13 @@ def q_check_quarantine(spark, sf_dir):
 
 
 def q_check_gold(spark, sf_dir):
-    """Q14."""
-    return checks.gold_metrics(_gold(spark, sf_dir, cut=True, snapshot=True))
+    """Q14 over a written Gold layer."""
+    return checks.gold_metrics(_gold_lake(spark, sf_dir)[1])
 
 
 def q_dashboard_readiness(spark, sf_dir):
-    """Q16, Q17."""
-    return checks.dashboard_readiness(_gold(spark, sf_dir, cut=True, snapshot=True), min_fact_rows=1)
+    """Q16, Q17 over a written Gold layer."""
+    return checks.dashboard_readiness(_gold_lake(spark, sf_dir)[1], min_fact_rows=1)
 
 
 # --- serving ----------------------------------------------------------------------------
@@ -527,6 +706,25 @@ def queries() -> dict[str, Query]:
             "dashboard_base": q_dashboard_base,
             "kafka_publish": q_kafka_publish,
             "stream_bronze": q_stream_bronze,
+            "stream_restart": q_stream_restart,
+            "bronze_batch_then_stream": _mixed_landing(stream_first=False),
+            "bronze_stream_then_batch": _mixed_landing(stream_first=True),
+            "batch_new_offsets": q_batch_new_offsets,
+            "kafka_scan": q_kafka_scan,
+            "loaded_bronze": q_loaded_bronze,
+            "loaded_transformed": q_loaded_transformed,
+            "silver_window_rerun": q_silver_window_rerun,
+            "quarantine_window_rerun": q_quarantine_window_rerun,
+            "silver_moved_survivor": q_silver_moved_survivor,
+            "strict_gate": q_strict_gate,
+            "scheduled": q_scheduled,
+            "star_schema_rows": q_star_schema_rows,
+            "csv_exports": q_csv_exports,
+            "csv_top_pages": q_csv_top_pages,
+            "dynamic_overwrite": q_dynamic_overwrite,
+            "clean_text_long": q_clean_text_long,
+            "far_event_times": q_far_event_times,
+            "date_coercion": q_date_coercion,
             "job_silver": q_job_silver,
             "job_gold_fact": q_job_gold_fact,
             "job_checks": q_job_checks,

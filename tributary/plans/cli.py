@@ -85,7 +85,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
             )
             query.awaitTermination()
             return query
-        kafka = read_kafka(spark, args.bootstrap_servers, args.topic)
+        kafka = read_kafka(spark, args.bootstrap_servers, args.topic, args.starting_offsets or "earliest")
         return jobs.run_kafka_to_bronze(spark, config, kafka, args.only_new_offsets)
     if args.job == "topic-schema":
         from tributary.sources.kafka import read_kafka

@@ -4,13 +4,13 @@ checks, and the scheduled order (W2-W6)."""
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.operators.aggregates import build_dashboard_aggregates
 from tributary.operators.checks import (
     bronze_metrics,
     dashboard_readiness,
@@ -20,6 +20,7 @@ from tributary.operators.checks import (
     raise_on_failures,
     silver_metrics,
 )
+from tributary.operators.gold import build_model, build_serving_tables
 from tributary.operators.quality import (
     apply_processing_window,
     enforce_strict_quality,
@@ -28,11 +29,6 @@ from tributary.operators.quality import (
     split_valid_and_quarantine,
 )
 from tributary.operators.silver import transform_to_silver
-from tributary.operators.star import (
-    add_star_schema_keys,
-    build_dimensions,
-    build_fact_recent_changes,
-)
 from tributary.schemas import (
     BRONZE_KEY,
     BRONZE_PARTITIONS,
@@ -47,8 +43,14 @@ from tributary.session import cut_lineage
 from tributary.sinks.lake import LayerWriter, run_concurrently, write_tables
 from tributary.sources.kafka import parse_raw_messages, to_bronze
 from tributary.sources.lake import (
+    BRONZE_BATCH,
+    BRONZE_STREAM,
+    child_folders,
+    delete_folder,
+    file_names,
     has_data_files,
     lake_path,
+    partition_columns,
     read_bronze,
     read_gold_table,
     read_layer,
@@ -61,6 +63,9 @@ class LakeConfig:
 
     ``base_uri`` is any Hadoop file system URI (``file:/…``, ``abfss://…``,
     ``s3a://…``); credentials belong in the Spark configuration.
+    ``layer_format`` holds for every layer that ``formats`` does not name, and
+    ``modes`` replaces a layer's write mode (Bronze appends, the others
+    overwrite).
     """
 
     base_uri: str
@@ -74,15 +79,23 @@ class LakeConfig:
     silver_partitions: str = SILVER_PARTITIONS
     quarantine_partitions: str = QUARANTINE_PARTITIONS
     gold_partitions: dict = field(default_factory=lambda: dict(GOLD_PARTITIONS))
+    formats: dict = field(default_factory=dict)
+    modes: dict = field(default_factory=dict)
 
-    def path(self, layer: str, child: str | None = None) -> str:
-        return lake_path(self.base_uri, getattr(self, f"{layer}_path"), child)
+    def format_of(self, layer: str) -> str:
+        return self.formats.get(layer, self.layer_format)
 
+    def mode_of(self, layer: str) -> str:
+        return self.modes.get(layer, "append" if layer == "bronze" else "overwrite")
 
-def _checkpoint_top_k(df: DataFrame) -> DataFrame:
-    # A top-k result (≤ 100 rows) reused by several joins: computed once and
-    # cut from its lineage in the shared checkpoint folder.
-    return cut_lineage(df)
+    def writer(self, layer: str, child: str | None = None, overwrite_partitions: str | None = None) -> LayerWriter:
+        partitions = "" if layer == "gold" else getattr(self, f"{layer}_partitions")
+        return LayerWriter(
+            self.path(layer, child), self.format_of(layer), self.mode_of(layer), partitions, overwrite_partitions
+        )
+
+    def path(self, layer: str, child: str | None = None) -> str:
+        return lake_path(self.base_uri, getattr(self, f"{layer}_path"), child)
 
 
 # --- W4 ----------------------------------------------------------------------
@@ -97,15 +110,16 @@ def run_kafka_to_bronze(
     """Batch landing of Kafka records.
 
     The batch reader rereads a topic from earliest; with ``only_new_offsets``
-    records whose (topic, partition, offset) is already in Bronze are skipped
-    (left anti join on the Bronze key), so reruns do not duplicate Bronze.
+    records whose (topic, partition, offset) is already in Bronze, landed by
+    a batch or by the stream, are skipped (left anti join on the Bronze key),
+    so reruns do not duplicate Bronze. Batches and the stream write to folders
+    of their own below the Bronze path.
     """
     bronze = to_bronze(kafka_df, ingested_at)
-    path = config.path("bronze")
-    if only_new_offsets and has_data_files(spark, path):
-        bronze = _skip_landed_offsets(bronze, read_bronze(spark, path, config.layer_format))
-    writer = LayerWriter(path, config.layer_format, "append", config.bronze_partitions)
-    return writer.write(bronze)
+    if only_new_offsets and has_data_files(spark, config.path("bronze")):
+        landed = read_bronze(spark, config.path("bronze"), config.format_of("bronze"))
+        bronze = bronze.join(landed_from(landed, lowest_offsets(bronze)), list(BRONZE_KEY), "left_anti")
+    return config.writer("bronze", BRONZE_BATCH).write(bronze)
 
 
 def start_kafka_to_bronze_stream(
@@ -121,45 +135,37 @@ def start_kafka_to_bronze_stream(
 
     return start_bronze_stream(
         kafka_stream,
-        config.path("bronze"),
+        config.path("bronze", BRONZE_STREAM),
         config.path("bronze_checkpoint"),
         trigger_interval=trigger_interval,
         available_now=available_now,
-        output_format=config.layer_format,
+        output_format=config.format_of("bronze"),
         partition_by=config.bronze_partitions,
     )
 
 
-def _skip_landed_offsets(batch: DataFrame, landed: DataFrame) -> DataFrame:
-    """Drop records of ``batch`` whose (topic, partition, offset) is in Bronze.
+def lowest_offsets(bronze: DataFrame) -> list[Row]:
+    """Lowest offset per (topic, partition) of a batch: one row per Kafka
+    partition of the subscription, a bound set by the topic configuration."""
+    return bronze.groupBy("kafka_topic", "kafka_partition").agg(F.min("kafka_offset").alias("lowest")).collect()
 
-    Only landed offsets at or above the batch's lowest offset per
-    (topic, partition) can collide, so the landed side is cut to that range
-    before the anti join instead of shuffling all of Bronze. The lookup of
-    lowest offsets has one row per Kafka partition of the subscription (a
-    bound set by the topic configuration), so it is broadcast.
-    """
-    topic_partition = ["kafka_topic", "kafka_partition"]
-    lowest = batch.groupBy(*topic_partition).agg(F.min("kafka_offset").alias("_from"))
-    candidates = (
-        landed.select(*BRONZE_KEY)
-        .join(F.broadcast(lowest), topic_partition)
-        .where(F.col("kafka_offset") >= F.col("_from"))
-        .select(*BRONZE_KEY)
-    )
-    return batch.join(candidates, list(BRONZE_KEY), "left_anti")
 
+def landed_from(landed: DataFrame, lowest: list[Row]) -> DataFrame:
+    """Keys of Bronze that a batch with these lowest offsets can meet.
 
-# --- W2 ----------------------------------------------------------------------
+    The bounds are literals, so topic folders and Parquet row groups below
+    them are skipped. Offsets that arrive after the bounds were taken lie
+    above them, and a (topic, partition) without a bound is kept whole.
+    """
+    topic, partition, offset = F.col("kafka_topic"), F.col("kafka_partition"), F.col("kafka_offset")
+    known, above = F.lit(False), F.lit(False)
+    for row in lowest:
+        same = topic.eqNullSafe(row.kafka_topic) & partition.eqNullSafe(row.kafka_partition)
+        known, above = known | same, above | (same & (offset >= F.lit(row.lowest)))
+    return landed.where(above | ~known).select(*BRONZE_KEY)
 
-def _observed_rows(observation: Observation, observed: DataFrame) -> int:
-    # An observation that saw no partition at all reports nothing; only then
-    # is the (persisted, hence cheap) frame counted.
-    try:
-        return int(observation.get.get("rows", 0))
-    except Exception:  # noqa: BLE001
-        return observed.count()
 
+# --- W2 ----------------------------------------------------------------------
 
 @dataclass
 class SilverRun:
@@ -168,6 +174,32 @@ class SilverRun:
     quarantine_rows: int
 
 
+def _silver_outside(
+    spark: SparkSession, config: LakeConfig, window: Callable[[DataFrame], DataFrame]
+) -> DataFrame | None:
+    """``meta_id`` of the stored Silver rows outside a processing window; a
+    row's window date is its event date, so the folders inside are skipped."""
+    if not has_data_files(spark, config.path("silver")):
+        return None
+    stored = read_layer(spark, config.path("silver"), config.format_of("silver"))
+    dated = stored.select("meta_id", F.col("event_date").alias("processing_window_date"))
+    inside = window(dated.select("processing_window_date").distinct())
+    return dated.join(inside, "processing_window_date", "left_anti").select("meta_id")
+
+
+def _stored_dates(
+    spark: SparkSession, config: LakeConfig, window: Callable[[DataFrame], DataFrame]
+) -> dict[str, frozenset[str]]:
+    """Silver's date folders inside the window, with the files of each."""
+    if partition_columns(config.silver_partitions) != ["event_date"]:
+        return {}
+    folders = [n for n in child_folders(spark, config.path("silver")) if n.startswith("event_date=")]
+    names = spark.createDataFrame([(n,) for n in folders], "name string")
+    date = F.col("name").substr(F.lit(len("event_date=") + 1), F.length("name")).try_cast("date")
+    inside = window(names.withColumn("processing_window_date", date)).collect()  # a row per stored date
+    return {r.name: file_names(spark, f"{config.path('silver')}/{r.name}") for r in inside}
+
+
 def run_bronze_to_silver(
     spark: SparkSession,
     config: LakeConfig,
@@ -177,49 +209,62 @@ def run_bronze_to_silver(
     lookback_days: int | None = None,
     strict: bool = False,
     as_of: dt.datetime | None = None,
-    ingested_from: dt.date | None = None,
 ) -> SilverRun:
     """Bronze -> parsed -> classified -> window -> Silver + quarantine.
 
     The classified frame is persisted, so Bronze is scanned and parsed once
-    for both outputs (a lost executor only recomputes its blocks). Silver is
-    written with dynamic partition overwrite by ``event_date``: a rerun
-    replaces the dates it processed instead of appending duplicates. The
-    quarantine count comes from an observation on the quarantine write, not
-    from an extra job; the strict gate fires after both writes.
+    for both outputs (a lost executor only recomputes its blocks); the raw
+    message stays in it for rejected rows only.
+
+    Silver holds one row per ``meta_id`` after any order of runs. A full run
+    replaces Silver: of the copies of a ``meta_id`` the lowest (topic,
+    partition, offset) survives. A windowed run replaces the dates of its
+    window: a stored row outside the window keeps its ``meta_id`` and wins
+    over the window's copies, and the lowest key survives among those.
+
+    The quarantine count comes from an observation on the quarantine write,
+    not from an extra job; the strict gate fires after both writes.
     """
-    bronze = read_bronze(spark, config.path("bronze"), config.layer_format, ingested_from)
+    bronze = read_bronze(spark, config.path("bronze"), config.format_of("bronze"))
     prepared = prepare_for_quality_checks(parse_raw_messages(bronze), late_arrival_days, as_of)
-    windowed = apply_processing_window(prepared, start, end, lookback_days, as_of)
+
+    def window(df: DataFrame) -> DataFrame:
+        return apply_processing_window(df, start, end, lookback_days, as_of)
+
+    windowed_run = start is not None or end is not None or lookback_days is not None
+    rejected = F.col("quality_error_category").isNotNull()
+    windowed = window(prepared).withColumn("raw_message", F.when(rejected, F.col("raw_message")))
     windowed = windowed.persist(StorageLevel.MEMORY_AND_DISK)
+    overwrite = "dynamic" if windowed_run else "static"
     try:
         valid, quarantine = split_valid_and_quarantine(windowed)
-        silver_writer = LayerWriter(
-            config.path("silver"), config.layer_format, "overwrite",
-            config.silver_partitions, overwrite_partitions="dynamic",
-        )
-        windowed_run = start is not None or end is not None or lookback_days is not None
+        outside = _silver_outside(spark, config, window) if windowed_run else None
+        if outside is not None:
+            valid = valid.join(outside, "meta_id", "left_anti")
+        silver = transform_to_silver(valid)
+        before = _stored_dates(spark, config, window) if windowed_run else {}
         observation = Observation("quarantine")
-        rejected = select_quarantine_columns(quarantine)
-        quarantine_writer = LayerWriter(
-            config.path("quarantine"), config.layer_format, "overwrite",
-            config.quarantine_partitions,
-            overwrite_partitions="dynamic" if windowed_run else "static",
-        )
+        rows = [F.count(F.lit(1)).alias("rows")]
         paths = run_concurrently(
             {
-                "silver": lambda: silver_writer.write(transform_to_silver(valid)),
-                "quarantine": lambda: quarantine_writer.write(
-                    rejected, observe=(observation, [F.count(F.lit(1)).alias("rows")])
+                "silver": lambda: config.writer("silver", overwrite_partitions=overwrite).write(silver),
+                "quarantine": lambda: config.writer("quarantine", overwrite_partitions=overwrite).write(
+                    select_quarantine_columns(quarantine), observe=(observation, rows)
                 ),
             }
         )
-        silver_path, quarantine_path = paths["silver"], paths["quarantine"]
-        rows = _observed_rows(observation, rejected)
+        # A dynamic overwrite leaves dates that this run has no row for, with
+        # rows whose survivor has moved to another date: they keep their files.
+        after = _stored_dates(spark, config, window) if before else {}
+        for name in before:
+            if after.get(name) == before[name]:
+                delete_folder(spark, f"{config.path('silver')}/{name}")
+        # A write without any partition reports no metrics: no row was rejected.
+        quarantined = int(observation.get.get("rows", 0))
     finally:
         windowed.unpersist()
-    enforce_strict_quality(rows, strict)
-    return SilverRun(silver_path, quarantine_path, rows)
+    enforce_strict_quality(quarantined, strict)
+    return SilverRun(paths["silver"], paths["quarantine"], quarantined)
 
 
 # --- W3 ----------------------------------------------------------------------
@@ -228,30 +273,17 @@ def run_silver_to_gold(spark: SparkSession, config: LakeConfig) -> dict[str, str
     """Silver -> 5 dimensions + fact -> 8 serving tables.
 
     Gold is a full rebuild, so every table is written with static overwrite
-    (a dynamic overwrite would leave old snapshot dates behind). The keyed
-    Silver frame is persisted while the six model tables are written; the
-    serving tables are then built from the written fact and dimensions, which
-    cuts the lineage and avoids recomputing the model for each of them.
+    (a dynamic overwrite would leave old snapshot dates behind). Each model
+    table reads the columns it needs from stored Silver; the serving tables
+    are then built from the written fact and dimensions, which cuts the
+    lineage and avoids recomputing the model for each of them.
     """
-    silver = read_layer(spark, config.path("silver"), config.layer_format)
-    gold = LayerWriter(config.path("gold"), config.layer_format, "overwrite")
-    modeled = add_star_schema_keys(silver).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = build_dimensions(modeled)
-        model["fact_recent_changes"] = build_fact_recent_changes(modeled)
-        paths = write_tables(gold, model, config.gold_partitions)
-    finally:
-        modeled.unpersist()
-    gold_path = config.path("gold")
-    written = {name: read_gold_table(spark, gold_path, name, config.layer_format) for name in model}
-    aggregates = build_dashboard_aggregates(
-        written["fact_recent_changes"],
-        written["dim_wiki"],
-        written["dim_page"],
-        written["dim_user"],
-        written["dim_event_type"],
-        materialize=_checkpoint_top_k,
-    )
+    silver = read_layer(spark, config.path("silver"), config.format_of("silver"))
+    gold = config.writer("gold")
+    model = build_model(silver)
+    paths = write_tables(gold, model, config.gold_partitions)
+    written = read_gold_tables(spark, config, model)
+    aggregates = build_serving_tables(written, materialize=cut_lineage)  # a top-k of 100 rows
     paths.update(write_tables(gold, aggregates, config.gold_partitions))
     return paths
 
@@ -259,18 +291,18 @@ def run_silver_to_gold(spark: SparkSession, config: LakeConfig) -> dict[str, str
 # --- W5 / Q17 -------------------------------------------------------------------
 
 def read_gold_tables(spark: SparkSession, config: LakeConfig, names=GOLD_TABLES) -> dict[str, DataFrame]:
-    return {n: read_gold_table(spark, config.path("gold"), n, config.layer_format) for n in names}
+    return {n: read_gold_table(spark, config.path("gold"), n, config.format_of("gold")) for n in names}
 
 
 def lake_metrics(spark: SparkSession, config: LakeConfig, skip_bronze: bool = False) -> DataFrame:
     """All layer metrics as one lazy frame ``(check, metric, value, failed)``."""
     frames = []
     if not skip_bronze:
-        frames.append(bronze_metrics(read_bronze(spark, config.path("bronze"), config.layer_format)))
-    frames.append(silver_metrics(read_layer(spark, config.path("silver"), config.layer_format)))
+        frames.append(bronze_metrics(read_bronze(spark, config.path("bronze"), config.format_of("bronze"))))
+    frames.append(silver_metrics(read_layer(spark, config.path("silver"), config.format_of("silver"))))
     quarantine_path = config.path("quarantine")
     quarantine = (
-        read_layer(spark, quarantine_path, config.layer_format)
+        read_layer(spark, quarantine_path, config.format_of("quarantine"))
         if has_data_files(spark, quarantine_path)
         else None
     )

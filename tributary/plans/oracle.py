@@ -151,7 +151,11 @@ timed AS (
   FROM loaded
 ),
 dated AS (
-  SELECT *, CAST(parsed_event_datetime AS DATE) AS event_date FROM timed
+  SELECT * REPLACE (CASE WHEN year(parsed_event_datetime) BETWEEN 1 AND 214748 THEN parsed_event_datetime END
+                    AS parsed_event_datetime),
+         CAST(CASE WHEN year(parsed_event_datetime) BETWEEN 1 AND 214748 THEN parsed_event_datetime END AS DATE)
+           AS event_date
+  FROM timed
 ),
 prepared AS (
   SELECT *,
@@ -387,6 +391,29 @@ def _top(table: str, labels: list[str], n: int) -> str:
     return f"SELECT {cols}, events FROM {table} ORDER BY events DESC NULLS LAST, {order} LIMIT {n}"
 
 
+# Cleaned events without the quality stage: identifying fields, one row per
+# meta_id, a readable time; the 24 Silver columns.
+_TRANSFORMED = f"""
+SELECT event_id, meta_id, lower(trim(event_type)) AS event_type, parsed_event_datetime AS event_datetime,
+       event_date, lower(trim(wiki)) AS wiki, lower(trim(domain)) AS domain,
+       lower(trim(stream_name)) AS stream_name, namespace, {blank_to_null_sql('page_title')} AS page_title,
+       {blank_to_null_sql('page_url')} AS page_url, {blank_to_null_sql('event_user')} AS event_user,
+       coalesce(is_bot, false) AS is_bot, coalesce(is_minor, false) AS is_minor,
+       coalesce(is_patrolled, false) AS is_patrolled, lower(trim(server_name)) AS server_name,
+       {blank_to_null_sql('coalesce(parsed_comment, comment)')} AS comment, bronze_ingested_at, source_system,
+       message_key, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp
+FROM (SELECT * FROM prepared
+      WHERE event_id IS NOT NULL AND meta_id IS NOT NULL AND event_type IS NOT NULL
+        AND wiki IS NOT NULL AND page_title IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY meta_id ORDER BY kafka_topic, kafka_partition, kafka_offset) = 1)
+WHERE parsed_event_datetime IS NOT NULL"""
+
+_LONG = (
+    f"(repeat(' ', {C.LONG_RUN}) || html || repeat('<b>', {C.LONG_RUN}) || 'middle' "
+    f"|| repeat('&nbsp;', {C.LONG_RUN}) || 'end')"
+)
+
+
 def _gold_select(name: str) -> str:
     return f"SELECT * FROM {name}"
 
@@ -419,6 +446,41 @@ def oracle_sql() -> dict[str, str]:
             "recent_events_snapshot": "SELECT * FROM recent_events_snapshot",
             "dashboard_base": "SELECT * EXCLUDE (recent_change_key) FROM base",
             "stream_bronze": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
+            "stream_restart": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
+            "bronze_batch_then_stream": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
+            "bronze_stream_then_batch": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
+            "batch_new_offsets": "SELECT * FROM bronze",
+            "kafka_scan": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
+            "loaded_bronze": "SELECT * FROM loaded",
+            "loaded_transformed": _TRANSFORMED,
+            "silver_window_rerun": "SELECT * FROM silver",
+            "quarantine_window_rerun": "SELECT * FROM quarantine",
+            "silver_moved_survivor": "SELECT * FROM silver",
+            "strict_gate": (
+                "SELECT true AS gate_fired, (SELECT count(*) FROM silver) AS silver_rows, "
+                "(SELECT count(*) FROM quarantine) AS quarantine_rows"
+            ),
+            "scheduled": "SELECT * FROM agg_events_by_date",
+            "star_schema_rows": "\nUNION ALL ".join(
+                f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}"
+                for name in C.GOLD_NAMES + ("recent_events_snapshot",)
+            ),
+            "csv_exports": f"""
+SELECT 'events_by_date' AS export, count(*) AS rows FROM agg_events_by_date WHERE event_date BETWEEN {ss} AND {se}
+UNION ALL SELECT 'event_types', least(count(*), {C.TOP_N}) FROM agg_events_by_type
+UNION ALL SELECT 'top_pages', least(count(*), {C.TOP_N}) FROM agg_top_pages
+UNION ALL SELECT 'recent_events', least(count(*), {C.RECENT_ROWS}) FROM recent_in_range""",
+            "csv_top_pages": _top("agg_top_pages", ["page_title", "namespace"], C.TOP_N),
+            "dynamic_overwrite": (
+                "SELECT event_id, CASE WHEN event_type = 'click' THEN value * 2 ELSE value END AS value, "
+                "event_type FROM events"
+            ),
+            "clean_text_long": f"""
+SELECT page_id, {clean_sql(_LONG)} AS clean_html FROM pages""",
+            "date_coercion": """
+SELECT o_orderkey, TRY_CAST(t AS DATE) AS day, TRY_CAST(t AS TIMESTAMP) AS at
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'no date'
+             WHEN o_orderkey % 11 <> 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') END AS t FROM orders)""",
             "job_silver": "SELECT * FROM silver",
             "job_gold_fact": "SELECT * FROM fact_recent_changes",
             "job_checks": "\nUNION ALL ".join([
@@ -544,4 +606,10 @@ FROM agg_events_by_date""",
             ),
         }
     )
-    return {name: _with(text) for name, text in sql.items()}
+    found = {name: _with(text) for name, text in sql.items()}
+    # The feed with far-off seconds where the text time is unreadable.
+    far = CTES.replace("CASE WHEN d <> 6 THEN CAST(floor", f"CASE WHEN d = 7 THEN {C.FAR_SECONDS} WHEN d <> 6 THEN CAST(floor")
+    found["far_event_times"] = f"""WITH {far}
+SELECT date_key, count(*) AS events FROM fact_recent_changes GROUP BY 1
+UNION ALL SELECT NULL, count(*) FROM quarantine WHERE quality_error_category = 'invalid_event_timestamp'"""
+    return found

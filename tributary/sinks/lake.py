@@ -139,6 +139,22 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+#: Dashboard views that the page offers as CSV files (K9).
+DASHBOARD_EXPORTS = ("events_by_date", "event_types", "top_pages", "recent_events")
+
+
+def export_dashboard(views: Mapping[str, DataFrame], base_path: str, mode: str = "overwrite") -> dict[str, str]:
+    """The four CSV exports of the dashboard (K9): the date-filtered series, event
+    types and top pages cut to the chosen number, and the recent events shown.
+
+    ``views`` is the result of ``serving.dashboard_views``; each export is a
+    folder named after it below ``base_path``."""
+    return {
+        name: export_csv(views[name if name in views else f"{name}_chart"], f"{base_path.rstrip('/')}/{name}", mode)
+        for name in DASHBOARD_EXPORTS
+    }
+
+
 def preview(df: DataFrame, rows: int = 5) -> None:
     """Schema and the first rows, untruncated."""
     df.printSchema()

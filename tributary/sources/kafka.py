@@ -12,6 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tributary.functions.time import clock
 from tributary.schemas import (
@@ -31,6 +32,7 @@ def read_kafka(
     ending_offsets: str = "latest",
     options: Mapping[str, str] | None = None,
     source_format: str = "kafka",
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Bounded scan of one topic (S1); also the topic inspection scan (S3)."""
     reader = (
@@ -42,6 +44,8 @@ def read_kafka(
     )
     for name, value in (options or {}).items():
         reader = reader.option(name, value)
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.load()
 
 
@@ -52,8 +56,10 @@ def read_kafka_stream(
     starting_offsets: str | None = None,
     options: Mapping[str, str] | None = None,
     source_format: str = "kafka",
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """Unbounded scan (S2); offsets are tracked by the sink's checkpoint."""
+    """Unbounded scan (S2); offsets are tracked by the sink's checkpoint. File
+    formats need a ``schema`` (``KAFKA_SCHEMA``) and a ``path`` option."""
     reader = (
         spark.readStream.format(source_format)
         .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -63,6 +69,8 @@ def read_kafka_stream(
     )
     for name, value in (options or {}).items():
         reader = reader.option(name, value)
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.load()
 
 

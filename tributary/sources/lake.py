@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from py4j.java_gateway import is_instance_of
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -42,24 +45,63 @@ def partition_columns(spec: str | Sequence[str] | None) -> list[str]:
 _NO_DATA_CONDITIONS = ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a URI."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _is_missing(spark: SparkSession, error: Py4JJavaError) -> bool:
+    return is_instance_of(spark.sparkContext._gateway, error.java_exception, "java.io.FileNotFoundException")
+
+
 def has_data_files(spark: SparkSession, path: str) -> bool:
     """True when the folder (recursively) holds a data file.
 
-    Spark's file listing already skips hidden and ``_``-prefixed files
-    (``_SUCCESS``, ``_committed_*``). Only file paths are selected, so no file
-    content is read, and ``isEmpty`` moves at most one row to the driver, not
-    the folder's file list. Any failure counts as "no data".
+    Hidden files and folders (``.`` or ``_`` in front: ``_SUCCESS``,
+    ``_spark_metadata``) do not count. The file system's own iterator is
+    walked and left at the first data file, so a large folder is not listed.
+    Only a missing path means "no"; any other storage error is raised.
     """
+    fs, root = _file_system(spark, path)
+    try:
+        skip = len(fs.makeQualified(root).toString().rstrip("/")) + 1
+        files = fs.listFiles(root, True)
+        while files.hasNext():
+            parts = files.next().getPath().toString()[skip:].split("/")
+            if not any(part.startswith((".", "_")) for part in parts):
+                return True
+    except Py4JJavaError as error:
+        if not _is_missing(spark, error):
+            raise
+    return False
+
+
+def _children(spark: SparkSession, path: str, folders: bool) -> list[str]:
+    fs, root = _file_system(spark, path)
     try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(path)
-            .select("path")
-        )
-        return not listing.isEmpty()
-    except Exception:  # noqa: BLE001 - missing path or storage error means "no"
-        return False
+        found = fs.listStatus(root)
+    except Py4JJavaError as error:
+        if not _is_missing(spark, error):
+            raise
+        return []
+    names = [status.getPath().getName() for status in found if status.isDirectory() == folders]
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible folders right below ``path`` (none if it is missing)."""
+    return _children(spark, path, folders=True)
+
+
+def file_names(spark: SparkSession, path: str) -> frozenset[str]:
+    """Names of the visible files right below ``path``."""
+    return frozenset(_children(spark, path, folders=False))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, root = _file_system(spark, path)
+    fs.delete(root, True)
 
 
 def read_layer(
@@ -93,21 +135,32 @@ def read_layer(
         raise
 
 
-def read_bronze(
-    spark: SparkSession,
-    path: str,
-    source_format: str = "parquet",
-    ingested_from=None,
-) -> DataFrame:
-    """Bronze scan with its explicit schema.
+#: Folders below Bronze. A streaming file sink keeps its own list of committed
+#: files, and readers of its folder see no others, so batch runs write beside it.
+BRONZE_BATCH, BRONZE_STREAM = "batch", "stream"
+
+
+def read_bronze(spark: SparkSession, path: str, source_format: str = "parquet") -> DataFrame:
+    """Bronze scan with its explicit schema (S6): what batch runs and what
+    streams have landed, and files that lie right below ``path`` itself.
 
     The schema keeps partition values typed as written (a numeric topic name
-    stays a string). ``ingested_from`` prunes ``bronze_ingested_date`` folders.
+    stays a string), and partition filters reach each part's scan.
     """
-    bronze = read_layer(spark, path, source_format, schema=BRONZE_SCHEMA)
-    if ingested_from is not None:
-        bronze = bronze.where(bronze.bronze_ingested_date >= ingested_from)
-    return bronze
+    root = path.rstrip("/")
+    folders = child_folders(spark, root)
+    parts = [
+        read_layer(spark, f"{root}/{child}", source_format, schema=BRONZE_SCHEMA)
+        for child in (BRONZE_BATCH, BRONZE_STREAM)
+        if child in folders and has_data_files(spark, f"{root}/{child}")
+    ]
+    own = [name for name in folders if name not in (BRONZE_BATCH, BRONZE_STREAM)]
+    if parts and own:
+        below = spark.read.format(source_format).schema(BRONZE_SCHEMA).option("basePath", root)
+        parts.append(below.load([f"{root}/{name}" for name in own]))
+    if not parts:
+        return read_layer(spark, root, source_format, schema=BRONZE_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_gold_table(
