@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tributary.functions import (
@@ -83,6 +84,26 @@ def test_event_time_fallbacks(spark):
     assert year > 50_000  # Unix milliseconds read as seconds: kept, far future
 
 
+def test_times_without_a_date_key_are_unreadable(spark):
+    rows = [(None, 7_000_000_000_000), (None, 9_223_372_036_855), (None, -70_000_000_000), ("0001-01-01T00:00:00Z", 0)]
+    got = one(spark, event_time("d", "u").cast("string"), rows, "d string, u long")
+    assert got == [None, None, None, "0001-01-01 00:00:00"]
+    keys = spark.sql(
+        "select make_date(214748, 12, 31) d union all select make_date(1, 1, 1) union all select make_date(214749, 1, 1) "
+        "union all select make_date(0, 5, 5) union all select cast(null as date)"
+    ).select(date_key("d").alias("k"))
+    assert sorted((r.k for r in keys.collect()), key=str) == sorted([2147481231, 10101, None, None, None], key=str)
+
+
+@pytest.mark.parametrize("run", ["<b>", " ", "&nbsp;", "\n<i></i>&#160;", "&quot;", "x<y "])
+def test_clean_text_has_no_length_limit(spark, run):
+    n = 1_000_000 if run != "x<y " else 2_000
+    df = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(run), n), F.lit("z>")).alias("t"))
+    got = df.select(clean_text("t").alias("c")).first().c
+    want = {"&quot;": "a" + '"' * n + "z>", "x<y ": "ax", "<b>": "a z>", " ": "a z>", "&nbsp;": "a z>"}
+    assert got == want.get(run, "a z>")
+
+
 def test_event_time_keeps_repeated_dst_hour(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:

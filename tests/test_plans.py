@@ -5,6 +5,9 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.conftest import SMALL_SF
 from tributary.plans import catalog
 from tributary.sources.lake import read_bronze
@@ -24,6 +27,48 @@ def test_json_parsed_once(spark):
     assert "Scan ExistingRDD" not in text
 
 
+SERVING_TABLES = (
+    "agg_events_by_type", "agg_events_by_wiki", "agg_top_users", "agg_top_pages", "recent_events_snapshot",
+)
+
+
+@pytest.mark.parametrize("name", SERVING_TABLES)
+def test_serving_tables_parse_once_and_join_nothing(spark, name):
+    text = plan_text(QUERIES[name](spark, SMALL_SF))
+    assert text.count("Generate inline") == 1
+    assert "Join" not in text
+
+
+@pytest.mark.parametrize("name", SERVING_TABLES)
+def test_one_pass_tables_equal_the_join_form(spark, name):
+    from tributary.operators.gold import build_star_schema, serving_tables_of
+    from tributary.plans.catalog import _silver
+
+    silver = _silver(spark, SMALL_SF).persist()
+    # equal keys of different attributes: the dimension's row names them both
+    odd = silver.limit(40).withColumns({
+        "meta_id": F.concat(F.lit("odd-"), "meta_id"),
+        "event_user": F.when(F.col("event_id") % 2 == 0, F.lit("__null__")),
+        "event_type": F.when(F.col("event_id") % 2 == 0, F.lit("__null__")),
+    })
+    both = silver.unionByName(odd) if name != "recent_events_snapshot" else silver
+    want, got = build_star_schema(both)[name], serving_tables_of(both)[name]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    silver.unpersist()
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("serving_")])
+def test_serving_queries_are_built_without_a_job(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"build-{name}", "query construction")
+    try:
+        QUERIES[name](spark, SMALL_SF)
+        # reading a Parquet footer for the schema is the only job there is
+        assert len(tracker.getJobIdsForGroup(f"build-{name}")) <= 1
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_snapshot_is_top_k(spark):
     from tributary.operators import aggregates
     from tributary.plans.catalog import _model
@@ -37,8 +82,6 @@ def test_snapshot_is_top_k(spark):
 
 
 def test_bronze_partition_pruning(spark, tmp_path):
-    from pyspark.sql import functions as F
-
     from tributary.plans import jobs
     from tributary.sources.feed import change_feed
 

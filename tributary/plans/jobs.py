@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -153,16 +154,22 @@ def lowest_offsets(bronze: DataFrame) -> list[Row]:
 def landed_from(landed: DataFrame, lowest: list[Row]) -> DataFrame:
     """Keys of Bronze that a batch with these lowest offsets can meet.
 
-    The bounds are literals, so topic folders and Parquet row groups below
-    them are skipped. Offsets that arrive after the bounds were taken lie
-    above them, and a (topic, partition) without a bound is kept whole.
+    The bounds are literals on one topic at a time (a partition filter), so
+    Parquet row groups below them are skipped. Offsets that arrive after the
+    bounds were taken lie above them; a topic or partition without a bound is
+    kept whole.
     """
     topic, partition, offset = F.col("kafka_topic"), F.col("kafka_partition"), F.col("kafka_offset")
-    known, above = F.lit(False), F.lit(False)
+    bounds: dict[str, dict[int, int]] = {}
     for row in lowest:
-        same = topic.eqNullSafe(row.kafka_topic) & partition.eqNullSafe(row.kafka_partition)
-        known, above = known | same, above | (same & (offset >= F.lit(row.lowest)))
-    return landed.where(above | ~known).select(*BRONZE_KEY)
+        bounds.setdefault(row.kafka_topic, {})[row.kafka_partition] = row.lowest
+    parts = [landed.where(~topic.isin(list(bounds)))]
+    for name, own in bounds.items():
+        met = ~partition.isin(list(own))
+        for number, first in own.items():
+            met = met | ((partition == number) & (offset >= first))
+        parts.append(landed.where((topic == name) & met))
+    return reduce(DataFrame.unionByName, parts).select(*BRONZE_KEY)
 
 
 # --- W2 ----------------------------------------------------------------------
