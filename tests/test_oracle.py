@@ -1,6 +1,10 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
 import os
+import pathlib
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -8,10 +12,11 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SMALL_SF
 from tools.compare_oracle import TABLES, rows_of
+from tributary.plans import catalog, oracle
 
-QUERIES = entry.queries()
+QUERIES = catalog.queries()
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
-SQL = entry.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +31,21 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
+def test_entry_works_without_the_corpus_operators(tmp_path):
+    """The corpus operators and the pipeline can be taken out of the repository."""
+    root = pathlib.Path(entry.__file__).parent
+    corpus = ("corpus_pipeline.py", "llm")
+    shutil.copytree(
+        root, tmp_path / "repo", ignore=lambda _, names: [n for n in names if n in corpus or n.startswith((".", "__pycache__"))]
+    )
+    code = "import __spark_entry__ as e; q = e.queries(); print(len(q)); assert set(e.oracle_sql()) == set(q)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", env=env, capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) == len(QUERIES)
 
 
 def test_entry_runs(spark):
