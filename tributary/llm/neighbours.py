@@ -9,8 +9,8 @@ vector is then assigned to the list of its nearest centroid.
 Search: a query visits its probed lists. Distances are added up over blocks of
 rotated components; after each block a candidate is abandoned if its partial
 distance, scaled to all components and lowered by the test's margin, is beyond
-the query's bound (``EPSILON`` standard deviations as in the sampling test of a
-random rotation). The bound is the distance of the query's last wanted
+the query's bound (``EPSILON`` standard deviations of the share of a distance
+that lies in some components of a random rotation). The bound is the distance of the query's last wanted
 neighbour within the sample, which the sought one can't exceed. Survivors are
 scored exactly: the inner product of the original vectors in double precision.
 
@@ -179,11 +179,18 @@ def scan_lists(
         if number + 1 >= len(edges) or edges[number] == edges[number + 1]:
             continue
         members, asking = order[edges[number] : edges[number + 1]], np.array(rows)
-        # The first block for all pairs of the list, the others for survivors.
-        a, b = q_rot[asking, :BLOCK_DIMS], x_rot[members, :BLOCK_DIMS]
-        partial = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
-        done = min(BLOCK_DIMS, dims)
-        qi, xi = np.nonzero(partial <= limit(bound[asking], done, dims)[:, None])
+        # Blocks for all pairs of the list while many are alive, then for survivors.
+        q_own, x_own, limits = q_rot[asking], x_rot[members], bound[asking]
+        partial, done = np.zeros((len(asking), len(members))), 0
+        while True:
+            stop = min(done + BLOCK_DIMS, dims)
+            a, b = q_own[:, done:stop], x_own[:, done:stop]
+            partial += (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
+            done = stop
+            alive = partial <= limit(limits, done, dims)[:, None]
+            if done == dims or 4 * np.count_nonzero(alive) < alive.size:
+                break
+        qi, xi = np.nonzero(alive)
         partial = partial[qi, xi]
         qi, xi = asking[qi], members[xi]
         while done < dims and len(qi):
@@ -201,10 +208,16 @@ def scan_lists(
 
 
 def limit(bound: np.ndarray, done: int, dims: int) -> np.ndarray:
-    """Largest partial distance after ``done`` components that is not abandoned."""
+    """Largest partial distance after ``done`` components that is not abandoned.
+
+    Under a random rotation the share of a distance that lies in ``done`` of
+    ``dims`` components follows a beta law; a distance equal to the bound stays
+    unless its share is ``EPSILON`` standard deviations above the mean.
+    """
     if done >= dims:
         return bound * (1 + 1e-9) + 1e-9
-    return bound * (done / dims) * (1 + EPSILON / math.sqrt(done)) ** 2
+    deviation = math.sqrt(2 * (dims - done) / (done * (dims + 2)))
+    return bound * (done / dims) * (1 + EPSILON * deviation)
 
 
 def _pack(counts: dict[int, int]) -> dict[int, list[int]]:
