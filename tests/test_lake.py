@@ -133,6 +133,43 @@ def test_moved_survivor_leaves_no_old_row(spark, tmp_lake):
     assert silver_rows(spark, config) == [("a", 4, 0, -1), ("b", 3, 0, -2)]
 
 
+def test_windowed_run_scans_the_ingest_dates_it_needs(spark, tmp_lake):
+    config = jobs.LakeConfig(base_uri=f"file:{tmp_lake}")
+    days = {d: dt.datetime(2024, 1, d, 12) for d in (5, 6, 7)}
+    first = [("a", 5, 0, 0), ("b", 6, 0, 1), ("c", 7, 0, 2)]
+    for row, day in zip(first, days.values(), strict=True):
+        jobs.run_kafka_to_bronze(spark, config, kafka_frame(spark, copies(row)), ingested_at=day)
+    # on the 7th a late row, a row from an early clock and a rejected one land
+    late = [*copies(("late", 1, 1, 0), ("early", 30, 1, 1)), ("no json", 1, 2)]
+    jobs.run_kafka_to_bronze(spark, config, kafka_frame(spark, late), ingested_at=days[7])
+    jobs.run_bronze_to_silver(spark, config, as_of=AS_OF)
+    full = silver_rows(spark, config)
+    rejected = read_layer(spark, config.path("quarantine")).count()
+
+    def scanned(first, last):
+        landed = jobs._landed_dates(spark, config)
+        records = jobs._window_records(spark, config, landed)
+        bronze = read_bronze(spark, config.path("bronze"))
+        df = jobs.bronze_in_window(spark, bronze, records, F.lit(first).cast("date"), F.lit(last).cast("date"))
+        dates = {r[0].day for r in df.select("bronze_ingested_date").distinct().collect()}
+        return dates, df._jdf.queryExecution().executedPlan().toString()
+
+    dates, plan = scanned("2024-01-05", "2024-01-05")
+    assert dates == {5, 7}  # the 7th holds dates from the 1st to the 30th
+    assert "PartitionFilters: [" in plan and "bronze_ingested_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert scanned("2024-01-06", "2024-01-06")[0] == {6, 7}
+    for day in (1, 5, 6, 7, 30):
+        jobs.run_bronze_to_silver(spark, config, start=f"2024-01-{day:02d}", end=f"2024-01-{day:02d}", as_of=AS_OF)
+        assert silver_rows(spark, config) == full
+        assert read_layer(spark, config.path("quarantine")).count() == rejected
+    # a row that lands later on a recorded date makes its record void
+    jobs.run_kafka_to_bronze(spark, config, kafka_frame(spark, copies(("d", 6, 2, 0))), ingested_at=days[5])
+    assert scanned("2024-01-06", "2024-01-06")[0] == {5, 6, 7}
+    jobs.run_bronze_to_silver(spark, config, start="2024-01-06", end="2024-01-06", as_of=AS_OF)
+    assert silver_rows(spark, config) == sorted([*full, ("d", 6, 2, 0)])
+    assert scanned("2024-01-07", "2024-01-07")[0] == {7}
+
+
 def test_first_run_may_be_windowed(spark, tmp_lake):
     config = jobs.LakeConfig(base_uri=f"file:{tmp_lake}")
     land(spark, config, [("a", 5, 0, 0), ("a", 6, 0, 1)])

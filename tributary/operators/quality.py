@@ -135,26 +135,37 @@ def _as_date(value: dt.date | str | None, name: str) -> dt.date | None:
         raise ValueError(f"{name} must be a yyyy-mm-dd date, got {value!r}") from exc
 
 
-def apply_processing_window(
-    df: DataFrame,
+def window_bounds(
     start: dt.date | str | None = None,
     end: dt.date | str | None = None,
     lookback_days: int | None = None,
     as_of: dt.datetime | dt.date | None = None,
-) -> DataFrame:
-    """Inclusive bounds on ``processing_window_date``.
+) -> tuple[Column | None, Column | None]:
+    """Inclusive bounds of a processing window; None where it is open.
 
     The look-back (``>= today - n``) applies only when neither bound is set.
     Bounds are real dates, so a malformed value fails before any job runs.
     """
     start, end = _as_date(start, "start"), _as_date(end, "end")
-    window_date = F.col("processing_window_date")
-    if start is not None:
-        df = df.where(window_date >= F.lit(start))
-    if end is not None:
-        df = df.where(window_date <= F.lit(end))
+    first = None if start is None else F.lit(start)
     if start is None and end is None and lookback_days is not None:
-        df = df.where(window_date >= F.date_sub(clock_date(as_of), lookback_days))
+        first = F.date_sub(clock_date(as_of), lookback_days)
+    return first, None if end is None else F.lit(end)
+
+
+def apply_processing_window(
+    df: DataFrame,
+    start: dt.date | str | None = None,
+    end: dt.date | str | None = None,
+    lookback_days: int | None = None,
+    as_of: dt.datetime | dt.date | None = None,
+) -> DataFrame:
+    """Inclusive bounds on ``processing_window_date``."""
+    first, last = window_bounds(start, end, lookback_days, as_of)
+    if first is not None:
+        df = df.where(F.col("processing_window_date") >= first)
+    if last is not None:
+        df = df.where(F.col("processing_window_date") <= last)
     return df
 
 

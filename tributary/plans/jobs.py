@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.operators.checks import (
@@ -28,6 +28,7 @@ from tributary.operators.quality import (
     prepare_for_quality_checks,
     select_quarantine_columns,
     split_valid_and_quarantine,
+    window_bounds,
 )
 from tributary.operators.silver import transform_to_silver
 from tributary.schemas import (
@@ -49,6 +50,7 @@ from tributary.sources.lake import (
     child_folders,
     delete_folder,
     file_names,
+    folder_size,
     has_data_files,
     lake_path,
     partition_columns,
@@ -75,6 +77,7 @@ class LakeConfig:
     quarantine_path: str = "quarantine/recent_changes"
     gold_path: str = "gold/recent_changes"
     bronze_checkpoint_path: str = "checkpoints/bronze"
+    bronze_windows_path: str = "checkpoints/bronze_windows"
     layer_format: str = "parquet"
     bronze_partitions: str = BRONZE_PARTITIONS
     silver_partitions: str = SILVER_PARTITIONS
@@ -174,6 +177,16 @@ def landed_from(landed: DataFrame, lowest: list[Row]) -> DataFrame:
 
 # --- W2 ----------------------------------------------------------------------
 
+def bronze_in_window(
+    spark: SparkSession, bronze: DataFrame, records: list[Row], first: Column | None, last: Column | None
+) -> DataFrame:
+    """Bronze without the ingest dates that hold no row of the window, as far
+    as their records say; a partition filter of the scan."""
+    skip = _dates_to_skip(spark, records, first, last) if records else []
+    day = F.col("bronze_ingested_date")
+    return bronze.where(day.isNull() | ~day.isin(skip)) if skip else bronze
+
+
 @dataclass
 class SilverRun:
     silver_path: str
@@ -181,6 +194,71 @@ class SilverRun:
     quarantine_rows: int
 
 
+# What each Bronze ingest date holds, so that a windowed run can leave out the
+# dates that can't meet its window. ``files`` and ``bytes`` are the size of the
+# date's folders when its rows were read: landing only ever adds files, so a
+# record with another size is out of date and its date is read again.
+WINDOW_RECORD = "bronze_ingested_date date, files long, bytes long, first_date date, last_date date"
+
+
+def _landed_dates(spark: SparkSession, config: LakeConfig) -> dict[dt.date, tuple[int, int]]:
+    """(files, bytes) of each ingest date's folders; one entry per date."""
+    column = "bronze_ingested_date"
+    found: dict[dt.date, tuple[int, int]] = {}
+    if partition_columns(config.bronze_partitions)[:1] != [column]:
+        return found
+    for root in (config.path("bronze"), config.path("bronze", BRONZE_BATCH), config.path("bronze", BRONZE_STREAM)):
+        for name in child_folders(spark, root):
+            try:
+                date = dt.date.fromisoformat(name.removeprefix(f"{column}="))
+            except ValueError:
+                continue  # another folder, or the null date, which is always read
+            files, size = folder_size(spark, f"{root}/{name}")
+            before = found.get(date, (0, 0))
+            found[date] = (before[0] + files, before[1] + size)
+    return found
+
+
+def _window_records(spark: SparkSession, config: LakeConfig, landed: dict[dt.date, tuple[int, int]]) -> list[Row]:
+    """The records that still hold; a row per ingest date."""
+    path = config.path("bronze_windows")
+    if not landed or not has_data_files(spark, path):
+        return []
+    rows = spark.read.schema(WINDOW_RECORD).parquet(path).collect()
+    return [r for r in rows if landed.get(r.bronze_ingested_date) == (r.files, r.bytes)]
+
+
+def _dates_to_skip(
+    spark: SparkSession, records: list[Row], first: Column | None, last: Column | None
+) -> list[dt.date]:
+    """Recorded ingest dates without any row in the window."""
+    outside = F.lit(False)
+    if first is not None:
+        outside = outside | (F.col("last_date") < first)
+    if last is not None:
+        outside = outside | (F.col("first_date") > last)
+    return [r[0] for r in spark.createDataFrame(records, WINDOW_RECORD).where(outside).collect()]
+
+
+def _record_windows(
+    spark: SparkSession, config: LakeConfig, prepared: DataFrame, landed: dict[dt.date, tuple[int, int]], held: list[Row]
+) -> None:
+    """Record the dates whose record is missing or out of date."""
+    open_dates = sorted(landed.keys() - {r.bronze_ingested_date for r in held})
+    if not open_dates:
+        return
+    day, window_date = F.col("bronze_ingested_date"), F.col("processing_window_date")
+    rows = (
+        prepared.where(day.isin(open_dates))
+        .groupBy(day)
+        .agg(F.min(window_date).alias("first_date"), F.max(window_date).alias("last_date"))
+        .collect()
+    )
+    new = [(r[0], *landed[r[0]], r.first_date, r.last_date) for r in rows]
+    table = spark.createDataFrame([*map(tuple, held), *new], WINDOW_RECORD)
+    table.coalesce(1).write.mode("overwrite").parquet(config.path("bronze_windows"))
+
+
 def _silver_outside(
     spark: SparkSession, config: LakeConfig, window: Callable[[DataFrame], DataFrame]
 ) -> DataFrame | None:
@@ -219,6 +297,10 @@ def run_bronze_to_silver(
 ) -> SilverRun:
     """Bronze -> parsed -> classified -> window -> Silver + quarantine.
 
+    A windowed run scans the ingest dates that can hold rows of its window:
+    each run records the window dates of the ingest dates that it finds new
+    or changed, and a date without a record that holds is always read.
+
     The classified frame is persisted, so Bronze is scanned and parsed once
     for both outputs (a lost executor only recomputes its blocks); the raw
     message stays in it for rejected rows only.
@@ -232,13 +314,20 @@ def run_bronze_to_silver(
     The quarantine count comes from an observation on the quarantine write,
     not from an extra job; the strict gate fires after both writes.
     """
+    landed = _landed_dates(spark, config)
+    records = _window_records(spark, config, landed)
     bronze = read_bronze(spark, config.path("bronze"), config.format_of("bronze"))
-    prepared = prepare_for_quality_checks(parse_raw_messages(bronze), late_arrival_days, as_of)
+
+    def prepare(frame: DataFrame) -> DataFrame:
+        return prepare_for_quality_checks(parse_raw_messages(frame), late_arrival_days, as_of)
 
     def window(df: DataFrame) -> DataFrame:
         return apply_processing_window(df, start, end, lookback_days, as_of)
 
     windowed_run = start is not None or end is not None or lookback_days is not None
+    prepared = prepare(
+        bronze_in_window(spark, bronze, records, *window_bounds(start, end, lookback_days, as_of))
+    )
     rejected = F.col("quality_error_category").isNotNull()
     windowed = window(prepared).withColumn("raw_message", F.when(rejected, F.col("raw_message")))
     windowed = windowed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -266,6 +355,7 @@ def run_bronze_to_silver(
         for name in before:
             if after.get(name) == before[name]:
                 delete_folder(spark, f"{config.path('silver')}/{name}")
+        _record_windows(spark, config, prepare(bronze) if windowed_run else windowed, landed, records)
         # A write without any partition reports no metrics: no row was rejected.
         quarantined = int(observation.get.get("rows", 0))
     finally:

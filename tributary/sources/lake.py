@@ -99,6 +99,13 @@ def file_names(spark: SparkSession, path: str) -> frozenset[str]:
     return frozenset(_children(spark, path, folders=False))
 
 
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(number of files, bytes) below a folder, hidden ones included."""
+    fs, root = _file_system(spark, path)
+    summary = fs.getContentSummary(root)
+    return summary.getFileCount(), summary.getLength()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, root = _file_system(spark, path)
     fs.delete(root, True)
