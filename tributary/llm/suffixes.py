@@ -222,10 +222,20 @@ def spans_of(mask: np.ndarray, start: int) -> list[tuple[int, int]]:
 
 # --- the job ------------------------------------------------------------------------
 
-_RUN = "name long, d long, k long, start long, windows long, twice boolean, covered boolean"
+_RUN = "name long, d long, k long, run long"
 _SPAN = "d long, k long, s long, e long"
 
 
+def pack_run(start: np.ndarray, windows: np.ndarray, twice: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """A run in one long: start (below 2^31, as a text has fewer
+    bytes), windows (below 2^30, as a run ends with its piece), named twice, covered."""
+    return (start << 32) | (windows << 2) | (twice.astype(np.int64) << 1) | covered.astype(np.int64)
+
+
+def unpack_run(run: int) -> tuple[int, int, bool, bool]:
+    return run >> 32, (run & 0xFFFFFFFF) >> 2, bool(run & 2), bool(run & 1)
+
+
 def _batch(names: list[str], columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
@@ -246,8 +256,7 @@ def _local_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         covered = (d != d[first]) | (k != k[first]) | (start != start[first])
         own = mix64((k ^ start).view(np.uint64)).view(np.int64)
         return _batch(
-            ["name", "d", "k", "start", "windows", "twice", "covered"],
-            [np.where(covered, own, name), d, k, start, windows, twice, covered],
+            ["name", "d", "k", "run"], [np.where(covered, own, name), d, k, pack_run(start, windows, twice, covered)]
         )
 
     for batch in batches:
@@ -286,8 +295,9 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = text.as_py().encode()
             d, k = d.as_py(), k.as_py()
             for r in chosen.as_py():
-                content = None if r["covered"] else data[r["start"] : r["start"] + r["windows"] + LENGTH - 1]
-                out.append((r["name"], d, k, r["start"], r["windows"], r["twice"], content))
+                start, windows, twice, covered = unpack_run(r["run"])
+                content = None if covered else data[start : start + windows + LENGTH - 1]
+                out.append((r["name"], d, k, start, windows, twice, content))
         columns = list(zip(*out, strict=True)) if out else [()] * 7
         types = [pa.int64()] * 5 + [pa.bool_(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
@@ -399,11 +409,13 @@ def repeated_spans(rows: DataFrame, firsts: DataFrame) -> tuple[DataFrame, DataF
     texts = dealt.join(long, ["d", "k"], "left_semi").select("d", "k", "text")
     found = texts.mapInArrow(_local_runs, _RUN)
     same = Window.partitionBy("name")
+    covered = F.col("run").bitwiseAND(1) != 0
+    twice = F.col("run").bitwiseAND(2) != 0
     repeated = (
-        found.withColumn("n", F.count(F.when(~F.col("covered"), True)).over(same))
-        .where((F.col("n") > 1) | F.col("twice") | F.col("covered"))
+        found.withColumn("n", F.count(F.when(~covered, True)).over(same))
+        .where((F.col("n") > 1) | twice | covered)
         .groupBy("d", "k")
-        .agg(F.collect_list(F.struct("name", "start", "windows", "twice", "covered")).alias("chosen"))
+        .agg(F.collect_list(F.struct("name", "run")).alias("chosen"))
     )
     contents = texts.join(repeated, ["d", "k"]).mapInArrow(
         _contents, "name long, d long, k long, start long, windows long, twice boolean, content binary"
