@@ -19,7 +19,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# --- fixed values -----------------------------------------------------------
+# --- fixed values: payload schema, layer column lists, names and defaults ----
 SOURCE_SYSTEM = "wikimedia_recent_changes"
 QUALITY_RULE_VERSION = "wikimedia_recent_change_v1"
 NULL_KEY_TOKEN = "__null__"
@@ -34,7 +34,6 @@ DEFAULT_TOP_N = 10
 DEFAULT_RECENT_ROWS = 25
 DEFAULT_MAX_RECENT_ROWS = 100
 DEFAULT_TRIGGER_INTERVAL = "30 seconds"
-# ---------------------------------------------------------------------------
 
 # JSON payload of one change event (top level + nested ``meta``).
 EVENT_SCHEMA = StructType(
@@ -318,3 +317,4 @@ VISIBLE_RECENT_COLUMNS = (
     "namespace",
     "comment",
 )
+# --- end of the fixed values ------------------------------------------------
