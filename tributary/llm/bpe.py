@@ -33,7 +33,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tributary.llm.common import blocks, ship_package
+from tributary.llm.common import blocks, ship_package, tidy
 
 #: Fixed value: the pre-split pattern of byte-level BPE vocabularies.
 PRE_SPLIT = (
@@ -41,10 +41,12 @@ PRE_SPLIT = (
 )
 #: Words in each of the two halves of a worker's table of encoded words; when
 #: the newer half is full it becomes the older one, which is dropped.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 #: Longer words are encoded each time.
 CACHE_LETTERS = 48
 BLOCK_WORDS = 1 << 16
+#: Arcs kept in a worker's table of looked-up arcs.
+CACHE_ARCS = 200_000
 _NEVER = 1 << 60
 ENCODED = T.StructType(
     [
@@ -114,7 +116,7 @@ class MergeAutomaton:
     def arc(self, x: int, y: int) -> bool:
         found = self._arcs.get((x, y))
         if found is None:
-            if len(self._arcs) > 2_000_000:
+            if len(self._arcs) >= CACHE_ARCS:
                 self._arcs.clear()
             found = self._arcs[x, y] = self._walk(x, y)
         return found
@@ -267,6 +269,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     """
     spec = _vocabulary(docs.sparkSession, vocabulary)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = tokenizer(spec.value).digest
         for batch in batches:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import mix64, ship_package, stage_table
+from tributary.llm.common import mix64, ship_package, stage_table, tidy
 from tributary.llm.graph import connected_components
 
 SHINGLE_WORDS = 5
@@ -139,6 +139,7 @@ def signatures(docs: DataFrame, depth: int) -> DataFrame:
     """(doc_id, node, n_shingles, labels) per document; node is null without words."""
     kind = dict(docs.dtypes)["doc_id"]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, size, own = [], [], []
@@ -301,6 +302,7 @@ def with_node(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
     schema = docs.select("*", F.lit(None).cast("long").alias("_node")).schema
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node = [node_of(shingles(t.as_py())) for t in batch.column(at)]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import WORD_RE, mix64, ship_package, stage_table
+from tributary.llm.common import WORD_RE, mix64, ship_package, stage_table, tidy
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -45,7 +45,8 @@ MAX_WORD_DISTANCE = 0.445
 SYMBOLS = "#*$%&|<>"
 PUNCTUATION = ".,;:!?'\"()-"
 N_CLASSES = 11
-_FLUSH = 200_000
+#: Distinct words that a task holds per language before it hands them on.
+_FLUSH = 100_000
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 
@@ -149,6 +150,7 @@ class References:
         return char, word
 
 
+@tidy
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: dict[str, Counter] = {}
     chars: dict[str, np.ndarray] = {}
@@ -169,10 +171,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lang, text = lang.as_py(), text.as_py()
             if lang is None or not text:
                 continue
-            words.setdefault(lang, Counter()).update(WORD_RE.findall(text))
+            own = words.setdefault(lang, Counter())
+            own.update(WORD_RE.findall(text))
             chars[lang] = chars.get(lang, 0) + class_counts(text)
-        if sum(map(len, words.values())) > _FLUSH:
-            yield rows()
+            if len(own) > _FLUSH:
+                yield rows()
     yield rows()
 
 
@@ -235,6 +238,7 @@ def quality(docs: DataFrame) -> DataFrame:
     counts, which are added up in each task before."""
     references = language_references(docs)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [judge(t.as_py(), references) for t in batch.column(1)]
@@ -263,6 +267,7 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     references = language_references(docs)
     at = docs.columns.index("text")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [judge(t.as_py(), references)[-1] for t in batch.column(at)]

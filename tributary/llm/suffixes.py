@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import mix64, shuffle_partitions, ship_package, stage_table
+from tributary.llm.common import mix64, shuffle_partitions, ship_package, stage_table, tidy
 
 LENGTH = 100
 GRAM = 32
@@ -52,7 +52,7 @@ PIECE = 1 << 21
 #: Bytes of runs sorted together; one name's runs always are.
 SORT_BYTES = 1 << 20
 #: Runs of a task compared with each other before they are dealt.
-LOCAL_RUNS = 1 << 19
+LOCAL_RUNS = 1 << 18
 
 
 # --- names and runs ------------------------------------------------------------
@@ -240,6 +240,7 @@ def _batch(names: list[str], columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
 
+@tidy
 def _local_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of the texts (d, k, text). Of runs with equal bytes in a task the
     later ones are covered whole; they travel under a name of their own."""
@@ -286,6 +287,7 @@ def _content_hashes(data: bytes, start: np.ndarray, windows: np.ndarray) -> np.n
     )
 
 
+@tidy
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(name, d, k, start, windows, twice, content) of the chosen runs of each
     text; covered runs pass without content."""
@@ -306,6 +308,7 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidy
 def _sort_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans covered in runs that come sorted by name."""
     found: list[tuple[int, int, int, int]] = []
@@ -437,6 +440,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     firsts = stage_table(first_texts(rows), "first-texts")
     texts, spans = repeated_spans(rows, firsts)
 
+    @tidy
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, count, sha = [], [], []
@@ -500,6 +504,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
     n_chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
+    @tidy
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []

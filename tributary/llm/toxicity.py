@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import hash52, key_text, ship_package, stage_table
+from tributary.llm.common import hash52, key_text, ship_package, stage_table, tidy
 
 FOLDS = 5
 MAX_TRAINING_ROWS = 24_000
@@ -256,6 +256,7 @@ def _keys(words: list[str]) -> set[str]:
 def _document_counts(rows: DataFrame, only: frozenset[str] | None) -> DataFrame:
     """(key, n): documents that hold a key, added up in each task."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
@@ -275,6 +276,7 @@ def _document_counts(rows: DataFrame, only: frozenset[str] | None) -> DataFrame:
 def _contexts(rows: DataFrame, keys: frozenset[str]) -> DataFrame:
     """(key, toxic, n): distinct pairs of neighbours of a key."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = set()
@@ -350,6 +352,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     words, stems = learn_lexicon(rows)
     model = Model(words, stems, [0.0, 0.0, 0.0, 0.0])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(words, stems, [0.0] * 4)
         for batch in batches:
@@ -373,6 +376,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
     words, stems, coefficients = model.lexicon.words, model.lexicon.stems, model.coefficients
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(words, stems, coefficients)
         for batch in batches:
