@@ -72,6 +72,18 @@ def test_like_the_brute_force_version(frame, buckets):
     check(frame(rows), rows, buckets)
 
 
+def test_many_sources_are_joined_without_a_broadcast(frame, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 2)
+    rows = corpus(200)
+    check(frame(rows), rows, 16)
+
+
+def test_texts_are_not_shuffled(frame):
+    plan = mixing.mixed_documents(frame(corpus(50), partitions=1))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning(source" not in plan.split("Generate")[1].split("BroadcastExchange")[0]
+
+
 def test_odd_rows(frame):
     rows = [r for i, r in enumerate(ODD) if i != 4]
     check(frame(rows), rows, 16)

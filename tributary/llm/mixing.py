@@ -33,6 +33,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_EPOCHS = 2
 BUCKETS = 4096
+#: Most sources whose plan (one row of some 100 bytes each) is broadcast.
+BROADCAST_SOURCES = 20_000
 SEED = "mix-1"
 
 
@@ -159,15 +161,23 @@ def _epochs_taken(buckets: int) -> Column:
     return F.col("_epochs") + F.when(more, 1).otherwise(0)
 
 
-def mix(docs: DataFrame, seed: str = SEED, buckets: int = BUCKETS) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words, repeats counted), source, epochs.
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with the plan of their source.
 
-    The plan has one row per source; adaptive execution measures it and
-    broadcasts it if it is small.
+    The plan is counted: up to ``BROADCAST_SOURCES`` rows it is broadcast, so
+    the rows stay where they are and a hot source needs no care; beyond that
+    both sides are shuffled and adaptive execution splits a hot source.
     """
+    plan = stage_table(plan, "mix-plan")
+    few = plan.count() <= BROADCAST_SOURCES
+    return rows.join(F.broadcast(plan) if few else plan, F.expr("source <=> _plan_source"))
+
+
+def mix(docs: DataFrame, seed: str = SEED, buckets: int = BUCKETS) -> DataFrame:
+    """doc_id, size, source_size, target, taken (words, repeats counted), source, epochs."""
     sizes = stage_table(sized(docs, seed), "mix-sizes")
     epochs = _epochs_taken(buckets)
-    return sizes.join(source_plan(sizes, buckets), F.expr("source <=> _plan_source")).select(
+    return _with_plan(sizes, source_plan(sizes, buckets)).select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * epochs).cast("long").alias("taken"),
         "source",
@@ -184,8 +194,7 @@ def mixed_documents(docs: DataFrame, seed: str = SEED, buckets: int = BUCKETS) -
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = sized(docs.withColumn("_row", row), seed, keep=("_row",))
     return (
-        rows.where(F.col("size") > 0)
-        .join(plan, F.expr("source <=> _plan_source"))
+        _with_plan(rows.where(F.col("size") > 0), plan)
         .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), _epochs_taken(buckets).cast("int"))))
         .select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
     )
