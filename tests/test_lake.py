@@ -170,6 +170,33 @@ def test_windowed_run_scans_the_ingest_dates_it_needs(spark, tmp_lake):
     assert scanned("2024-01-07", "2024-01-07")[0] == {7}
 
 
+def test_stream_files_count_when_they_are_committed(spark, tmp_lake):
+    config = jobs.LakeConfig(base_uri=f"file:{tmp_lake}")
+    source = f"{tmp_lake}/src"
+
+    def stream(rows):
+        kafka_frame(spark, copies(*rows)).write.mode("append").parquet(source)
+        files = read_kafka_stream(
+            spark, "unused:9092", "rc", options={"path": source}, source_format="parquet", schema=KAFKA_SCHEMA
+        )
+        jobs.start_kafka_to_bronze_stream(spark, config, files, available_now=True).awaitTermination()
+
+    stream([("a", 5, 0, 0)])
+    [(date, size)] = jobs._landed_dates(spark, config).items()
+    jobs.run_bronze_to_silver(spark, config, as_of=AS_OF)
+    assert len(jobs._window_records(spark, config, {date: size})) == 1
+    # a file that no batch has committed is not read, and does not count
+    folder = f"{tmp_lake}/bronze/recent_changes/stream/bronze_ingested_date={date}/kafka_topic=rc"
+    with open(f"{folder}/part-uncommitted.parquet", "wb") as f:
+        f.write(b"x")
+    assert jobs._landed_dates(spark, config) == {date: size}
+    stream([("b", 9, 0, 1)])
+    landed = jobs._landed_dates(spark, config)
+    assert sum(files for files, _ in landed.values()) == size[0] + 1
+    jobs.run_bronze_to_silver(spark, config, start="2024-01-09", end="2024-01-09", as_of=AS_OF)
+    assert silver_rows(spark, config) == [("a", 5, 0, 0), ("b", 9, 0, 1)]
+
+
 def test_first_run_may_be_windowed(spark, tmp_lake):
     config = jobs.LakeConfig(base_uri=f"file:{tmp_lake}")
     land(spark, config, [("a", 5, 0, 0), ("a", 6, 0, 1)])

@@ -34,6 +34,7 @@ from tributary.operators.silver import transform_to_silver
 from tributary.schemas import (
     BRONZE_KEY,
     BRONZE_PARTITIONS,
+    BRONZE_SCHEMA,
     DASHBOARD_TABLES,
     DEFAULT_LATE_ARRIVAL_DAYS,
     GOLD_PARTITIONS,
@@ -52,6 +53,7 @@ from tributary.sources.lake import (
     file_names,
     folder_size,
     has_data_files,
+    has_sink_log,
     lake_path,
     partition_columns,
     read_bronze,
@@ -196,8 +198,10 @@ class SilverRun:
 
 # What each Bronze ingest date holds, so that a windowed run can leave out the
 # dates that can't meet its window. ``files`` and ``bytes`` are the size of the
-# date's folders when its rows were read: landing only ever adds files, so a
-# record with another size is out of date and its date is read again.
+# date's folders when its rows were read (of a stream's folder, the number of
+# committed files): landing only ever adds files, so a record with another size
+# is out of date and its date is read again.
+FOLDER_DATE = "_folder_date"
 WINDOW_RECORD = "bronze_ingested_date date, files long, bytes long, first_date date, last_date date"
 
 
@@ -207,15 +211,23 @@ def _landed_dates(spark: SparkSession, config: LakeConfig) -> dict[dt.date, tupl
     found: dict[dt.date, tuple[int, int]] = {}
     if partition_columns(config.bronze_partitions)[:1] != [column]:
         return found
+
+    def add(folder: str, files: int, size: int) -> None:
+        try:
+            date = dt.date.fromisoformat(folder.removeprefix(f"{column}="))
+        except ValueError:
+            return  # another folder, or the null date, which is always read
+        before = found.get(date, (0, 0))
+        found[date] = (before[0] + files, before[1] + size)
+
     for root in (config.path("bronze"), config.path("bronze", BRONZE_BATCH), config.path("bronze", BRONZE_STREAM)):
+        if has_sink_log(spark, root):
+            # The files that the scan would list: those of committed batches.
+            for path in read_layer(spark, root, config.format_of("bronze"), BRONZE_SCHEMA).inputFiles():
+                add(next((part for part in path.split("/") if part.startswith(f"{column}=")), ""), 1, 0)
+            continue
         for name in child_folders(spark, root):
-            try:
-                date = dt.date.fromisoformat(name.removeprefix(f"{column}="))
-            except ValueError:
-                continue  # another folder, or the null date, which is always read
-            files, size = folder_size(spark, f"{root}/{name}")
-            before = found.get(date, (0, 0))
-            found[date] = (before[0] + files, before[1] + size)
+            add(name, *folder_size(spark, f"{root}/{name}"))
     return found
 
 
@@ -241,20 +253,24 @@ def _dates_to_skip(
 
 
 def _record_windows(
-    spark: SparkSession, config: LakeConfig, prepared: DataFrame, landed: dict[dt.date, tuple[int, int]], held: list[Row]
+    spark: SparkSession,
+    config: LakeConfig,
+    prepared: DataFrame,
+    landed: dict[dt.date, tuple[int, int]],
+    held: list[Row],
 ) -> None:
-    """Record the dates whose record is missing or out of date."""
-    open_dates = sorted(landed.keys() - {r.bronze_ingested_date for r in held})
-    if not open_dates:
-        return
-    day, window_date = F.col("bronze_ingested_date"), F.col("processing_window_date")
+    """Record the window dates of ``prepared``'s ingest dates (folders), next
+    to the records that hold."""
+    window_date = F.col("processing_window_date")
     rows = (
-        prepared.where(day.isin(open_dates))
-        .groupBy(day)
+        prepared.groupBy(FOLDER_DATE)
         .agg(F.min(window_date).alias("first_date"), F.max(window_date).alias("last_date"))
         .collect()
     )
-    new = [(r[0], *landed[r[0]], r.first_date, r.last_date) for r in rows]
+    held_dates = {r.bronze_ingested_date for r in held}
+    new = [
+        (r[0], *landed[r[0]], r.first_date, r.last_date) for r in rows if r[0] in landed and r[0] not in held_dates
+    ]
     table = spark.createDataFrame([*map(tuple, held), *new], WINDOW_RECORD)
     table.coalesce(1).write.mode("overwrite").parquet(config.path("bronze_windows"))
 
@@ -319,7 +335,9 @@ def run_bronze_to_silver(
     bronze = read_bronze(spark, config.path("bronze"), config.format_of("bronze"))
 
     def prepare(frame: DataFrame) -> DataFrame:
-        return prepare_for_quality_checks(parse_raw_messages(frame), late_arrival_days, as_of)
+        # The folder's date, whatever zone the session has now.
+        dated = frame.withColumn(FOLDER_DATE, F.col("bronze_ingested_date"))
+        return prepare_for_quality_checks(parse_raw_messages(dated, keep=[FOLDER_DATE]), late_arrival_days, as_of)
 
     def window(df: DataFrame) -> DataFrame:
         return apply_processing_window(df, start, end, lookback_days, as_of)
@@ -355,7 +373,10 @@ def run_bronze_to_silver(
         for name in before:
             if after.get(name) == before[name]:
                 delete_folder(spark, f"{config.path('silver')}/{name}")
-        _record_windows(spark, config, prepare(bronze) if windowed_run else windowed, landed, records)
+        open_dates = sorted(landed.keys() - {r.bronze_ingested_date for r in records})
+        if open_dates:
+            opened = bronze.where(F.col("bronze_ingested_date").isin(open_dates))
+            _record_windows(spark, config, prepare(opened) if windowed_run else windowed, landed, records)
         # A write without any partition reports no metrics: no row was rejected.
         quarantined = int(observation.get.get("rows", 0))
     finally:

@@ -8,7 +8,7 @@ The Kafka connector is not bundled; on a cluster add
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,7 +115,7 @@ def to_bronze(
     )
 
 
-def parse_raw_messages(raw_df: DataFrame) -> DataFrame:
+def parse_raw_messages(raw_df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Parse ``raw_message`` by the fixed payload schema and flatten.
 
     Parsing happens straight on the scan (no RDD round trip), so column
@@ -123,12 +123,14 @@ def parse_raw_messages(raw_df: DataFrame) -> DataFrame:
     struct is emitted through ``inline`` (a Generate node): predicates on
     parsed fields cannot be pushed below it, so each message is parsed once
     instead of once more per field a later filter mentions. A null or
-    malformed message gives one row of nulls, as in PERMISSIVE mode.
+    malformed message gives one row of nulls, as in PERMISSIVE mode. Columns
+    named in ``keep`` pass through beside the envelope.
     """
     event = F.from_json(F.col("raw_message"), EVENT_SCHEMA)
-    parsed = raw_df.select(*ENVELOPE_COLUMNS, F.inline(F.array(event)))
+    parsed = raw_df.select(*ENVELOPE_COLUMNS, *keep, F.inline(F.array(event)))
     return parsed.select(
         *ENVELOPE_COLUMNS,
+        *keep,
         *[F.col(path).alias(name) for name, path in PARSED_FIELDS],
     )
 

@@ -106,6 +106,13 @@ def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount(), summary.getLength()
 
 
+def has_sink_log(spark: SparkSession, path: str) -> bool:
+    """Has a streaming file sink written here? Readers then see the files of
+    its log only, committed batches, whatever else lies in the folder."""
+    fs, root = _file_system(spark, f"{path.rstrip('/')}/_spark_metadata")
+    return fs.exists(root)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, root = _file_system(spark, path)
     fs.delete(root, True)
