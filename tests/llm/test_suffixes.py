@@ -70,6 +70,21 @@ def test_copies_and_many_shared_passages(frame, monkeypatch):
     assert got(frame(rows, partitions=5)) == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 2, 5])
+def test_hot_names_are_split(frame, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT_RUNS", hot)
+    r = random.Random(13)
+    base = "".join(r.choices("abcdefgh ", k=900))
+    rows = []
+    for i in range(30):
+        own = list(base)
+        for _ in range(r.randrange(0, 9)):
+            own[r.randrange(len(own))] = r.choice("XYZ")
+        rows.append((i, "".join(own)))
+    rows += [(100, "a" * 400), (101, "ba" * 200), (102, "a" * 150)]
+    assert got(frame(rows, partitions=4)) == brute(rows)
+
+
 def test_odd_rows(frame):
     rows = [r for r in ODD if r[0] != 5] + [(5, "ab " * 2_000), (None, "z" * 150), (7, "z" * 150), (7, "z" * 150), (1, "")]
     assert got(frame(rows)) == brute(rows)

@@ -50,7 +50,12 @@ SPAN = LENGTH - GRAM + 1
 #: Windows hashed at a time in a long text.
 PIECE = 1 << 21
 #: Bytes of runs sorted together; one name's runs always are.
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 19
+#: Distinct runs of one name that are sorted together. The runs of a more
+#: frequent name are dealt by the hashes of their windows, to so many parts that
+#: each gets about as many runs (a run has some SPAN / 2 windows, and goes to
+#: the part of each).
+HOT_RUNS = 16_384
 #: Runs of a task compared with each other before they are dealt.
 LOCAL_RUNS = 1 << 18
 
@@ -112,6 +117,15 @@ def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(names), np.concatenate(starts), np.concatenate(sizes), np.concatenate(twice)
 
 
+def window_parts(content: bytes, parts: int) -> list[int]:
+    """Parts that the windows of a run fall into by a hash of their bytes."""
+    half = 1 << ((LENGTH - 1).bit_length() - 1)  # two overlapping grams span a window
+    grams = gram_hashes(np.frombuffer(content, dtype=np.uint8), half)
+    windows = len(content) - LENGTH + 1
+    hashes = mix64(grams[:windows] ^ (grams[LENGTH - half : LENGTH - half + windows] * np.uint64(3)))
+    return np.unique(hashes % np.uint64(parts)).tolist()
+
+
 # --- difference-cover suffix sorting ---------------------------------------------
 
 
@@ -287,10 +301,20 @@ def _content_hashes(data: bytes, start: np.ndarray, windows: np.ndarray) -> np.n
     )
 
 
+def part_names(name: int, parts: list[int]) -> list[int]:
+    seeds = np.array(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)
+    return mix64(seeds ^ np.array([name], dtype=np.int64).view(np.uint64)).view(np.int64).tolist()
+
+
 @tidy
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(name, d, k, start, windows, twice, content) of the chosen runs of each
-    text; covered runs pass without content."""
+    text; covered runs pass without content.
+
+    Runs of a hot name are copied to the parts that their windows fall into.
+    Equal windows meet in their part; what else of a run comes along there is
+    compared too, which finds nothing that isn't so.
+    """
     for batch in batches:
         out: list[tuple] = []
         for d, k, text, chosen in zip(*batch.columns, strict=True):
@@ -299,7 +323,11 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in chosen.as_py():
                 start, windows, twice, covered = unpack_run(r["run"])
                 content = None if covered else data[start : start + windows + LENGTH - 1]
-                out.append((r["name"], d, k, start, windows, twice, content))
+                names = [r["name"]]
+                if r["n"] > HOT_RUNS and not covered:
+                    parts = -(-r["n"] * SPAN // (2 * HOT_RUNS))
+                    names = part_names(r["name"], window_parts(content, parts))
+                out.extend((name, d, k, start, windows, twice, content) for name in names)
         columns = list(zip(*out, strict=True)) if out else [()] * 7
         types = [pa.int64()] * 5 + [pa.bool_(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
@@ -418,7 +446,7 @@ def repeated_spans(rows: DataFrame, firsts: DataFrame) -> tuple[DataFrame, DataF
         found.withColumn("n", F.count(F.when(~covered, True)).over(same))
         .where((F.col("n") > 1) | twice | covered)
         .groupBy("d", "k")
-        .agg(F.collect_list(F.struct("name", "run")).alias("chosen"))
+        .agg(F.collect_list(F.struct("name", "run", "n")).alias("chosen"))
     )
     contents = texts.join(repeated, ["d", "k"]).mapInArrow(
         _contents, "name long, d long, k long, start long, windows long, twice boolean, content binary"
