@@ -93,3 +93,13 @@ def test_ids_round_trip(frame):
 
 def test_empty_table(frame):
     assert bpe.encode_documents(frame([]), PATH).collect() == []
+
+
+def test_a_whole_table(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id: tuple(r)[1:] for r in bpe.encode_documents(docs, PATH).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    for row, own in zip(rows, library.encode_batch([r.text or "" for r in rows], add_special_tokens=False), strict=True):
+        ids = hashlib.sha256(",".join(map(str, own.ids)).encode()).hexdigest()
+        decoded = library.decode(own.ids, skip_special_tokens=False)
+        assert found[row.doc_id] == (len(own.ids), ids, hashlib.sha256(decoded.encode()).hexdigest())

@@ -10,9 +10,10 @@ All arcs with one label enter the same state, so the automaton is stored as the
 label's target plus, for each gadget, the one arc that its copy lost; an arc
 (x, y) is looked up along the copies that x's target was made from.
 
-A pre-split word is encoded by running the automaton over its prefixes: the
-last token of a prefix is the one token that ends there and whose arc leaves
-the state of the shorter prefix. Decoding emits the arc labels' bytes.
+A pre-split word is encoded by running the automaton over it: from each state
+the longest label that the word goes on with and that has an arc is taken, and
+left again if the path ends before the word does. Decoding emits the arc
+labels' bytes.
 
 Edge cases: a null or empty text has no tokens and decodes to the empty text;
 special-token strings in a text are their single ids, as the tokenizers
@@ -122,25 +123,48 @@ class MergeAutomaton:
         return found
 
     def encode_word(self, word: bytes) -> list[int]:
-        get, arc, longest = self.lexicon.get, self.arc, self.longest
+        """The one path of the automaton whose labels spell the word.
+
+        Longest labels are tried first. Every path to a position is the BPE
+        sequence of that prefix, so there is one at most: a position that
+        the path had to leave is never entered again.
+        """
+        get, arcs, longest = self.lexicon.get, self._arcs, self.longest
         whole = get(word)
         n = len(word)
         if whole is not None:
             return [whole]  # tokens in the lexicon are accepted alone
-        last: list[int] = [-1] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
-                token = get(word[start:end])
-                if token is not None and (start == 0 or arc(last[start], token)):
-                    last[end] = token
-                    break
+        path: list[int] = []
+        starts, sizes, dead = [0], [min(longest, n)], set()
+        state = -1  # label that led here; the start state has all arcs
+        while True:
+            at, size = starts[-1], sizes[-1]
+            while size:
+                token = get(word[at : at + size])
+                if token is not None and at + size not in dead:
+                    if state < 0:
+                        break
+                    arc = arcs.get((state, token))
+                    if arc or arc is None and self.arc(state, token):
+                        break
+                size -= 1
+            if size:
+                path.append(token)
+                at += size
+                if at == n:
+                    return path
+                sizes[-1] = size - 1
+                starts.append(at)
+                sizes.append(min(longest, n - at))
+                state = token
             else:
-                raise ValueError("a byte of the word is not in the vocabulary")
-        out, end = [], n
-        while end:
-            out.append(last[end])
-            end -= len(self.label[last[end]])
-        return out[::-1]
+                dead.add(at)
+                starts.pop()
+                sizes.pop()
+                if not path:
+                    raise ValueError("a byte of the word is not in the vocabulary")
+                path.pop()
+                state = path[-1] if path else -1
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.label.__getitem__, ids))
