@@ -89,3 +89,14 @@ def test_without_references_the_base_rules_hold(frame):
     rows = [(1, english(50, 1), None), (2, "short", None)]
     assert {r.doc_id: r.kept for r in quality.quality(frame(rows)).collect()} == {1: True, 2: False}
     assert quality.quality(frame([])).collect() == []
+
+
+def test_copies_do_not_shift_the_reference(frame):
+    rows = [(i, english(60, i), "en") for i in range(60)]
+    copy = " ".join("".join(random.Random(i).choices("etaoinshr", k=5)) for i in range(60))
+    rows += [(1000 + i, copy, "en") for i in range(60)]
+    kept = {r.doc_id: r.kept for r in quality.quality(frame(rows)).collect()}
+    alone = {r.doc_id: r.kept for r in quality.quality(frame(rows[:61])).collect()}
+    assert [i for i in range(60) if kept[i] != alone[i]] == []
+    one, many = (quality.language_references(frame(r)).words["en"] for r in (rows[:61], rows))
+    assert one / one.sum() == pytest.approx(many / many.sum())

@@ -2,7 +2,8 @@
 
 References: for each language, the histogram of character classes and of the
 ``COMMON_WORDS`` most frequent words (plus one bin for all others), counted
-over every document. A document is compared with the references by the
+over every distinct text of the language once, so that copies do not shift it,
+and scaled to the words of all its rows. A document is compared with the references by the
 Jensen-Shannon distance (square root of the divergence in bits, 0 to 1); the
 nearest reference counts, so a wrong or missing ``lang`` does no harm. It is
 rejected if its character classes or its common words are too far from all
@@ -17,6 +18,7 @@ an empty table gives an empty result; repeated rows are judged alike.
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 from collections import Counter
 from collections.abc import Collection, Iterator
@@ -24,6 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +50,8 @@ PUNCTUATION = ".,;:!?'\"()-"
 N_CLASSES = 11
 #: Distinct words that a task holds per language before it hands them on.
 _FLUSH = 100_000
+#: Digests of texts that a task holds before it hands their copies on.
+_FLUSH_TEXTS = 200_000
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 
@@ -120,7 +125,7 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
 class References:
     """Character and common-word histograms of the languages."""
 
-    def __init__(self, chars: dict[str, list[int]], words: dict[str, dict[str, int]], totals: dict[str, int]):
+    def __init__(self, chars: dict[str, list[int]], words: dict[str, dict[str, float]], totals: dict[str, int]):
         self.chars = {k: np.array(v, dtype=float) for k, v in chars.items() if sum(v)}
         self.bins = {k: {w: i for i, w in enumerate(v)} for k, v in words.items()}
         self.words = {
@@ -150,56 +155,113 @@ class References:
         return char, word
 
 
+@tidy
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, lang, text, copies): each text of a language once per task, packed,
+    and a row without text for its further copies in the task."""
+    seen: dict[bytes, int] = {}
+    pack = zstandard.ZstdCompressor(level=1)
+    types = (pa.binary(), pa.string(), pa.binary(), pa.int64())
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else ((),) * 4
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["key", "lang", "text", "copies"])
+
+    def copies() -> pa.RecordBatch:
+        rows = [(key, None, None, n) for key, n in seen.items() if n]
+        seen.clear()
+        return made(rows)
+
+    for batch in batches:
+        rows = []
+        for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+            lang, text = lang.as_py(), text.as_py()
+            if lang is None or not text:
+                continue
+            data = text.encode()
+            key = hashlib.blake2b(lang.encode() + b"\0" + data, digest_size=16).digest()
+            if key in seen:
+                seen[key] += 1
+            else:
+                seen[key] = 0
+                rows.append((key, lang, pack.compress(data), 1))
+        yield made(rows)
+        if len(seen) > _FLUSH_TEXTS:
+            yield copies()
+    yield copies()
+
+
 @tidy
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bins of the distinct texts, of which all rows are in one task, and the
+    words of all rows (kind "t")."""
     words: dict[str, Counter] = {}
     chars: dict[str, np.ndarray] = {}
+    sizes: dict[bytes, tuple[str, int]] = {}
+    copies: Counter = Counter()
+    unpack = zstandard.ZstdDecompressor()
 
-    def rows() -> pa.RecordBatch:
-        found = [(lang, "w", w, n) for lang, c in words.items() for w, n in c.items()]
-        found += [(lang, "c", str(i), int(n)) for lang, c in chars.items() for i, n in enumerate(c) if n]
-        words.clear()
-        chars.clear()
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
         columns = zip(*found, strict=True) if found else ((), (), (), ())
         types = (pa.string(), pa.string(), pa.string(), pa.int64())
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["lang", "kind", "bin", "n"]
         )
 
+    def rows() -> pa.RecordBatch:
+        found = [(lang, "w", w, n) for lang, c in words.items() for w, n in c.items()]
+        found += [(lang, "c", str(i), int(n)) for lang, c in chars.items() for i, n in enumerate(c) if n]
+        words.clear()
+        chars.clear()
+        return batch_of(found)
+
     for batch in batches:
-        for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-            lang, text = lang.as_py(), text.as_py()
-            if lang is None or not text:
+        for key, lang, packed, n in zip(*batch.columns, strict=True):
+            key = key.as_py()
+            copies[key] += n.as_py()
+            if key in sizes or not packed.is_valid:
                 continue
+            lang, text = lang.as_py(), unpack.decompress(packed.as_py()).decode()
             own = words.setdefault(lang, Counter())
-            own.update(WORD_RE.findall(text))
+            found = WORD_RE.findall(text)
+            sizes[key] = lang, len(found)
+            own.update(found)
             chars[lang] = chars.get(lang, 0) + class_counts(text)
             if len(own) > _FLUSH:
                 yield rows()
     yield rows()
+    totals: Counter = Counter()
+    for key, (lang, n) in sizes.items():
+        totals[lang] += n * copies[key]
+    yield batch_of([(lang, "t", "", n) for lang, n in totals.items() if n])
 
 
 def language_references(docs: DataFrame) -> References:
-    """Count all documents; only the histograms (at most ``MAX_LANGUAGES``
-    times ``COMMON_WORDS`` + ``N_CLASSES`` rows) reach the driver."""
+    """Count every distinct text of a language; only the histograms (at most
+    ``MAX_LANGUAGES`` times ``COMMON_WORDS`` + ``N_CLASSES`` rows) reach the
+    driver. Texts are dealt by their digest, packed and once per task."""
     ship_package(docs.sparkSession)
-    counted = docs.selectExpr("cast(lang as string) as lang", "text").mapInArrow(
-        _counted, "lang string, kind string, bin string, n long"
+    distinct = docs.selectExpr("cast(lang as string) as lang", "text").mapInArrow(
+        _distinct, "key binary, lang string, text binary, copies long"
     )
+    counted = distinct.repartition("key").mapInArrow(_counted, "lang string, kind string, bin string, n long")
     # Words as counted, e.g. without case and outer punctuation.
     form = F.when(F.col("kind") == "w", F.lower(F.btrim(F.col("bin"), F.lit(PUNCTUATION)))).otherwise(F.col("bin"))
     sums = counted.groupBy("lang", "kind", form.alias("bin")).agg(F.sum("n").alias("n"))
     # One pass: the total of a (lang, kind) and its most frequent bins.
     top = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "bin")
     sums = stage_table(sums, "language-counts")
+    words_of = F.sum(F.when(F.col("kind") == "w", F.col("n"))).alias("n")
+    of_all = F.sum(F.when(F.col("kind") == "t", F.col("n"))).alias("n_all")
     totals = {
-        r.lang: r.n
-        for r in sums.where("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("n"))
+        r.lang: (r.n, r.n_all)
+        for r in sums.where("kind != 'c'").groupBy("lang").agg(words_of, of_all).where("n > 0")
         .orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
     }
     rows = (
         sums.where(F.col("lang").isin([*totals]))
-        .where("kind = 'c' or bin != ''")
+        .where("kind = 'c' or kind = 'w' and bin != ''")
         .withColumn("r", F.row_number().over(top))
         .where(F.col("r") <= max(COMMON_WORDS, N_CLASSES))
         .collect()
@@ -207,13 +269,14 @@ def language_references(docs: DataFrame) -> References:
         else []
     )
     chars: dict[str, list[int]] = {lang: [0] * N_CLASSES for lang in totals}
-    words: dict[str, dict[str, int]] = {lang: {} for lang in totals}
+    words: dict[str, dict[str, float]] = {lang: {} for lang in totals}
     for row in sorted(rows, key=lambda r: (r.lang, r.r)):
         if row.kind == "c":
             chars[row.lang][int(row.bin)] = row.n
         else:
-            words[row.lang][row.bin] = row.n
-    return References(chars, words, totals)
+            n, n_all = totals[row.lang]
+            words[row.lang][row.bin] = row.n * n_all / n
+    return References(chars, words, {lang: n_all for lang, (_, n_all) in totals.items()})
 
 
 def judge(text: str | None, references: References) -> tuple:
@@ -234,8 +297,9 @@ def judge(text: str | None, references: References) -> tuple:
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, the base figures, base_failed, char_distance, word_distance, kept.
 
-    Two passes over the documents (count, then judge) and one shuffle of word
-    counts, which are added up in each task before."""
+    Two passes over the documents (count, then judge), one shuffle of packed
+    texts, each once per task, and one of word counts, which are added up in
+    each task before."""
     references = language_references(docs)
 
     @tidy
