@@ -100,3 +100,31 @@ def test_copies_do_not_shift_the_reference(frame):
     assert [i for i in range(60) if kept[i] != alone[i]] == []
     one, many = (quality.language_references(frame(r)).words["en"] for r in (rows[:61], rows))
     assert one / one.sum() == pytest.approx(many / many.sum())
+
+
+def drawn(cover, n, seed):
+    """A text of n words of which a share of ``cover`` is common."""
+    r = random.Random(seed)
+    common, weights = [f"c{i}" for i in range(64)], [1 / (i + 3) for i in range(64)]
+    return [r.choices(common, weights)[0] if r.random() < cover else f"x{r.random()}" for _ in range(n)]
+
+
+def of_cover(covers):
+    shares = {lang: {f"c{i}": 1e6 * c / (i + 3) / sum(1 / (j + 3) for j in range(64)) for i in range(64)} for lang, c in covers.items()}
+    return quality.References({}, shares, dict.fromkeys(covers, 10**6))
+
+
+@pytest.mark.parametrize("cover", [0.3, 0.37, 0.45, 0.55, 0.7])
+@pytest.mark.parametrize("n", [40, 60, 100, 1000])
+def test_clean_texts_stay_and_texts_without_common_words_go_at_any_cover(cover, n):
+    references = of_cover({"en": cover})
+    clean = [quality.judge(" ".join(drawn(cover, n, seed)), references)[-1] for seed in range(100)]
+    assert sum(clean) >= 99
+    assert not quality.judge(" ".join(drawn(0.0, n, 1)), references)[-1]
+
+
+def test_a_reference_of_low_cover_judges_no_words_and_excuses_no_other_language():
+    references = of_cover({"en": 0.5, "zh": 0.05})
+    junk = " ".join(drawn(0.0, 200, 3))
+    assert not quality.judge(junk, references, "en")[-1]
+    assert quality.judge(junk, references, "zh")[-2:] == (None, True)

@@ -8,7 +8,12 @@ Jensen-Shannon distance (square root of the divergence in bits, 0 to 1); the
 nearest reference counts, so a wrong or missing ``lang`` does no harm. It is
 rejected if its character classes or its common words are too far from all
 references; texts below the minimum lengths are too short to compare and keep
-their base verdict. Base rules: at least ``MIN_WORDS`` words, and at most
+their base verdict. The common words are compared in groups that the text's
+length can fill, up to the distance that so many words drawn from the
+reference have by chance, plus a margin. A reference gives no verdict where
+even a text without its common words would stay within that cut; documents of
+such a language (by ``lang``, else by their characters) are not judged by
+words. Base rules: at least ``MIN_WORDS`` words, and at most
 30 % of the words in repeated 8-word windows.
 
 Edge cases: a null or empty text has no words and fails the base rules; a null
@@ -42,9 +47,14 @@ MAX_LANGUAGES = 64
 #: Minimum lengths for the two comparisons.
 MIN_CHARS_TO_COMPARE = 150
 MIN_WORDS_TO_COMPARE = 40
-#: Largest distances of a kept document.
+#: Largest distance of a kept document by characters.
 MAX_CHAR_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.445
+#: By words: what documents of a language differ beyond chance (as a distance),
+#: and how many standard deviations of the chance part are allowed.
+WORD_MARGIN = 0.3
+WORD_DEVIATIONS = 4
+#: Words of a group of common words that a text of the reference has on average.
+GROUP_WORDS = 5
 SYMBOLS = "#*$%&|<>"
 PUNCTUATION = ".,;:!?'\"()-"
 N_CLASSES = 11
@@ -123,9 +133,16 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
 
 
 class References:
-    """Character and common-word histograms of the languages."""
-
-    def __init__(self, chars: dict[str, list[int]], words: dict[str, dict[str, float]], totals: dict[str, int]):
+    """Character and common-word histograms of the languages; ``sizes`` are the
+    words that the histograms were counted over."""
+
+    def __init__(
+        self,
+        chars: dict[str, list[int]],
+        words: dict[str, dict[str, float]],
+        totals: dict[str, int],
+        sizes: dict[str, int] | None = None,
+    ):
         self.chars = {k: np.array(v, dtype=float) for k, v in chars.items() if sum(v)}
         self.bins = {k: {w: i for i, w in enumerate(v)} for k, v in words.items()}
         self.words = {
@@ -133,26 +150,75 @@ class References:
             for k, v in words.items()
             if totals[k]
         }
-
-    def distances(self, text: str, words: Counter) -> tuple[float | None, float | None]:
-        """Distance to the nearest reference by characters and by words."""
-        char = word = None
+        self.sizes = totals if sizes is None else sizes
+        self._groups: dict[tuple[str, int], tuple[np.ndarray, np.ndarray, float]] = {}
+
+    def groups(self, language: str, n: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """First bins of the groups for texts of ``n`` words, the reference by
+        group, and the distance of a text without any common word."""
+        step = int(4 * np.log2(n))  # lengths in steps of 2^(1/4) have the same groups
+        found = self._groups.get((language, step))
+        if found is None:
+            share = self.words[language] / self.words[language].sum()
+            starts, filled = [0], 0.0
+            for i, mean in enumerate(share[:-1] * 2 ** (step / 4)):
+                if filled >= GROUP_WORDS:
+                    starts.append(i)
+                    filled = 0.0
+                filled += mean
+            if filled < GROUP_WORDS and len(starts) > 1:
+                starts.pop()
+            if len(share) > 1:
+                starts.append(len(share) - 1)
+            reference = np.add.reduceat(share, starts)
+            without = np.zeros(len(reference))
+            without[-1] = 1.0
+            found = self._groups[language, step] = np.array(starts), reference, js_distance(without, reference)
+        return found
+
+    def cut(self, language: str, n: int) -> float | None:
+        """Largest distance of a text of ``n`` words; None if the reference
+        gives no verdict. By chance the divergence is a chi-square with a
+        degree of freedom less than groups over 8 ln 2 times the words."""
+        _, reference, without = self.groups(language, n)
+        free = len(reference) - 1
+        chance = (free + WORD_DEVIATIONS * np.sqrt(2 * free)) * (1 / n + 1 / self.sizes[language]) / (8 * np.log(2))
+        cut = float(np.sqrt(chance + WORD_MARGIN**2))
+        return cut if cut < without else None
+
+    def compare(self, text: str, words: Counter, lang: str | None = None) -> tuple[float | None, float | None, bool]:
+        """Distance to the nearest reference by characters and by words (the
+        one that is least beyond its cut), and whether both are within."""
+        n = words.total()
+        by_char: dict[str, float] = {}
         if self.chars and len(text) >= MIN_CHARS_TO_COMPARE:
             counts = class_counts(text).astype(float)
-            char = min(js_distance(counts, ref) for ref in self.chars.values())
-        if self.words and words.total() >= MIN_WORDS_TO_COMPARE:
-            forms: Counter = Counter()
-            for w, n in words.items():
-                forms[common_form(w)] += n
-            word = 2.0
-            for language, ref in self.words.items():
-                bins = self.bins[language]
-                counts = np.zeros(len(ref))
-                for form in forms.keys() & bins.keys():
-                    counts[bins[form]] = forms[form]
-                counts[-1] = words.total() - counts.sum()
-                word = min(word, js_distance(counts, ref))
-        return char, word
+            by_char = {k: js_distance(counts, ref) for k, ref in self.chars.items()}
+        char = min(by_char.values(), default=None)
+        near = char is None or char <= MAX_CHAR_DISTANCE
+        if n < MIN_WORDS_TO_COMPARE:
+            return char, None, near
+        cuts = {k: self.cut(k, n) for k in self.words}
+        own = [lang] if lang in cuts else [k for k in cuts if by_char.get(k, 0.0) <= MAX_CHAR_DISTANCE]
+        if any(cuts[k] is None for k in own):
+            return char, None, near
+        forms: Counter = Counter()
+        for w, times in words.items():
+            forms[common_form(w)] += times
+        least = word = None
+        for language, cut in cuts.items():
+            if cut is None:
+                continue
+            bins = self.bins[language]
+            starts, reference, _ = self.groups(language, n)
+            counts = np.zeros(len(bins) + 1)
+            for form in forms.keys() & bins.keys():
+                counts[bins[form]] = forms[form]
+            counts[-1] = n - counts.sum()
+            distance = js_distance(np.add.reduceat(counts, starts), reference)
+            if least is None or distance - cut < least:
+                least, word = distance - cut, distance
+        return char, word, near and (least is None or least <= 0)
 
 
 @tidy
@@ -276,22 +342,19 @@ def language_references(docs: DataFrame) -> References:
         else:
             n, n_all = totals[row.lang]
             words[row.lang][row.bin] = row.n * n_all / n
-    return References(chars, words, {lang: n_all for lang, (_, n_all) in totals.items()})
+    return References(
+        chars, words, {lang: n_all for lang, (_, n_all) in totals.items()}, {lang: n for lang, (n, _) in totals.items()}
+    )
 
 
-def judge(text: str | None, references: References) -> tuple:
+def judge(text: str | None, references: References, lang: str | None = None) -> tuple:
     """Base figures, base verdict, the two distances, and the verdict."""
     text = text or ""
     words = WORD_RE.findall(text)
     counted = Counter(words)
     base = base_figures(text, words, counted)
-    char, word = references.distances(text, counted)
-    kept = (
-        not base[-1]
-        and (char is None or char <= MAX_CHAR_DISTANCE)
-        and (word is None or word <= MAX_WORD_DISTANCE)
-    )
-    return (*base, char, word, kept)
+    char, word, near = references.compare(text, counted, lang)
+    return (*base, char, word, near and not base[-1])
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -305,7 +368,8 @@ def quality(docs: DataFrame) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [judge(t.as_py(), references) for t in batch.column(1)]
+            pairs = zip(batch.column(1), batch.column(2), strict=True)
+            rows = [judge(t.as_py(), references, lang.as_py()) for t, lang in pairs]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 9
             types = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
@@ -313,7 +377,7 @@ def quality(docs: DataFrame) -> DataFrame:
                 names=_NAMES,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.selectExpr("doc_id", "text", "cast(lang as string) as lang").mapInArrow(
         run, f"doc_id {_type(docs, 'doc_id')}, {BASE}, char_distance double, word_distance double, kept boolean"
     )
 
@@ -325,16 +389,21 @@ def _type(df: DataFrame, column: str) -> str:
     return dict(df.dtypes)[column]
 
 
+def _lang(value: object) -> str | None:
+    return None if value is None else str(value)
+
+
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns; the verdict
     is made where the rows are read, so no text is shuffled."""
     references = language_references(docs)
-    at = docs.columns.index("text")
+    at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [judge(t.as_py(), references)[-1] for t in batch.column(at)]
+            pairs = zip(batch.column(at), batch.column(lang_at), strict=True)
+            kept = [judge(t.as_py(), references, _lang(lang.as_py()))[-1] for t, lang in pairs]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
