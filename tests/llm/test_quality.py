@@ -128,3 +128,21 @@ def test_a_reference_of_low_cover_judges_no_words_and_excuses_no_other_language(
     junk = " ".join(drawn(0.0, 200, 3))
     assert not quality.judge(junk, references, "en")[-1]
     assert quality.judge(junk, references, "zh")[-2:] == (None, True)
+
+
+def test_languages_beyond_the_largest_have_references_of_their_own(frame):
+    rows = []
+    for k in range(quality.MAX_LANGUAGES + 4):
+        common = ["".join(random.Random(1000 * k + i).choices("aeioulnrst", k=4)) + str(k) for i in range(30)]
+        for i in range(4 if k < quality.MAX_LANGUAGES else 3):
+            r = random.Random(100 * k + i)
+            rows.append((100 * k + i, " ".join(r.choice(common) for _ in range(80)), f"l{k}"))
+    last = f"l{quality.MAX_LANGUAGES + 3}"
+    rows.append((99_999, " ".join("".join(random.Random(i).choices("aeioulnrst", k=5)) for i in range(80)), last))
+    docs = frame(rows)
+    kept = {r.doc_id: r.kept for r in quality.quality(docs).collect()}
+    assert len(kept) == len(rows)
+    assert [i for i, k in kept.items() if not k] == [99_999]
+    left = quality.kept_documents(docs)
+    assert left.schema == docs.schema
+    assert {r.doc_id for r in left.collect()} == {i for i, k in kept.items() if k}

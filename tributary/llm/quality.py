@@ -13,7 +13,8 @@ length can fill, up to the distance that so many words drawn from the
 reference have by chance, plus a margin. A reference gives no verdict where
 even a text without its common words would stay within that cut; documents of
 such a language (by ``lang``, else by their characters) are not judged by
-words. Base rules: at least ``MIN_WORDS`` words, and at most
+words. Every document is compared with the ``MAX_LANGUAGES`` references of most
+words, and with that of its own ``lang`` if that is another one. Base rules: at least ``MIN_WORDS`` words, and at most
 30 % of the words in repeated 8-word windows.
 
 Edge cases: a null or empty text has no words and fails the base rules; a null
@@ -24,10 +25,11 @@ an empty table gives an empty result; repeated rows are judged alike.
 from __future__ import annotations
 
 import hashlib
+import json
 import unicodedata
 from collections import Counter
 from collections.abc import Collection, Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,8 @@ REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 #: Words of a language's common-word histogram.
 COMMON_WORDS = 64
-#: References are kept for the languages with most words.
+#: Every document is compared with the references of the languages with most
+#: words; references of other languages reach only their own documents.
 MAX_LANGUAGES = 64
 #: Minimum lengths for the two comparisons.
 MIN_CHARS_TO_COMPARE = 150
@@ -58,8 +61,12 @@ GROUP_WORDS = 5
 SYMBOLS = "#*$%&|<>"
 PUNCTUATION = ".,;:!?'\"()-"
 N_CLASSES = 11
+#: References of own languages that a task holds.
+CACHE_LANGUAGES = 256
 #: Distinct words that a task holds per language before it hands them on.
 _FLUSH = 100_000
+#: Column of the reference of a document's own language.
+OWN = "_own_reference"
 #: Digests of texts that a task holds before it hands their copies on.
 _FLUSH_TEXTS = 200_000
 
@@ -153,6 +160,12 @@ class References:
         self.sizes = totals if sizes is None else sizes
         self._groups: dict[tuple[str, int], tuple[np.ndarray, np.ndarray, float]] = {}
 
+    def with_own(self, own: References) -> References:
+        """These references and ``own``."""
+        joined = References({}, {}, {}, self.sizes | own.sizes)
+        joined.chars, joined.bins, joined.words = self.chars | own.chars, self.bins | own.bins, self.words | own.words
+        return joined
+
     def groups(self, language: str, n: int) -> tuple[np.ndarray, np.ndarray, float]:
         """First bins of the groups for texts of ``n`` words, the reference by
         group, and the distance of a text without any common word."""
@@ -304,9 +317,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def language_references(docs: DataFrame) -> References:
-    """Count every distinct text of a language; only the histograms (at most
-    ``MAX_LANGUAGES`` times ``COMMON_WORDS`` + ``N_CLASSES`` rows) reach the
-    driver. Texts are dealt by their digest, packed and once per task."""
+    """The references that every document is compared with."""
+    return all_references(docs)[0]
+
+
+def all_references(docs: DataFrame) -> tuple[References, DataFrame | None]:
+    """Count every distinct text of a language. Only the histograms of
+    ``MAX_LANGUAGES`` languages (at most ``COMMON_WORDS`` + ``N_CLASSES`` rows
+    each) reach the driver; those of the others, if any, are a table (``OWN``).
+    Texts are dealt by their digest, packed and once per task."""
     ship_package(docs.sparkSession)
     distinct = docs.selectExpr("cast(lang as string) as lang", "text").mapInArrow(
         _distinct, "key binary, lang string, text binary, copies long"
@@ -320,33 +339,81 @@ def language_references(docs: DataFrame) -> References:
     sums = stage_table(sums, "language-counts")
     words_of = F.sum(F.when(F.col("kind") == "w", F.col("n"))).alias("n")
     of_all = F.sum(F.when(F.col("kind") == "t", F.col("n"))).alias("n_all")
-    totals = {
-        r.lang: (r.n, r.n_all)
-        for r in sums.where("kind != 'c'").groupBy("lang").agg(words_of, of_all).where("n > 0")
-        .orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
-    }
-    rows = (
-        sums.where(F.col("lang").isin([*totals]))
-        .where("kind = 'c' or kind = 'w' and bin != ''")
+    totals = sums.where("kind != 'c'").groupBy("lang").agg(words_of, of_all).where("n > 0")
+    largest = totals.orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES + 1).collect()
+    if not largest:
+        return References({}, {}, {}), None
+    names = [r.lang for r in largest[:MAX_LANGUAGES]]
+    ranked = (
+        sums.where("kind = 'c' or kind = 'w' and bin != ''")
         .withColumn("r", F.row_number().over(top))
         .where(F.col("r") <= max(COMMON_WORDS, N_CLASSES))
-        .collect()
-        if totals
-        else []
     )
+    rows = ranked.where(F.col("lang").isin(names)).orderBy("lang", "r").collect()
+    references = references_of([(r.lang, r.kind, r.bin, r.n) for r in rows], {r.lang: (r.n, r.n_all) for r in largest[:MAX_LANGUAGES]})
+    if len(largest) <= MAX_LANGUAGES:
+        return references, None
+    other = ranked.where(~F.col("lang").isin(names)).groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.struct("r", "kind", "bin", F.col("n").alias("times")))).alias("bins")
+    )
+    other = other.join(totals, "lang").select(
+        F.col("lang").alias(OWN + "_lang"), F.to_json(F.struct("lang", "n", "n_all", "bins")).alias(OWN)
+    )
+    return references, stage_table(other, "language-references")
+
+
+def references_of(rows: list[tuple[str, str, str, int]], totals: dict[str, tuple[int, int]]) -> References:
+    """References from (lang, kind, bin, n), most frequent bins first, and the
+    words of the distinct texts and of all rows."""
     chars: dict[str, list[int]] = {lang: [0] * N_CLASSES for lang in totals}
     words: dict[str, dict[str, float]] = {lang: {} for lang in totals}
-    for row in sorted(rows, key=lambda r: (r.lang, r.r)):
-        if row.kind == "c":
-            chars[row.lang][int(row.bin)] = row.n
+    for lang, kind, found, times in rows:
+        if kind == "c":
+            chars[lang][int(found)] = times
         else:
-            n, n_all = totals[row.lang]
-            words[row.lang][row.bin] = row.n * n_all / n
+            n, n_all = totals[lang]
+            words[lang][found] = times * n_all / n
     return References(
         chars, words, {lang: n_all for lang, (_, n_all) in totals.items()}, {lang: n for lang, (n, _) in totals.items()}
     )
 
 
+class OwnReferences:
+    """The references for a document: the common ones and that of its language."""
+
+    def __init__(self, common: References):
+        self.common = common
+        self.joined: dict[str, References] = {}
+
+    def of(self, own: str | None) -> References:
+        if own is None:
+            return self.common
+        found = self.joined.get(own)
+        if found is None:
+            if len(self.joined) >= CACHE_LANGUAGES:
+                self.joined.clear()
+            data = json.loads(own)
+            rows = [(data["lang"], b["kind"], b["bin"], b["times"]) for b in data["bins"]]
+            found = self.common.with_own(references_of(rows, {data["lang"]: (data["n"], data["n_all"])}))
+            self.joined[own] = found
+        return found
+
+
+def with_references(docs: DataFrame) -> tuple[References, list[DataFrame]]:
+    """The common references, and the documents with a column ``OWN`` more: the
+    reference of a language that is not among those. Only documents of such
+    languages, each below a share of 1 / ``MAX_LANGUAGES`` of the words, are
+    joined (by broadcast or shuffle, as Spark finds the table's size)."""
+    references, other = all_references(docs)
+    none = F.lit(None).cast("string").alias(OWN)
+    if other is None:
+        return references, [docs.select("*", none)]
+    lang = F.col("lang").cast("string")
+    common = lang.isNull() | lang.isin([*references.sizes])
+    joined = docs.where(~common).join(other, lang == F.col(OWN + "_lang"), "left").drop(OWN + "_lang")
+    return references, [docs.where(common).select("*", none), joined]
+
+
 def judge(text: str | None, references: References, lang: str | None = None) -> tuple:
     """Base figures, base verdict, the two distances, and the verdict."""
     text = text or ""
@@ -363,13 +430,14 @@ def quality(docs: DataFrame) -> DataFrame:
     Two passes over the documents (count, then judge), one shuffle of packed
     texts, each once per task, and one of word counts, which are added up in
     each task before."""
-    references = language_references(docs)
+    references, parts = with_references(docs.selectExpr("doc_id", "text", "cast(lang as string) as lang"))
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = OwnReferences(references)
         for batch in batches:
-            pairs = zip(batch.column(1), batch.column(2), strict=True)
-            rows = [judge(t.as_py(), references, lang.as_py()) for t, lang in pairs]
+            cells = zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)
+            rows = [judge(text, known.of(own), lang) for text, lang, own in cells]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 9
             types = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
@@ -377,9 +445,8 @@ def quality(docs: DataFrame) -> DataFrame:
                 names=_NAMES,
             )
 
-    return docs.selectExpr("doc_id", "text", "cast(lang as string) as lang").mapInArrow(
-        run, f"doc_id {_type(docs, 'doc_id')}, {BASE}, char_distance double, word_distance double, kept boolean"
-    )
+    schema = f"doc_id {_type(docs, 'doc_id')}, {BASE}, char_distance double, word_distance double, kept boolean"
+    return reduce(DataFrame.unionAll, [part.mapInArrow(run, schema) for part in parts])
 
 
 _NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
@@ -396,14 +463,17 @@ def _lang(value: object) -> str | None:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns; the verdict
     is made where the rows are read, so no text is shuffled."""
-    references = language_references(docs)
-    at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
+    references, parts = with_references(docs)
+    names = docs.columns
+    at, lang_at = names.index("text"), names.index("lang")
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = OwnReferences(references)
         for batch in batches:
-            pairs = zip(batch.column(at), batch.column(lang_at), strict=True)
-            kept = [judge(t.as_py(), references, _lang(lang.as_py()))[-1] for t, lang in pairs]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+            cells = zip(batch.column(at), batch.column(lang_at), batch.columns[-1], strict=True)
+            kept = [judge(t.as_py(), known.of(own.as_py()), _lang(lang.as_py()))[-1] for t, lang, own in cells]
+            rows = batch.filter(pa.array(kept, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(rows.columns[:-1], names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return reduce(DataFrame.unionAll, [part.mapInArrow(run, docs.schema) for part in parts])
