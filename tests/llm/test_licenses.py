@@ -58,3 +58,55 @@ def test_odd_rows(frame):
     assert found(frame, [(1, "İ" * 50 + " Released under the MIT License.")] * 2) == {(1, "MIT")}
     long = filler(60_000) + "\nReleased under the MIT License."
     assert found(frame, [(None, long)]) == {(None, "MIT")}
+
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.
+"""
+BSD_FILE = """Copyright 2020 A. Author
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+"""
+APACHE_FILE = """   Copyright 2020 A. Author
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+
+
+def test_published_files_are_found_as_wrapped(frame):
+    late = f"{filler(10)} license {filler(150)} {licenses.TEMPLATES['MIT text']} {filler(100)}"
+    rows = [(1, MIT_FILE), (2, BSD_FILE), (3, APACHE_FILE), (4, late)]
+    rows += [(5, BSD_FILE.replace("modification,", "modification 3 times,"))]
+    assert found(frame, rows) == {(1, "MIT text"), (2, "BSD text"), (3, "Apache-2.0 header"), (4, "MIT text")}

@@ -1,17 +1,19 @@
 """License scans by conditional compression.
 
-A text's candidate blocks are its lines around license words, and windows of a
-line where it is long. Each block is compressed on its own and with every
-template as a zstandard raw dictionary; templates are ranked by how much they
-shorten the block. The best ones are confirmed by their exact wording: the
-words of template and block are aligned, and a template holds if nearly all of
-its words stand in the block and none of its deciding words (numbers, license
-names) differs. What is missing or added is reported.
+A text's candidate blocks are windows around its license words, wide enough
+for the longest template before and after each, across lines. Each block is
+compressed on its own and with every template as a zstandard raw dictionary;
+templates are ranked by how much they shorten the block. They are confirmed by
+their exact wording: the words of template and block are aligned, and a
+template holds if nearly all of its words stand in the block and none of its
+deciding words (numbers but those of list items, license names) differs. What
+is missing or added is reported. Where notices overlap, the one with most
+words counts.
 
 One pass over the documents, without a shuffle; templates are a parameter.
 
 Edge cases: a null or empty text has no candidates and no rows; a text without
-license words costs a few substring searches; each found block gives one row,
+license words costs a few substring searches; each found notice gives one row,
 so a document may have several; repeated rows are reported each; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -19,6 +21,9 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -71,16 +76,16 @@ DECIDING = frozenset("apache mit gnu lesser affero mozilla cc by nc sa nd cc0 do
 #: A text without any of these has no candidate block.
 TRIGGERS = ("licens", "licenc", "permission", "redistribution", "public domain", "unencumbered")
 
-#: Words of a window around a trigger in a long line, to each side.
-WINDOW_WORDS = 96
-#: Lines that may lie between two trigger lines of one block.
-GAP_LINES = 2
-#: Templates confirmed per block, by rank.
-CONFIRM = 4
-MIN_REDUCTION = 0.3
+#: Words to each side of the license words of a block, by those of the longest
+#: template: as many may be added.
+REACH = 2
+#: What an added word between two matched parts takes from a match's words.
+GAP_COST = 0.5
 MIN_COVERAGE = 0.9
 
 _TOKEN = re.compile(r"[^\W_]+(?:[.][0-9]+)*")
+#: Numbers of list items: first on a line, or after the end of a clause.
+_ITEM = re.compile(r"(?:^[^\w\n]*|[.:;,]\s+|\b(?:and|or)\s+)[(]?([0-9]{1,2})[.)](?=\s)", re.MULTILINE)
 
 
 def plain_form(text: str) -> str:
@@ -92,42 +97,36 @@ def tokens(text: str) -> list[str]:
     return [t.lower() for t in _TOKEN.findall(text)]
 
 
-def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of the blocks around trigger words, in order."""
+def candidate_blocks(text: str, reach: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of windows that hold every trigger word with ``reach``
+    words to each side. Triggers less than ``reach`` words after the first of
+    a window share it; the next window overlaps with it."""
     lowered = text.lower()
     if len(lowered) != len(text):  # a letter whose lower case is longer
         lowered = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-    if not any(t in lowered for t in TRIGGERS):
+    hits = sorted(m.start() for t in TRIGGERS for m in re.finditer(re.escape(t), lowered))
+    if not hits:
         return
-    at, last, block = 0, -1 - GAP_LINES, None
-    for number, line in enumerate(lowered.split("\n")):
-        start, end = at, at + len(line)
-        at = end + 1
-        hits = [m.start() for t in TRIGGERS for m in re.finditer(re.escape(t), line)]
-        if not hits:
-            continue
-        words = [(m.start(), m.end()) for m in re.finditer(r"\S+", line)]
-        if len(words) > 2 * WINDOW_WORDS:
-            if block:
-                yield block
-                block = None
-            done = -1
-            for hit in sorted(hits):
-                if hit <= done:
-                    continue
-                near = next(i for i, w in enumerate(words) if w[1] > hit)
-                lo, hi = max(0, near - WINDOW_WORDS), min(len(words), near + WINDOW_WORDS)
-                done = words[hi - 1][1]
-                yield start + words[lo][0], start + done
-            last = number
-        elif block and number - last <= GAP_LINES + 1 and block[1] - block[0] < 4096:
-            block, last = (block[0], end), number
+    starts = array("q", (m.start() for m in _TOKEN.finditer(text)))
+    groups: list[list[int]] = []  # first and last word with a trigger
+    for hit in hits:
+        word = max(0, bisect_right(starts, hit) - 1)
+        if groups and word - groups[-1][0] < reach:
+            groups[-1][1] = word
         else:
-            if block:
-                yield block
-            block, last = (start, end), number
-    if block:
-        yield block
+            groups.append([word, word])
+    for first, last in groups:
+        lo, hi = max(0, first - reach), last + reach + 1
+        yield starts[lo] if lo else 0, starts[hi] if hi < len(starts) else len(text)
+
+
+def whole_words(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span up to the blanks around it."""
+    while start and not text[start - 1].isspace():
+        start -= 1
+    while end < len(text) and not text[end].isspace():
+        end += 1
+    return start, end
 
 
 class Scanner:
@@ -145,56 +144,106 @@ class Scanner:
             for name, t in templates.items()
         }
 
-    def rank(self, block: str) -> list[tuple[float, str]]:
+    def rank(self, block: str, names: list[str]) -> list[tuple[float, str]]:
         """(reduction, name), best first: the bytes that the template saves, as
         a share of the smaller of the compressed block and template."""
         data = plain_form(block).encode()
         alone = len(self.plain.compress(data))
         ranked = []
-        for name, compressor in self.given.items():
-            ranked.append(((alone - len(compressor.compress(data))) / min(alone, self.sizes[name]), name))
+        for name in names:
+            ranked.append(((alone - len(self.given[name].compress(data))) / min(alone, self.sizes[name]), name))
         return sorted(ranked, key=lambda r: (-r[0], r[1]))
 
-    def confirm(self, block: str, name: str) -> tuple[float, list[str], list[str]] | None:
+    def confirm(self, block: str, name: str) -> tuple[float, list[str], list[str], int, int] | None:
         """Share of the template's words in the block in order, the missing
-        words, and the words between; None if a deciding word differs."""
-        template, words = self.tokens[name], tokens(block)
+        words, the words between, and the span in the block; None if a
+        deciding word differs."""
+        template = self.tokens[name]
+        at = [m.span() for m in _TOKEN.finditer(block)]
+        words = [block[i:j].lower() for i, j in at]
         matcher = SequenceMatcher(None, template, words, autojunk=False)
-        matches = [m for m in matcher.get_matching_blocks() if m.size]
+        matches = dense_part([m for m in matcher.get_matching_blocks() if m.size])
         if not matches:
             return None
         found = {i for m in matches for i in range(m.a, m.a + m.size)}
         missing = [w for i, w in enumerate(template) if i not in found]
         first, last = matches[0].b, matches[-1].b + matches[-1].size
         used = {j for m in matches for j in range(m.b, m.b + m.size)}
-        added = [words[j] for j in range(first, last) if j not in used]
-        if any(w in DECIDING or w[0].isdigit() for w in [*missing, *added]):
+        items = {m.start(1) for m in _ITEM.finditer(block)}
+        added = [j for j in range(first, last) if j not in used]
+        deciding = [*missing, *(words[j] for j in added if at[j][0] not in items)]
+        if any(w in DECIDING or w[0].isdigit() for w in deciding):
             return None
         coverage = len(found) / len(template)
-        return (coverage, missing, added) if coverage >= MIN_COVERAGE else None
+        if coverage < MIN_COVERAGE:
+            return None
+        return coverage, missing, [words[j] for j in added], at[first][0], at[last - 1][1]
+
+    def best(self, block: str) -> tuple | None:
+        """(words, reduction, name, result) of the held template with most
+        words, longer ones first where two hold: a notice inside a header."""
+        words = Counter(tokens(block))
+        # The others cannot hold, in whatever order their words stand.
+        able = [n for n, t in self.tokens.items() if (Counter(t) & words).total() >= MIN_COVERAGE * len(t)]
+        held = []
+        for reduction, name in self.rank(block, able) if able else ():
+            template = self.tokens[name]
+            result = self.confirm(block, name)
+            if result:
+                held.append((len(template) * result[0], reduction, name, result))
+        return max(held, key=lambda h: (h[0], h[1])) if held else None
+
+    def notices(self, text: str, start: int, end: int) -> Iterator[tuple]:
+        """(words, start, end, name, coverage, missing, added) of a window: the
+        best, and those of what is left before and after it, until none holds."""
+        parts = [(start, end)]
+        while parts:
+            start, end = parts.pop()
+            best = self.best(text[start:end])
+            if best:
+                n, _, name, (coverage, missing, added, lo, hi) = best
+                yield n, start + lo, start + hi, name, coverage, missing, added
+                parts += [(start, start + lo), (start + hi, end)]
 
     def scan(self, text: str) -> Iterator[tuple]:
-        """(start, end, license, reduction, coverage, missing, added) per block."""
-        for start, end in candidate_blocks(text):
-            block = text[start:end]
-            # Longer templates first where two hold: a notice inside a header.
-            held = []
-            confirmed = 0
-            for reduction, name in self.rank(block):
-                if reduction < MIN_REDUCTION or confirmed >= CONFIRM and held:
-                    break
-                confirmed += 1
-                result = self.confirm(block, name)
-                if result:
-                    held.append((len(self.tokens[name]) * result[0], reduction, name, result))
-            if held:
-                _, reduction, name, (coverage, missing, added) = max(held, key=lambda h: (h[0], h[1]))
-                yield start, end, name, reduction, coverage, " ".join(missing), " ".join(added)
+        """(start, end, license, reduction, coverage, missing, added) per
+        notice, in order; the reduction is that of the notice."""
+        reach = REACH * max(map(len, self.tokens.values()), default=0)
+        found = {n for window in candidate_blocks(text, reach) for n in map(_hashable, self.notices(text, *window))}
+        taken: list[tuple] = []
+        for notice in sorted(found, key=lambda n: (-n[0], n[1:4])):
+            at = bisect_right(taken, notice[1:])
+            if at and taken[at - 1][1] > notice[1] or at < len(taken) and taken[at][0] < notice[2]:
+                continue
+            taken.insert(at, notice[1:])
+        for start, end, name, coverage, missing, added in taken:
+            start, end = whole_words(text, start, end)
+            reduction = self.rank(text[start:end], [name])[0][0]
+            yield start, end, name, reduction, coverage, " ".join(missing), " ".join(added)
+
+
+def _hashable(notice: tuple) -> tuple:
+    return tuple(tuple(v) if isinstance(v, list) else v for v in notice)
+
+
+def dense_part(matches: list) -> list:
+    """The run of matches with most words, less ``GAP_COST`` per word between:
+    stray words far from the notice are not of it."""
+    best, least, total, first, part = 0.0, 0.0, 0.0, 0, (0, 0)
+    for i, m in enumerate(matches):
+        if i:
+            total -= GAP_COST * (m.b - matches[i - 1].b - matches[i - 1].size)
+        if total <= least or not i:
+            least, first = total, i
+        total += m.size
+        if total - least > best:
+            best, part = total - least, (first, i + 1)
+    return matches[slice(*part)]
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """doc_id, start, end (characters of the block), license, reduction,
-    coverage, missing_words, added_words: one row per confirmed block."""
+    """doc_id, start, end (characters of the notice), license, reduction,
+    coverage, missing_words, added_words: one row per confirmed notice."""
     ship_package(docs.sparkSession)
     chosen = TEMPLATES if templates is None else dict(templates)
     kind = dict(docs.dtypes)["doc_id"]
