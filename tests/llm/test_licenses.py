@@ -110,3 +110,23 @@ def test_published_files_are_found_as_wrapped(frame):
     rows = [(1, MIT_FILE), (2, BSD_FILE), (3, APACHE_FILE), (4, late)]
     rows += [(5, BSD_FILE.replace("modification,", "modification 3 times,"))]
     assert found(frame, rows) == {(1, "MIT text"), (2, "BSD text"), (3, "Apache-2.0 header"), (4, "MIT text")}
+
+
+def test_every_license_of_a_document_is_found(frame):
+    both = "Released under the MIT License. Licensed under CC BY 4.0."
+    names = ["MIT", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0"]
+    rows = [
+        (1, both),
+        (2, both.replace(". L", ".\nL")),
+        (3, f"{filler(300)} {both} {filler(300, 900)}"),
+        (4, "\n".join(licenses.TEMPLATES[n] for n in names)),
+        (5, MIT_FILE + "\n" + APACHE_FILE + "\n" + BSD_FILE),
+        (6, "Released under the MIT License.\n" * 3),
+    ]
+    want = {(i, n) for i in (1, 2, 3) for n in ("MIT", "CC-BY-4.0")} | {(4, n) for n in names}
+    want |= {(5, n) for n in ("MIT text", "Apache-2.0 header", "BSD text")} | {(6, "MIT")}
+    assert found(frame, rows) == want
+    got = licenses.scan_licenses(frame(rows)).collect()
+    assert len(got) == len(want) + 2
+    texts = dict(rows)
+    assert {texts[6][r.start : r.end] for r in got if r.doc_id == 6} == {"Released under the MIT License."}
