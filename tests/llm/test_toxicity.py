@@ -104,3 +104,11 @@ def test_without_labels(frame, spark):
     found = toxicity.toxicity(frame(ODD), none).collect()
     assert len(found) == len(ODD) and all(0 <= r.score < 0.5 for r in found)
     assert toxicity.toxicity(frame([]), none).collect() == []
+
+
+def test_a_repeated_doc_id_gives_one_training_row(frame, spark):
+    rows, labels = corpus(60)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    once = sorted(tuple(r) for r in toxicity.training_rows(frame(rows), table).collect())
+    again = sorted(tuple(r) for r in toxicity.training_rows(frame(rows + rows[:10] * 5), table).collect())
+    assert again == once and len(once) <= 60

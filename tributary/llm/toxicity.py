@@ -244,7 +244,9 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     # At most MAX_TRAINING_ROWS rows of (id, label): a proven bound for a broadcast.
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-    return stage_table(joined.select(F.coalesce("text", F.lit("")).alias("text"), "toxic"), "toxicity-sample")
+    # One row per id, also where a doc_id repeats.
+    one = joined.groupBy("_id").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"), F.first("toxic").alias("toxic"))
+    return stage_table(one.select("text", "toxic"), "toxicity-sample")
 
 
 def _keys(words: list[str]) -> set[str]:
