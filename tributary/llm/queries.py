@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tributary.llm import (
     bpe,
+    conversations,
+    language_model,
     licenses,
     mixing,
     near_duplicates,
     neighbours,
     quality,
+    resampling,
     sharding,
     suffixes,
     toxicity,
@@ -71,6 +74,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(read_table(spark, sf_dir, "documents"), vocabulary())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -83,6 +98,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
         "op10_sharding": op10_sharding,
+        "op11_resampling": op11_resampling,
+        "op12_conversations": op12_conversations,
+        "op13_attention": op13_attention,
     }
 
 
@@ -92,4 +110,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op8_mixing": mixing.oracle_sql(),
         "op10_sharding": sharding.oracle_sql(),
+        "op11_resampling": resampling.oracle_sql(),
+        "op12_conversations": conversations.oracle_sql(),
     }
