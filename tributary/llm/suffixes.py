@@ -517,38 +517,38 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     firsts = stage_table(first_texts(rows), "first-texts")
     _, spans = repeated_spans(rows, firsts)
-    cuts = stage_table(_by_document(spans), "covered-spans").withColumnsRenamed({"d": "_cut_d", "k": "_cut_k", "spans": "_cut"})
-    first = firsts.select(F.col("k").alias("_first_k"), F.col("k2").alias("_first_k2"), F.col("d").alias("_first_d"))
+    cuts = stage_table(_by_document(spans), "covered-spans")
+    # Copies of an earlier document, found by their keys alone.
+    first = firsts.where(F.col("n") >= LENGTH).select("k", "k2", F.col("d").alias("first"))
+    later = rows.select("d", "k", "k2").distinct().join(first, ["k", "k2"]).where(F.col("d") != F.col("first"))
+    marks = cuts.select("d", "k", "spans", F.lit(False).alias("later")).unionByName(
+        later.select("d", "k", F.lit(None).cast(cuts.schema["spans"].dataType).alias("spans"), F.lit(True).alias("later"))
+    )
+    # The only exchange of whole rows; packed, so no name of theirs can clash.
     text = F.coalesce(F.col("text"), F.lit(""))
     place = docs.select(
-        "*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_d"),
-        F.xxhash64(text).alias("_k"), F.xxhash64(F.lit("second"), text).alias("_k2"),
-    )
-    joined = (
-        place.join(first, F.expr("_k = _first_k and _k2 = _first_k2"))
-        .join(cuts, F.expr("_d = _cut_d and _k = _cut_k"), "left")
-        .select(*[f"`{c}`" for c in docs.columns], (F.col("_d") != F.col("_first_d")).alias("_later"), "_cut")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64(text).alias("k"),
     )
+    joined = place.join(marks, ["d", "k"], "left").select("row", "later", "spans")
     at = docs.columns.index("text")
     n_chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     @tidy
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for text, later, cut in zip(batch.column(at), batch.column(len(batch.columns) - 2), batch.column(len(batch.columns) - 1), strict=True):
+            columns, kept = batch.column(0).flatten(), []
+            for text, later, cut in zip(columns[at], batch.column(1), batch.column(2), strict=True):
                 text = text.as_py()
-                data = (text or "").encode()
-                if later.as_py() and len(data) >= LENGTH:
+                if later.as_py():
                     text = ""
                 elif cut.as_py():
                     spans = merged([(x["s"], x["e"]) for x in cut.as_py()])
-                    text = remaining(data, spans).decode("utf-8", errors="ignore")
+                    text = remaining((text or "").encode(), spans).decode("utf-8", errors="ignore")
                 kept.append(text)
-            columns = list(batch.columns[:-2])
             columns[at] = pa.array(kept, pa.string())
             if n_chars is not None:
                 columns[n_chars] = pa.array([None if t is None else len(t) for t in kept], pa.int64()).cast(columns[n_chars].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-2])
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in batch.schema.field(0).type])
 
     return joined.mapInArrow(shorten, docs.schema)
