@@ -111,18 +111,18 @@ def _own_label(name: str) -> Column:
     return F.coalesce(F.col(name), default.cast("long") if name == "namespace" else default).alias(name)
 
 
-def label_counts(events: DataFrame, name: str) -> DataFrame:
-    """A4-A7 straight from keyed events with one row per ``meta_id``.
-
-    The same rows as counting the fact per key and joining the dimension:
-    the events of a key are counted per combination of attributes, and the
-    smallest combination, which is the dimension's row, gives the label. One
-    pass over the events and no join, for where the dimension isn't stored.
-    """
-    key, attributes, labels = BREAKDOWNS[name]
+def key_combinations(events: DataFrame, name: str, *by: str) -> DataFrame:
+    """Events per combination of a breakdown's key and attributes, and ``by``."""
+    key, attributes, _ = BREAKDOWNS[name]
     if "event_user" in attributes:
         events = events.withColumn("event_user", F.coalesce("event_user", F.lit(UNKNOWN_LABEL)))
-    combinations = events.groupBy(key, *attributes).agg(F.count("*").alias("_events"))
+    return events.groupBy(*by, key, *attributes).agg(F.count("*").alias("_events"))
+
+
+def labelled_counts(combinations: DataFrame, name: str) -> DataFrame:
+    """A4-A7 from the counts per combination: a key's smallest combination,
+    which is the dimension's row, gives the label."""
+    key, attributes, labels = BREAKDOWNS[name]
     per_key = combinations.groupBy(key).agg(
         F.min(F.struct(*attributes)).alias("_best"), F.sum("_events").alias("_events")
     )
@@ -130,6 +130,16 @@ def label_counts(events: DataFrame, name: str) -> DataFrame:
     return named.groupBy(*[_own_label(n) for n in labels]).agg(F.sum("_events").alias("events"))
 
 
+def label_counts(events: DataFrame, name: str) -> DataFrame:
+    """A4-A7 straight from keyed events with one row per ``meta_id``.
+
+    The same rows as counting the fact per key and joining the dimension, in
+    one pass over the events and without a join, for where the dimension isn't
+    stored.
+    """
+    return labelled_counts(key_combinations(events, name), name)
+
+
 def recent_events_of(events: DataFrame, rows: int = SNAPSHOT_ROWS) -> DataFrame:
     """L1 straight from keyed events with one row per ``meta_id``: the labels
     ride along with the top-k, so nothing is joined and the events are read

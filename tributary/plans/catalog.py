@@ -35,6 +35,7 @@ from tributary.operators.quality import (
 from tributary.operators.silver import transform_to_silver
 from tributary.operators.star import build_dashboard_base
 from tributary.plans import jobs
+from tributary.plans.gold_refresh import refresh_gold
 from tributary.schemas import KAFKA_SCHEMA, UNKNOWN_LABEL
 from tributary.session import checkpoint_dir, use_utc
 from tributary.sinks.kafka import kafka_records
@@ -218,6 +219,43 @@ def _gold_lake(spark, sf_dir) -> tuple[jobs.LakeConfig, dict[str, DataFrame]]:
     return config, jobs.read_gold_tables(spark, config)
 
 
+#: Events of one date that land late in the refresh queries; none of them shares
+#: its meta_id with another event.
+REFRESH_DATE = dt.date(2024, 1, 12)
+_LANDS_LATE = f"to_date(ts) = date'{REFRESH_DATE}' and event_id % 100 between 20 and 60"
+
+
+def _refreshed_lake(spark, sf_dir) -> tuple[jobs.LakeConfig, dict[str, DataFrame]]:
+    """A lake whose Gold was built without some events of one date, which then
+    land, change that date of Silver, and come into Gold by a refresh."""
+    use_utc(spark)
+    config, events = _scratch_lake(spark), _table(spark, sf_dir, "events")
+    _land(spark, sf_dir, config, events.where(f"not ({_LANDS_LATE})"))
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    refresh_gold(spark, config)
+    _land(spark, sf_dir, config, events.where(_LANDS_LATE))
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, REFRESH_DATE, REFRESH_DATE, as_of=AS_OF)
+    refresh_gold(spark, config)
+    return config, jobs.read_gold_tables(spark, config)
+
+
+def _refresh_query(name: str) -> Query:
+    def run(spark, sf_dir):
+        return _ntz(_refreshed_lake(spark, sf_dir)[1][name])
+
+    run.__doc__ = f"W3, K6: {name} after a refresh that reads one changed date of Silver."
+    return run
+
+
+def q_gold_refresh_rows(spark, sf_dir):
+    """Rows of the 14 refreshed tables."""
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        for name, df in _refreshed_lake(spark, sf_dir)[1].items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _kafka_files(spark, events: DataFrame, source: str, mode: str = "errorifexists") -> None:
     change_feed(events).drop("ingested_at").write.mode(mode).parquet(source)
 
@@ -719,6 +757,11 @@ def queries() -> dict[str, Query]:
             "strict_gate": q_strict_gate,
             "scheduled": q_scheduled,
             "star_schema_rows": q_star_schema_rows,
+            "gold_refresh_kpis": _refresh_query("agg_dashboard_kpis"),
+            "gold_refresh_top_pages": _refresh_query("agg_top_pages"),
+            "gold_refresh_fact": _refresh_query("fact_recent_changes"),
+            "gold_refresh_snapshot": _refresh_query("recent_events_snapshot"),
+            "gold_refresh_rows": q_gold_refresh_rows,
             "csv_exports": q_csv_exports,
             "csv_top_pages": q_csv_top_pages,
             "dynamic_overwrite": q_dynamic_overwrite,

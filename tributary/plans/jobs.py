@@ -80,6 +80,8 @@ class LakeConfig:
     gold_path: str = "gold/recent_changes"
     bronze_checkpoint_path: str = "checkpoints/bronze"
     bronze_windows_path: str = "checkpoints/bronze_windows"
+    bronze_offsets_path: str = "checkpoints/bronze_offsets"
+    gold_state_path: str = "checkpoints/gold_state"
     layer_format: str = "parquet"
     bronze_partitions: str = BRONZE_PARTITIONS
     silver_partitions: str = SILVER_PARTITIONS

@@ -465,6 +465,14 @@ def oracle_sql() -> dict[str, str]:
                 f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}"
                 for name in C.GOLD_NAMES + ("recent_events_snapshot",)
             ),
+            "gold_refresh_kpis": "SELECT * FROM agg_dashboard_kpis",
+            "gold_refresh_top_pages": "SELECT * FROM agg_top_pages",
+            "gold_refresh_fact": "SELECT * FROM fact_recent_changes",
+            "gold_refresh_snapshot": "SELECT * FROM recent_events_snapshot",
+            "gold_refresh_rows": "\nUNION ALL ".join(
+                f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}"
+                for name in C.GOLD_NAMES + ("recent_events_snapshot",)
+            ),
             "csv_exports": f"""
 SELECT 'events_by_date' AS export, count(*) AS rows FROM agg_events_by_date WHERE event_date BETWEEN {ss} AND {se}
 UNION ALL SELECT 'event_types', least(count(*), {C.TOP_N}) FROM agg_events_by_type
