@@ -36,11 +36,12 @@ from tributary.operators.silver import transform_to_silver
 from tributary.operators.star import build_dashboard_base
 from tributary.plans import jobs
 from tributary.plans.gold_refresh import refresh_gold
+from tributary.plans.landing import Landing, land_new_offsets
 from tributary.schemas import KAFKA_SCHEMA, UNKNOWN_LABEL
 from tributary.session import checkpoint_dir, use_utc
-from tributary.sinks.kafka import kafka_records
-from tributary.sinks.lake import export_dashboard, write_layer
-from tributary.sources.feed import FEED_TOPIC, change_feed, feed_events
+from tributary.sinks.kafka import kafka_records, write_kafka
+from tributary.sinks.lake import export_dashboard, preview_frame, schema_frame, write_layer
+from tributary.sources.feed import FEED_PARTITIONS, FEED_TOPIC, change_feed, feed_events
 from tributary.sources.kafka import (
     load_parsed_bronze,
     load_transformed,
@@ -336,6 +337,103 @@ def q_batch_new_offsets(spark, sf_dir):
     return _ntz(read_bronze(spark, config.path("bronze")))
 
 
+def _ledger_lake(spark, sf_dir) -> tuple[jobs.LakeConfig, list[Landing]]:
+    """A topic whose first half is landed by the ledger, then the rest, then
+    nothing new; files in the Kafka layout stand for the topic."""
+    use_utc(spark)
+    config, events = _scratch_lake(spark), _table(spark, sf_dir, "events")
+    source = lake_path(config.base_uri, "kafka_files")
+    half = events.agg(F.floor(F.max("event_id") / 2)).first()[0]
+    feed = change_feed(events)
+
+    def read(starting: str, ending: str) -> DataFrame:
+        return spark.read.schema(feed.schema).parquet(source)
+
+    landings = []
+    for part in (feed.where(f"offset <= {half // FEED_PARTITIONS}"), feed.where(f"offset > {half // FEED_PARTITIONS}"), None):
+        if part is not None:
+            part.write.mode("append").parquet(source)
+        landings.append(land_new_offsets(spark, config, read, {FEED_TOPIC: FEED_PARTITIONS}, F.col("ingested_at")))
+    return config, landings
+
+
+def q_batch_offset_ledger(spark, sf_dir):
+    """Three batches by the offset ledger land every record once."""
+    return _ntz(read_bronze(spark, _ledger_lake(spark, sf_dir)[0].path("bronze")))
+
+
+def q_offset_ledger_ranges(spark, sf_dir):
+    """From which offset each batch read each partition (-2: the earliest)."""
+    _, landings = _ledger_lake(spark, sf_dir)
+    rows = [
+        (batch, topic, int(number), first)
+        for batch, landing in enumerate(landings)
+        for topic, own in landing.starting.items()
+        for number, first in own.items()
+    ]
+    return spark.createDataFrame(rows, "batch int, topic string, kafka_partition int, starting long")
+
+
+def q_bronze_loose_files(spark, sf_dir):
+    """A third of the feed in files right below the Bronze path, a third
+    by batch, a third by stream, then the whole feed again with only new offsets."""
+    use_utc(spark)
+    config, events = _scratch_lake(spark), _table(spark, sf_dir, "events")
+    loose = to_bronze(change_feed(events.where("event_id % 3 = 0")), ingested_at=F.col("ingested_at"))
+    write_layer(loose, config.path("bronze"))
+    _land(spark, sf_dir, config, events.where("event_id % 3 = 1"))
+    source = lake_path(config.base_uri, "kafka_files")
+    _kafka_files(spark, events.where("event_id % 3 = 2"), source)
+    _stream_into(spark, config, source)
+    _land(spark, sf_dir, config, only_new_offsets=True)
+    return _without_clock(read_bronze(spark, config.path("bronze")))
+
+
+def q_stream_trigger(spark, sf_dir):
+    """A running stream with a processing-time trigger takes files as they come."""
+    use_utc(spark)
+    config, events = _scratch_lake(spark), _table(spark, sf_dir, "events")
+    source = lake_path(config.base_uri, "kafka_files")
+    _kafka_files(spark, events.where("event_id % 2 = 0"), source)
+    stream = read_kafka_stream(
+        spark, "unused:9092", FEED_TOPIC, options={"path": source}, source_format="parquet", schema=KAFKA_SCHEMA
+    )
+    running = jobs.start_kafka_to_bronze_stream(spark, config, stream, trigger_interval="1 second")
+    try:
+        running.processAllAvailable()
+        _kafka_files(spark, events.where("event_id % 2 = 1"), source, mode="append")
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return _without_clock(read_bronze(spark, config.path("bronze")))
+
+
+def q_kafka_write(spark, sf_dir):
+    """K7: the records that ``write_kafka`` writes, in a file format, read back."""
+    use_utc(spark)
+    path = f"{_shared_root(spark)}/kafka-{uuid.uuid4().hex}"
+    records = kafka_records(feed_events(_table(spark, sf_dir, "events")))
+    write_kafka(records, "unused:9092", FEED_TOPIC, options={"path": path}, output_format="parquet")
+    return spark.read.parquet(path)
+
+
+def q_topic_schema(spark, sf_dir):
+    """S3: columns of a topic's records, in order."""
+    source = f"{_shared_root(spark)}/kafka-{uuid.uuid4().hex}"
+    _kafka_files(spark, _table(spark, sf_dir, "events"), source)
+    scan = read_kafka(
+        spark, "unused:9092", FEED_TOPIC, options={"path": source}, source_format="parquet", schema=KAFKA_SCHEMA
+    )
+    return schema_frame(scan)
+
+
+def q_layer_preview(spark, sf_dir):
+    """The first rows of Silver by its key."""
+    config = _landed_lake(spark, sf_dir)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    return _ntz(preview_frame(read_layer(spark, config.path("silver")), TOP_N, by=("meta_id",)))
+
+
 def q_kafka_scan(spark, sf_dir):
     """The bounded Kafka scan, over files in the Kafka layout."""
     use_utc(spark)
@@ -748,6 +846,13 @@ def queries() -> dict[str, Query]:
             "bronze_batch_then_stream": _mixed_landing(stream_first=False),
             "bronze_stream_then_batch": _mixed_landing(stream_first=True),
             "batch_new_offsets": q_batch_new_offsets,
+            "batch_offset_ledger": q_batch_offset_ledger,
+            "offset_ledger_ranges": q_offset_ledger_ranges,
+            "bronze_loose_files": q_bronze_loose_files,
+            "stream_trigger": q_stream_trigger,
+            "kafka_write": q_kafka_write,
+            "topic_schema": q_topic_schema,
+            "layer_preview": q_layer_preview,
             "kafka_scan": q_kafka_scan,
             "loaded_bronze": q_loaded_bronze,
             "loaded_transformed": q_loaded_transformed,

@@ -450,6 +450,22 @@ def oracle_sql() -> dict[str, str]:
             "bronze_batch_then_stream": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
             "bronze_stream_then_batch": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
             "batch_new_offsets": "SELECT * FROM bronze",
+            "batch_offset_ledger": "SELECT * FROM bronze",
+            "offset_ledger_ranges": """
+SELECT * FROM (
+WITH feed AS (SELECT (event_id % 3)::INTEGER AS p, event_id // 3 AS o FROM events),
+border AS (SELECT (max(event_id) // 2) // 3 AS o FROM events),
+batches AS (
+  SELECT 0 AS batch, p, -2 AS starting FROM feed GROUP BY p
+  UNION ALL SELECT 1, p, max(feed.o) + 1 FROM feed, border WHERE feed.o <= border.o GROUP BY p
+  UNION ALL SELECT 2, p, max(o) + 1 FROM feed GROUP BY p)
+SELECT batch, 'changes' AS topic, p AS kafka_partition, starting::BIGINT AS starting FROM batches)""",
+            "bronze_loose_files": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
+            "stream_trigger": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
+            "layer_preview": f"SELECT * FROM silver ORDER BY meta_id LIMIT {C.TOP_N}",
+            "topic_schema": """
+SELECT * FROM (VALUES (0, 'key', 'binary'), (1, 'value', 'binary'), (2, 'topic', 'string'), (3, 'partition', 'int'),
+  (4, 'offset', 'bigint'), (5, 'timestamp', 'timestamp')) t(position, "column", type)""",
             "kafka_scan": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
             "loaded_bronze": "SELECT * FROM loaded",
             "loaded_transformed": _TRANSFORMED,
@@ -614,6 +630,7 @@ FROM agg_events_by_date""",
             ),
         }
     )
+    sql["kafka_write"] = f"SELECT key, value FROM ({sql['kafka_publish']})"
     found = {name: _with(text) for name, text in sql.items()}
     # The feed with far-off seconds where the text time is unreadable.
     far = CTES.replace("CASE WHEN d <> 6 THEN CAST(floor", f"CASE WHEN d = 7 THEN {C.FAR_SECONDS} WHEN d <> 6 THEN CAST(floor")

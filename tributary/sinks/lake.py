@@ -155,7 +155,18 @@ def export_dashboard(views: Mapping[str, DataFrame], base_path: str, mode: str =
     }
 
 
+def preview_frame(df: DataFrame, rows: int = 5, by: Sequence[str] = ()) -> DataFrame:
+    """The first rows (K10), in the order of ``by`` where it is given."""
+    return (df.orderBy(*by) if by else df).limit(rows)
+
+
+def schema_frame(df: DataFrame) -> DataFrame:
+    """A frame's columns with their types, in order (S3)."""
+    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(fields, "position int, column string, type string")
+
+
 def preview(df: DataFrame, rows: int = 5) -> None:
     """Schema and the first rows, untruncated."""
     df.printSchema()
-    df.show(rows, truncate=False)
+    preview_frame(df, rows).show(truncate=False)

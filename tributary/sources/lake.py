@@ -156,10 +156,13 @@ BRONZE_BATCH, BRONZE_STREAM = "batch", "stream"
 
 def read_bronze(spark: SparkSession, path: str, source_format: str = "parquet") -> DataFrame:
     """Bronze scan with its explicit schema (S6): what batch runs and what
-    streams have landed, and files that lie right below ``path`` itself.
+    streams have landed, and files that lie below ``path`` beside those two
+    folders (loose ones, or folders of an older lake).
 
     The schema keeps partition values typed as written (a numeric topic name
-    stays a string), and partition filters reach each part's scan.
+    stays a string), and partition filters reach each part's scan. Where a
+    stream has written to ``path`` itself, its log of committed batches says
+    which of the files beside the two folders count.
     """
     root = path.rstrip("/")
     folders = child_folders(spark, root)
@@ -168,12 +171,18 @@ def read_bronze(spark: SparkSession, path: str, source_format: str = "parquet")
         for child in (BRONZE_BATCH, BRONZE_STREAM)
         if child in folders and has_data_files(spark, f"{root}/{child}")
     ]
-    own = [name for name in folders if name not in (BRONZE_BATCH, BRONZE_STREAM)]
-    if parts and own:
-        below = spark.read.format(source_format).schema(BRONZE_SCHEMA).option("basePath", root)
-        parts.append(below.load([f"{root}/{name}" for name in own]))
     if not parts:
         return read_layer(spark, root, source_format, schema=BRONZE_SCHEMA)
+    reader = spark.read.format(source_format).schema(BRONZE_SCHEMA)
+    if has_sink_log(spark, root):
+        parts.append(reader.load(root))
+    else:
+        own = [name for name in folders if name not in (BRONZE_BATCH, BRONZE_STREAM)]
+        if own:
+            parts.append(reader.option("basePath", root).load([f"{root}/{name}" for name in own]))
+        loose = sorted(file_names(spark, root))
+        if loose:
+            parts.append(spark.read.format(source_format).schema(BRONZE_SCHEMA).load([f"{root}/{name}" for name in loose]))
     return reduce(DataFrame.unionByName, parts)
 
 
