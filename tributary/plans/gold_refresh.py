@@ -16,14 +16,11 @@ its manifest is published is repeated from the same start.
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
-from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tributary.operators.aggregates import BREAKDOWNS
@@ -31,11 +28,9 @@ from tributary.operators.gold_state import gold_of_states, moved_totals, partial
 from tributary.plans.jobs import LakeConfig, run_silver_to_gold
 from tributary.sinks.lake import LayerWriter, run_concurrently, write_tables
 from tributary.sinks.manifest import Manifest
-from tributary.sources.lake import child_folders, delete_folder, file_names, partition_columns, read_layer
+from tributary.sources.dates import DATE_FOLDER, changed_dates, date_files, on_dates
+from tributary.sources.lake import child_folders, delete_folder, partition_columns, read_layer
 
-DATE_FOLDER = "event_date="
-#: Name of the folder of rows without a date, as Spark writes it.
-NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
 _DAY_STATES = ("days", "windows", "latest")
 
 
@@ -48,23 +43,6 @@ class GoldRefresh:
     gone: list[str]
 
 
-def silver_dates(spark: SparkSession, config: LakeConfig) -> dict[str, list[str]]:
-    """Files of each of Silver's date folders, by the folder's value."""
-    root = config.path("silver")
-    folders = [n for n in child_folders(spark, root) if n.startswith(DATE_FOLDER)]
-    return {
-        n.removeprefix(DATE_FOLDER): files for n in folders if (files := sorted(file_names(spark, f"{root}/{n}")))
-    }
-
-
-def on_dates(dates: Iterable[str], column: str = "event_date") -> Column:
-    """Partition filter for date folders."""
-    dates = sorted(dates)
-    days = [dt.date.fromisoformat(d) for d in dates if d != NULL_DATE]
-    found = F.col(column).isin(days) if days else F.lit(False)
-    return found | F.col(column).isNull() if NULL_DATE in dates else found
-
-
 class GoldState:
     """Reads and writes below ``gold_state_path``."""
 
@@ -101,9 +79,8 @@ def refresh_gold(spark: SparkSession, config: LakeConfig) -> GoldRefresh:
     state = GoldState(spark, config)
     before = state.manifest.current() or {"dates": {}, "totals": None}
     held = before["dates"]
-    silver = silver_dates(spark, config)
-    changed = sorted(d for d, files in silver.items() if held.get(d, {}).get("files") != files)
-    gone = sorted(held.keys() - silver.keys())
+    silver = date_files(spark, config.path("silver"))
+    changed, gone = changed_dates(silver, held)
     if not changed and not gone and before["totals"] is not None:
         return GoldRefresh({}, [], [])
 

@@ -4,7 +4,8 @@ checks, and the scheduled order (W2-W6)."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -42,8 +43,10 @@ from tributary.schemas import (
     QUARANTINE_PARTITIONS,
     SILVER_PARTITIONS,
 )
+from tributary.plans.key_index import KeyIndex
 from tributary.session import cut_lineage
 from tributary.sinks.lake import LayerWriter, run_concurrently, write_tables
+from tributary.sources.dates import DATE_FOLDER
 from tributary.sources.kafka import parse_raw_messages, to_bronze
 from tributary.sources.lake import (
     BRONZE_BATCH,
@@ -82,6 +85,7 @@ class LakeConfig:
     bronze_windows_path: str = "checkpoints/bronze_windows"
     bronze_offsets_path: str = "checkpoints/bronze_offsets"
     gold_state_path: str = "checkpoints/gold_state"
+    silver_keys_path: str = "checkpoints/silver_keys"
     layer_format: str = "parquet"
     bronze_partitions: str = BRONZE_PARTITIONS
     silver_partitions: str = SILVER_PARTITIONS
@@ -277,17 +281,26 @@ def _record_windows(
     table.coalesce(1).write.mode("overwrite").parquet(config.path("bronze_windows"))
 
 
+@contextmanager
 def _silver_outside(
     spark: SparkSession, config: LakeConfig, window: Callable[[DataFrame], DataFrame]
-) -> DataFrame | None:
+) -> Iterator[DataFrame | None]:
     """``meta_id`` of the stored Silver rows outside a processing window; a
-    row's window date is its event date, so the folders inside are skipped."""
+    row's window date is its event date. They come from the key index, or from
+    Silver itself where that has no date folders."""
     if not has_data_files(spark, config.path("silver")):
-        return None
+        yield None
+        return
+    if partition_columns(config.silver_partitions) == ["event_date"]:
+        index = KeyIndex(spark, config.path("silver_keys"), config.path("silver"), config.format_of("silver"))
+        inside = [name.removeprefix(DATE_FOLDER) for name in _stored_dates(spark, config, window)]
+        with index.outside(inside) as keys:
+            yield keys
+        return
     stored = read_layer(spark, config.path("silver"), config.format_of("silver"))
     dated = stored.select("meta_id", F.col("event_date").alias("processing_window_date"))
     inside = window(dated.select("processing_window_date").distinct())
-    return dated.join(inside, "processing_window_date", "left_anti").select("meta_id")
+    yield dated.join(inside, "processing_window_date", "left_anti").select("meta_id")
 
 
 def _stored_dates(
@@ -354,21 +367,21 @@ def run_bronze_to_silver(
     overwrite = "dynamic" if windowed_run else "static"
     try:
         valid, quarantine = split_valid_and_quarantine(windowed)
-        outside = _silver_outside(spark, config, window) if windowed_run else None
-        if outside is not None:
-            valid = valid.join(outside, "meta_id", "left_anti")
-        silver = transform_to_silver(valid)
         before = _stored_dates(spark, config, window) if windowed_run else {}
         observation = Observation("quarantine")
         rows = [F.count(F.lit(1)).alias("rows")]
-        paths = run_concurrently(
-            {
-                "silver": lambda: config.writer("silver", overwrite_partitions=overwrite).write(silver),
-                "quarantine": lambda: config.writer("quarantine", overwrite_partitions=overwrite).write(
-                    select_quarantine_columns(quarantine), observe=(observation, rows)
-                ),
-            }
-        )
+        with _silver_outside(spark, config, window) if windowed_run else nullcontext() as outside:
+            if outside is not None:
+                valid = valid.join(outside, "meta_id", "left_anti")
+            silver = transform_to_silver(valid)
+            paths = run_concurrently(
+                {
+                    "silver": lambda: config.writer("silver", overwrite_partitions=overwrite).write(silver),
+                    "quarantine": lambda: config.writer("quarantine", overwrite_partitions=overwrite).write(
+                        select_quarantine_columns(quarantine), observe=(observation, rows)
+                    ),
+                }
+            )
         # A dynamic overwrite leaves dates that this run has no row for, with
         # rows whose survivor has moved to another date: they keep their files.
         after = _stored_dates(spark, config, window) if before else {}
