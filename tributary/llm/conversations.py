@@ -229,8 +229,9 @@ def blocks(rows: DataFrame) -> DataFrame:
     conversation), marks (initial and state of each turn), first and last turn
     number, how many there are, and the turns."""
     kind = rows.schema["conv_id"].dataType
+    role, text = (F.coalesce(name, F.lit(" ")) for name in ("role", "text"))
     keyed = rows.select(
-        "conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", F.md5("text").alias("digest"),
+        "conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"), F.md5(text).alias("digest"),
         F.monotonically_increasing_id().alias("salt"),  # equal rows can go to several partitions
     )
     order = ["conv_id", "turn", "role", "digest", "salt"]

@@ -56,12 +56,15 @@ def features(found: Column, n_grams: tuple[int, int]) -> Column:
     least, most = n_grams
     if most == 1:
         return found
+
+    def run_of(n: int):
+        return lambda at: F.array_join(F.slice(found, at, n), " ")
+
     size, none = F.size(found), F.array().cast("array<string>")
     parts = []
     for n in range(least, most + 1):
         places = F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1)))
-        runs = F.transform(places, lambda at, n=n: F.array_join(F.slice(found, at, n), " "))
-        parts.append(F.when(size >= n, runs).otherwise(none))
+        parts.append(F.when(size >= n, F.transform(places, run_of(n))).otherwise(none))
     return F.concat(*parts)
 
 
