@@ -517,13 +517,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     firsts = stage_table(first_texts(rows), "first-texts")
     _, spans = repeated_spans(rows, firsts)
-    cuts = stage_table(_by_document(spans), "covered-spans")
+    cuts = _by_document(spans)
     # Copies of an earlier document, found by their keys alone.
     first = firsts.where(F.col("n") >= LENGTH).select("k", "k2", F.col("d").alias("first"))
     later = rows.select("d", "k", "k2").distinct().join(first, ["k", "k2"]).where(F.col("d") != F.col("first"))
     marks = cuts.select("d", "k", "spans", F.lit(False).alias("later")).unionByName(
         later.select("d", "k", F.lit(None).cast(cuts.schema["spans"].dataType).alias("spans"), F.lit(True).alias("later"))
     )
+    marks = stage_table(marks, "covered-spans")
     # The only exchange of whole rows; packed, so no name of theirs can clash.
     text = F.coalesce(F.col("text"), F.lit(""))
     place = docs.select(
