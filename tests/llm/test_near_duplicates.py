@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import ODD
 from tributary.llm import near_duplicates as near
 from tributary.llm.common import WORD_RE
@@ -85,6 +87,25 @@ def test_large_groups_are_verified_in_blocks(frame, monkeypatch):
     assert got(frame(rows)) == brute(rows)
 
 
+def test_many_texts_of_one_doc_id(frame):
+    r = random.Random(6)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(None if i % 2 else 5, " ".join([*base[: r.randrange(80)], f"x{i}", *base[-40:]])) for i in range(120)]
+    rows += [rows[0]] * 40 + [rows[1]] * 40
+    assert got(frame(rows)) == brute(rows)
+
+
+def test_a_node_is_one_text_row(frame):
+    rows = [(None, f"a b c d e f g h i j k l m n {i}") for i in range(50)] + [(None, "a b c d e f g h i j k l m n 0")] * 50
+    docs = frame(rows)
+    nodes = near.signatures(docs, 8).groupBy("node").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("shown"), F.count("*").alias("copies")
+    )
+    nodes = nodes.select("*", F.lit(1).alias("component"), F.lit(1).alias("blocks"), F.lit(0).alias("block"))
+    found = near.node_texts(docs, nodes).collect()
+    assert sorted(x.text for x in found) == sorted({t for _, t in rows})
+
+
 def test_one_of_each(frame):
     rows = corpus(3) + [(1, None), (2, ""), (3, "same text here"), (3, "same text here"), (3, "another text of this id")]
     docs = frame(rows)

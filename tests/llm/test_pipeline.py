@@ -1,17 +1,21 @@
 """The pipeline against a brute-force version, and the registered queries."""
 
 import hashlib
+import inspect
 import random
+import re
 from collections import Counter
 
 import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from tests.llm import test_mixing, test_near_duplicates
 from tests.llm.test_quality import english
-from tributary.llm import mixing, quality
+from tributary.llm import graph, mixing, near_duplicates, quality, suffixes
 from tributary.llm.common import WORD_RE
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars int"
@@ -77,6 +81,20 @@ def test_stages_return_the_columns_of_documents(spark, tmp_path):
         assert docs_after.dtypes == docs.dtypes
 
 
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES) - 1))
+def test_no_name_of_a_column_clashes(spark, tmp_path, stage):
+    """Every name in the operators' code, as further columns."""
+    docs = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in corpus()[:60]], COLUMNS).coalesce(2)
+    code = "".join(inspect.getsource(m) for m in (quality, near_duplicates, suffixes, mixing, graph))
+    names = {n.lower() for n in re.findall(r'"([A-Za-z_]\w*)"', code)}
+    names |= {"_d", "_cut", "_node", "_kept_id", "_own_reference", "_own_reference_lang"}
+    more = docs.select("*", *[F.lit("clash").alias(n) for n in sorted(names - set(docs.columns))])
+    run = corpus_pipeline.STAGES[stage][1]
+    plain, found = run(spark, docs, str(tmp_path)), run(spark, more, str(tmp_path))
+    assert found.columns == more.columns
+    assert sorted(map(tuple, found.select(*docs.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
@@ -84,7 +102,7 @@ def test_empty_documents(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert mixing.SHARE == 1.5
 

@@ -44,6 +44,16 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns as one struct: inside it no name can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unpacked(docs: DataFrame, row: str) -> list[Column]:
+    """The columns of ``docs`` from the struct that ``packed`` made of them."""
+    return [F.col(row).getField(c).alias(c) for c in docs.columns]
+
+
 Batches = Iterator[pa.RecordBatch]
 
 

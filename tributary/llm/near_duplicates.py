@@ -1,7 +1,8 @@
 """N-gram Jaccard join by a MinHash LSH forest, with exact verification.
 
 Every text is the set of its five-word shingles (64-bit hashes). Texts with the
-same set are copies and form one node. Each node has ``TREES`` labels, one per
+same set are copies and form one node, which the text of one of its rows (by
+doc_id and a hash of the text) stands for from there on. Each node has ``TREES`` labels, one per
 prefix tree: the first ``k`` MinHash values of the tree. Prefixes start at
 ``MAX_DEPTH`` values and are shortened until pairs at the threshold meet in
 some tree with the target recall; nodes under one trie node at that depth are
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import mix64, ship_package, stage_table, tidy
+from tributary.llm.common import mix64, packed, ship_package, stage_table, tidy, unpacked
 from tributary.llm.graph import connected_components
 
 SHINGLE_WORDS = 5
@@ -136,7 +137,7 @@ def labels(found: np.ndarray, depth: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, depth: int) -> DataFrame:
-    """(doc_id, node, n_shingles, labels) per document; node is null without words."""
+    """(doc_id, node, n_shingles, labels, text_hash) per document; node is null without words."""
     kind = dict(docs.dtypes)["doc_id"]
 
     @tidy
@@ -149,12 +150,15 @@ def signatures(docs: DataFrame, depth: int) -> DataFrame:
                 size.append(len(found))
                 own.append(labels(found, depth) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(own, pa.list_(pa.int64()))],
-                names=["doc_id", "node", "n_shingles", "labels"],
+                [
+                    batch.column(0), pa.array(node, pa.int64()), pa.array(size, pa.int64()),
+                    pa.array(own, pa.list_(pa.int64())), batch.column(2),
+                ],
+                names=["doc_id", "node", "n_shingles", "labels", "text_hash"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, node long, n_shingles long, labels array<long>"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        run, f"doc_id {kind}, node long, n_shingles long, labels array<long>, text_hash long"
     )
 
 
@@ -201,7 +205,7 @@ def verify(table: pa.Table) -> pa.Table:
     sets, rows = [], []
     for row, text in enumerate(table["text"]):
         found = shingles(text.as_py())
-        # A row of the same doc_id with another text is not this node.
+        # A text of the same doc_id and hash that differs is not this node.
         if node_of(found) == node[row]:
             sets.append(found)
             rows.append(row)
@@ -234,6 +238,18 @@ def _spread(least: np.ndarray, left: np.ndarray, right: np.ndarray, pairs: np.nd
             return
 
 
+def node_texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The candidates (nodes), each with the text that stands for it, as ``text``.
+
+    A doc_id (or null) of many texts meets each node by its own text only;
+    rows that repeat both collapse in each task before the nodes are dealt.
+    """
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
+        candidates, F.expr("doc_id <=> shown.doc_id and text_hash = shown.text_hash")
+    )
+    return texts.groupBy("component", "node", "copies", "blocks", "block").agg(F.first("text").alias("text"))
+
+
 def join_documents(docs: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
     """doc_id, class_id, n_links, node, class_node for every document; the
     class nodes tell classes apart whose smallest doc_id is the same."""
@@ -242,7 +258,8 @@ def join_documents(docs: DataFrame, target_recall: float = TARGET_RECALL) -> Dat
     signed = stage_table(signatures(docs, depth), "near-signatures")
     with_words = signed.where(F.col("node").isNotNull())
     nodes = with_words.groupBy("node").agg(
-        F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n_shingles")
+        F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n_shingles"),
+        F.min(F.struct("doc_id", "text_hash")).alias("shown"),
     )
     nodes = stage_table(nodes, "near-nodes")
     one_each = with_words.select("node", "labels").dropDuplicates(["node"])
@@ -256,11 +273,10 @@ def join_documents(docs: DataFrame, target_recall: float = TARGET_RECALL) -> Dat
         ).cast("int").alias("blocks")
     )
     candidates = candidates.join(sizes, "component").select(
-        "component", "node", "copies", "blocks", F.col("first_doc").alias("_doc"),
+        "component", "node", "copies", "blocks", "shown",
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
     )
-    texts = docs.select(F.col("doc_id"), "text").join(candidates, F.expr("doc_id <=> _doc"))
-    dealt = texts.select(
+    dealt = node_texts(docs, candidates).select(
         "component", "node", "copies", "block", "text",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select(
@@ -297,18 +313,19 @@ def join_documents(docs: DataFrame, target_recall: float = TARGET_RECALL) -> Dat
 
 
 def with_node(docs: DataFrame) -> DataFrame:
-    """The documents with their node (null without words) as ``_node``."""
+    """(row, node): the documents as structs, and their node (null without words)."""
     ship_package(docs.sparkSession)
     at = docs.columns.index("text")
-    schema = docs.select("*", F.lit(None).cast("long").alias("_node")).schema
+    rows = docs.select(packed(docs).alias("row"))
+    schema = rows.select("row", F.lit(None).cast("long").alias("node")).schema
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node = [node_of(shingles(t.as_py())) for t in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, pa.int64())], names=[*batch.schema.names, "_node"])
+            node = [node_of(shingles(t.as_py())) for t in batch.column(0).field(at)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64())], names=["row", "node"])
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -319,16 +336,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     chosen = (
         found.where(F.expr("doc_id <=> class_id"))
         .groupBy("doc_id", "class_node")
-        .agg(F.min("node").alias("_kept_node"))
-        .select(F.col("doc_id").alias("_kept_id"), "_kept_node")
+        .agg(F.min("node").alias("kept_node"))
+        .select(F.col("doc_id").alias("kept_id"), "kept_node")
     )
     rows = with_node(docs).join(
-        chosen, F.expr("doc_id <=> _kept_id and _node = _kept_node"), "left"
+        chosen, F.expr("row.doc_id <=> kept_id and node = kept_node"), "left"
     )
-    copy = Window.partitionBy("doc_id", "_node").orderBy(F.lit(0))
+    copy = Window.partitionBy("row.doc_id", "node").orderBy(F.lit(0))
     return (
-        rows.where(F.col("_node").isNull() | F.col("_kept_node").isNotNull())
-        .withColumn("_copy", F.row_number().over(copy))
-        .where(F.col("_node").isNull() | (F.col("_copy") == 1))
-        .select(*[f"`{c}`" for c in docs.columns])
+        rows.where(F.col("node").isNull() | F.col("kept_node").isNotNull())
+        .withColumn("copy", F.row_number().over(copy))
+        .where(F.col("node").isNull() | (F.col("copy") == 1))
+        .select(*unpacked(docs, "row"))
     )

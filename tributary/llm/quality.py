@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import WORD_RE, mix64, ship_package, stage_table, tidy
+from tributary.llm.common import WORD_RE, mix64, packed, ship_package, stage_table, tidy
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -463,7 +463,8 @@ def _lang(value: object) -> str | None:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns; the verdict
     is made where the rows are read, so no text is shuffled."""
-    references, parts = with_references(docs)
+    row = packed(docs).alias("row")
+    references, parts = with_references(docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), row))
     names = docs.columns
     at, lang_at = names.index("text"), names.index("lang")
 
@@ -471,9 +472,9 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = OwnReferences(references)
         for batch in batches:
-            cells = zip(batch.column(at), batch.column(lang_at), batch.columns[-1], strict=True)
+            columns = batch.column(0).flatten()
+            cells = zip(columns[at], columns[lang_at], batch.column(1), strict=True)
             kept = [judge(t.as_py(), known.of(own.as_py()), _lang(lang.as_py()))[-1] for t, lang, own in cells]
-            rows = batch.filter(pa.array(kept, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(rows.columns[:-1], names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(kept, pa.bool_()))
 
-    return reduce(DataFrame.unionAll, [part.mapInArrow(run, docs.schema) for part in parts])
+    return reduce(DataFrame.unionAll, [part.select("row", OWN).mapInArrow(run, docs.schema) for part in parts])
