@@ -1,22 +1,33 @@
 """WARC derivative builder: response records to metadata and conversion records.
 
-Each captured page is a ``response`` record: HTTP headers and the page's bytes.
-From it the builder derives, row by row and without a shuffle,
+Sources are either captured pages (``derive_records``), of which each becomes
+a ``response`` record of HTTP headers and the page's bytes, or a table of WARC
+response records (``derive_from_responses``), whose ids, dates, HTTP headers
+and digests are kept as they are. From a response the builder derives, row by
+row and without a shuffle,
 
 * a ``metadata`` record (``application/warc-fields``): title, language,
-  outlinks (absolute, in page order), and the source's HTTP headers, payload
-  digest and length;
+  outlinks (absolute, in page order), and the source's HTTP status, headers,
+  payload digest and length;
 * a ``conversion`` record (``text/plain``): the visible text of the page.
 
-Both name their response in ``WARC-Refers-To`` and keep its target URI and
-date. Record ids are UUIDs taken from a hash of the record type, page_id,
-URL and payload, so a rerun or a retried task gives the same records.
+The response is part of the output, and both others name it in
+``WARC-Refers-To`` and keep its target URI, date and payload digest. Record ids
+are UUIDs taken from a hash of the record type, page_id, URL and payload (for
+given responses: of the type and the response's id), so a rerun or a retried
+task gives the same records.
+
+Pages are scanned in linear time: one pass over the tags, attributes inside
+each tag, and end marks found by searches that never look back.
 
 Edge cases: a null or empty page gives an empty payload, an empty text and no
 links; a null URL is written as an empty target URI, and links stay as they
 are; a null page_id counts as the empty text in the ids; unclosed tags,
-comments and scripts end with the page; repeated rows give equal records; an
-empty table gives no records; other columns are ignored.
+comments and scripts end with the page; rows that repeat page_id, URL and page
+are the same capture and give equal records; a response without an id gets one
+from its content, one without a payload digest gets the digest of its payload,
+a null or malformed response record gives no rows; an empty table gives no
+records; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +37,7 @@ import hashlib
 import html
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -38,22 +49,85 @@ CAPTURE_DATE = "1970-01-01T00:00:00Z"
 HTTP_HEADERS = (("Content-Type", "text/html; charset=utf-8"),)
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tributary:warc")
 
-_HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)", re.S | re.I
-)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
-_LINK = re.compile(r"<a\s[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_BREAK = re.compile(
-    r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|tr|ul|title)\b[^>]*(?:>|\Z)",
-    re.I,
+#: A comment's start, or the start of a tag up to its name.
+_START = re.compile(r"<(?:(!--)|(/?)([A-Za-z][^\s/>]*)|[!?/])")
+#: One attribute; every character of a tag belongs to one match.
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>\"'][^\s>]*)))?|[\s=/\"'>]+")
+_LANGUAGE_NAME = re.compile(r"[A-Za-z0-9-]+")
+_HIDDEN = ("script", "style", "noscript", "template")
+_ENDS = {n: re.compile(rf"</{n}\s*+>", re.I) for n in (*_HIDDEN, "title")}
+_BREAKS = frozenset(
+    "address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol p pre section table td th tr ul title".split()
 )
-_TAG = re.compile(r"<[A-Za-z/!?][^>]*(?:>|\Z)")
+
+
+class _Ends:
+    """First end mark of a kind at or after a place; places only grow, so each
+    kind searches the page once in all."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.found: dict[str, tuple[int, int]] = {}
+
+    def after(self, name: str, at: int) -> tuple[int, int]:
+        place = self.found.get(name)
+        if place is None or place[0] < at:
+            if name in _ENDS:
+                end = _ENDS[name].search(self.page, at)
+                place = end.span() if end else (len(self.page), len(self.page))
+            else:
+                start = self.page.find(name, at)
+                place = (start, start + len(name)) if start >= 0 else (len(self.page), len(self.page))
+            self.found[name] = place
+        return place
+
+
+def scan(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name, content) of a page in order: ``text`` with the text between
+    tags, ``open`` and ``close`` with a tag's attributes, ``hidden`` for
+    comments, scripts and the like."""
+    ends, at = _Ends(page), 0
+    while at < len(page):
+        tag = _START.search(page, at)
+        if tag is None:
+            yield "text", "", page[at:]
+            return
+        if tag.start() > at:
+            yield "text", "", page[at : tag.start()]
+        if tag[1]:
+            at = ends.after("-->", tag.end())[1]
+            yield "hidden", "!--", ""
+            continue
+        close = ends.after(">", tag.end())
+        name, at = (tag[3] or "").lower(), close[1]
+        if tag[2] or not name:
+            yield "close", name, ""
+        elif name in _HIDDEN:
+            at = ends.after(name, at)[1]
+            yield "hidden", name, ""
+        else:
+            yield "open", name, page[tag.end() : close[0]]
+
+
+def attribute(tag: str, name: str) -> str | None:
+    """The first value of an attribute of a tag's text."""
+    for found in _ATTRIBUTE.finditer(tag):
+        if found[1] and found[1].lower() == name and found.lastindex > 1:
+            return found[found.lastindex]
+    return None
 
 
 def page_text(page: str) -> str:
     """Visible text: one line per block, blanks collapsed, entities decoded."""
-    shown = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
+    parts = []
+    for kind, name, content in scan(page):
+        if kind == "text":
+            parts.append(content)
+        elif kind == "hidden":
+            parts.append(" ")
+        elif name in _BREAKS:
+            parts.append("\n")
+    shown = "".join(parts)
     if "&" in shown:
         shown = html.unescape(shown)
     return "\n".join(line for line in (" ".join(x.split()) for x in shown.split("\n")) if line)
@@ -72,11 +146,21 @@ def _absolute(base: str, link: str) -> str:
 
 def page_fields(page: str, url: str) -> tuple[str, str, list[str]]:
     """Title, language and outlinks of a page."""
-    language = _LANGUAGE.search(page)
-    page = _HIDDEN.sub(" ", page)
-    title = _TITLE.search(page)
-    links = [_absolute(url, _one_line(a or b or c)) for a, b, c in _LINK.findall(page)]
-    return _one_line(_TAG.sub("", title[1])) if title else "", language[1] if language else "", links
+    title, language, links, inside = None, None, [], False
+    for kind, name, content in scan(page):
+        if kind == "text" and inside:
+            title.append(content)
+        elif kind == "open" and name == "a":
+            link = attribute(content, "href")
+            if link is not None:
+                links.append(_absolute(url, _one_line(link)))
+        elif kind == "open" and name == "html" and language is None:
+            code = _LANGUAGE_NAME.match(attribute(content, "lang") or "")
+            language = code[0] if code else None
+        elif name == "title":
+            inside = kind == "open" and title is None
+            title = [] if inside else title
+    return _one_line("".join(title or ())), language or "", links
 
 
 def digest(data: bytes) -> str:
@@ -109,48 +193,93 @@ def response(page_id: object, url: str | None, page: str | None, date: str = CAP
         ("WARC-Payload-Digest", payload_digest), ("WARC-Block-Digest", digest(block)),
         ("Content-Type", "application/http; msgtype=response"),
     ]
-    return {"record_id": rid, "url": url, "date": date, "headers": headers, "block": block, "page_id": page_id}
+    return {
+        "record_id": rid, "url": url, "date": date, "headers": headers, "block": block, "page_id": page_id,
+        "payload_digest": payload_digest,
+    }
+
+
+def parse_response(record: bytes | None, page_id: object = None) -> dict | None:
+    """The response of a WARC record's bytes, with its headers as they are;
+    None for records of other types and what is not a record."""
+    head, mark, rest = (record or b"").partition(b"\r\n\r\n")
+    lines = head.decode("utf-8", errors="replace").split("\r\n")
+    headers = [(k.strip(), v.strip()) for k, colon, v in (x.partition(":") for x in lines[1:]) if colon]
+    told = {k.lower(): v for k, v in headers}
+    size = told.get("content-length", "")
+    if not mark or not lines[0].startswith("WARC/") or told.get("warc-type") != "response" or not size.isdecimal():
+        return None
+    block = rest[: int(size)]
+    if len(block) < int(size):
+        return None
+    url = told.get("warc-target-uri", "").removeprefix("<").removesuffix(">")
+    payload_digest = told.get("warc-payload-digest") or digest(block.partition(b"\r\n\r\n")[2])
+    rid = told.get("warc-record-id") or record_id("response", page_id, url, payload_digest)
+    return {
+        "record_id": rid, "url": url, "date": told.get("warc-date", CAPTURE_DATE), "block": block, "page_id": page_id,
+        "headers": [h for h in headers if h[0].lower() != "content-length"], "payload_digest": payload_digest, "given": True,
+    }
 
 
 def derivatives(source: dict) -> list[dict]:
-    """Metadata and conversion records of a response record."""
+    """The response record and its metadata and conversion records."""
     head, _, payload = source["block"].partition(b"\r\n\r\n")
     page = payload.decode("utf-8", errors="replace")
-    told = dict(source["headers"])
+    payload_digest = source["payload_digest"]
     title, language, links = page_fields(page, source["url"])
     fields = [("title", title), ("language", language)]
-    fields += [("source-http-status", head.split(b"\r\n")[0].decode())]
-    fields += [("source-http-header", line.decode()) for line in head.split(b"\r\n")[1:]]
-    fields += [("source-payload-digest", told["WARC-Payload-Digest"]), ("source-payload-length", str(len(payload)))]
+    status, *http = head.decode("utf-8", errors="replace").split("\r\n")
+    fields += [("source-http-status", status)]
+    fields += [("source-http-header", line) for line in http]
+    fields += [("source-payload-digest", payload_digest), ("source-payload-length", str(len(payload)))]
     fields += [("outlink", link) for link in links]
     text = page_text(page)
-    out = []
+    same = {"page_id": source["page_id"], "target_uri": source["url"], "source_payload_digest": payload_digest, "n_links": len(links)}
+    out = [
+        same | {
+            "record_type": "response", "record_id": source["record_id"], "refers_to": None,
+            "block_digest": digest(source["block"]), "content_length": len(source["block"]),
+            "record": serialise(source["headers"], source["block"]),
+        }
+    ]
     for kind, content_type, block in (
         ("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields).encode()),
         ("conversion", "text/plain; charset=utf-8", text.encode()),
     ):
-        rid = record_id(kind, source["page_id"], source["url"], told["WARC-Payload-Digest"])
+        if source.get("given"):
+            rid = f"<urn:uuid:{uuid.uuid5(_NAMESPACE, kind + '|' + source['record_id'])}>"
+        else:
+            rid = record_id(kind, source["page_id"], source["url"], payload_digest)
         headers = [
             ("WARC-Type", kind), ("WARC-Record-ID", rid), ("WARC-Refers-To", source["record_id"]),
             ("WARC-Target-URI", source["url"]), ("WARC-Date", source["date"]),
+            *([("WARC-Source-Payload-Digest", payload_digest)] if kind == "conversion" else []),
             ("WARC-Block-Digest", digest(block)), ("Content-Type", content_type),
         ]
         out.append(
-            {
-                "page_id": source["page_id"], "record_type": kind, "record_id": rid,
-                "refers_to": source["record_id"], "target_uri": source["url"],
-                "source_payload_digest": told["WARC-Payload-Digest"], "block_digest": digest(block),
-                "content_length": len(block), "n_links": len(links), "record": serialise(headers, block),
+            same | {
+                "record_type": kind, "record_id": rid, "refers_to": source["record_id"], "block_digest": digest(block),
+                "content_length": len(block), "record": serialise(headers, block),
             }
         )
     return out
 
 
 def derive_records(pages: DataFrame, date: str = CAPTURE_DATE, digests_only: bool = False) -> DataFrame:
-    """Two rows per page: the record's headers as columns and, as ``record``,
-    its bytes; with ``digests_only`` the bytes are replaced by ``record_sha256``."""
-    ship_package(pages.sparkSession)
-    kind = dict(pages.dtypes)["page_id"]
+    """Three rows per page (response, metadata, conversion): the record's headers
+    as columns and, as ``record``, its bytes; with ``digests_only`` the bytes are
+    replaced by ``record_sha256``. ``date`` is the captures' date."""
+    return _derived(pages.select("page_id", "url", "html"), lambda i, u, h: response(i, u, h, date), digests_only)
+
+
+def derive_from_responses(records: DataFrame, digests_only: bool = False) -> DataFrame:
+    """The same for a table of WARC records (page_id, record): three rows per response."""
+    return _derived(records.select("page_id", "record"), lambda i, r: parse_response(r, i), digests_only)
+
+
+def _derived(sources: DataFrame, made: Callable[..., dict | None], digests_only: bool) -> DataFrame:
+    ship_package(sources.sparkSession)
+    kind = dict(sources.dtypes)["page_id"]
     last = "record_sha256 string" if digests_only else "record binary"
     schema = f"page_id {kind}, record_type string, record_id string, refers_to string, target_uri string, source_payload_digest string, block_digest string, content_length long, n_links int, {last}"
 
@@ -158,7 +287,8 @@ def derive_records(pages: DataFrame, date: str = CAPTURE_DATE, digests_only: boo
         types = None
         for batch in batches:
             types = types or [batch.schema.types[0], *[pa.string()] * 6, pa.int64(), pa.int32(), pa.string() if digests_only else pa.binary()]
-            rows = [r for i, u, h in zip(*batch.columns, strict=True) for r in derivatives(response(i.as_py(), u.as_py(), h.as_py(), date))]
+            found = (made(*(c.as_py() for c in cells)) for cells in zip(*batch.columns, strict=True))
+            rows = [r for source in found if source is not None for r in derivatives(source)]
             names = ["page_id", "record_type", "record_id", "refers_to", "target_uri", "source_payload_digest", "block_digest", "content_length", "n_links"]
             columns = [[r[c] for r in rows] for c in names]
             if digests_only:
@@ -170,4 +300,4 @@ def derive_records(pages: DataFrame, date: str = CAPTURE_DATE, digests_only: boo
                 names=[*names, "record_sha256" if digests_only else "record"],
             )
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, schema)
+    return sources.mapInArrow(run, schema)
