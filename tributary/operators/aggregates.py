@@ -14,14 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.keys import stable_key
-from tributary.operators.star import (
-    LABEL_DEFAULTS,
-    event_type_lookup,
-    label,
-    page_lookup,
-    user_lookup,
-    wiki_lookup,
-)
+from tributary.operators.star import DIMENSION_KEYS, LABELS, default_label, label, with_labels
 from tributary.schemas import SNAPSHOT_COLUMNS, SNAPSHOT_ROWS, UNKNOWN_LABEL, WINDOW_DURATION
 
 
@@ -42,18 +35,10 @@ def agg_events_by_date(fact: DataFrame) -> DataFrame:
 
 def agg_events_by_window(fact: DataFrame, duration: str = WINDOW_DURATION) -> DataFrame:
     """A3: tumbling windows, half-open and epoch aligned; null times dropped."""
-    window = F.window("event_datetime", duration).alias("event_window")
-    return (
-        fact.groupBy(window, "event_date", "event_hour")
-        .agg(F.count("*").alias("events"))
-        .select(
-            F.col("event_window.start").alias("window_start"),
-            F.col("event_window.end").alias("window_end"),
-            "event_date",
-            "event_hour",
-            "events",
-        )
-    )
+    span = F.window("event_datetime", duration)
+    counted = fact.groupBy(span, "event_date", "event_hour").agg(F.count("*").alias("events"))
+    bounds = [F.col(f"window.{end}").alias(f"window_{end}") for end in ("start", "end")]
+    return counted.select(*bounds, "event_date", "event_hour", "events")
 
 
 def _per_key(fact: DataFrame, *keys: str) -> DataFrame:
@@ -70,29 +55,25 @@ def _by_label(per_key: DataFrame, labels: list[str]) -> DataFrame:
 
 def agg_events_by_type(fact: DataFrame, dim_event_type: DataFrame) -> DataFrame:
     """A4: events per event type label."""
-    per_key = _per_key(fact, "event_type_key").join(
-        event_type_lookup(dim_event_type), "event_type_key", "left"
-    )
+    per_key = with_labels(_per_key(fact, "event_type_key"), {"dim_event_type": dim_event_type})
     return _by_label(per_key, ["event_type"])
 
 
 def agg_events_by_wiki(fact: DataFrame, dim_wiki: DataFrame) -> DataFrame:
     """A5: events per wiki label."""
-    per_key = _per_key(fact, "wiki_key").join(wiki_lookup(dim_wiki), "wiki_key", "left")
+    per_key = with_labels(_per_key(fact, "wiki_key"), {"dim_wiki": dim_wiki})
     return _by_label(per_key, ["wiki"])
 
 
 def agg_top_users(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
     """Events per (user label, bot flag); no limit at build time."""
-    per_key = _per_key(fact, "user_key", "is_bot").join(
-        user_lookup(dim_user), "user_key", "left"
-    )
+    per_key = with_labels(_per_key(fact, "user_key", "is_bot"), {"dim_user": dim_user})
     return _by_label(per_key, ["event_user", "is_bot"])
 
 
 def agg_top_pages(fact: DataFrame, dim_page: DataFrame) -> DataFrame:
     """Events per (page title, namespace) label; no limit at build time."""
-    per_key = _per_key(fact, "page_key").join(page_lookup(dim_page), "page_key", "left")
+    per_key = with_labels(_per_key(fact, "page_key"), {"dim_page": dim_page})
     return _by_label(per_key, ["page_title", "namespace"])
 
 
@@ -105,10 +86,9 @@ BREAKDOWNS = {
 }
 
 
-def _own_label(name: str) -> Column:
+def own_label(name: str) -> Column:
     """C15 on an event's own column."""
-    default = F.lit(LABEL_DEFAULTS.get(name, UNKNOWN_LABEL))
-    return F.coalesce(F.col(name), default.cast("long") if name == "namespace" else default).alias(name)
+    return F.coalesce(F.col(name), default_label(LABELS[name][1])).alias(name)
 
 
 def key_combinations(events: DataFrame, name: str, *by: str) -> DataFrame:
@@ -127,7 +107,7 @@ def labelled_counts(combinations: DataFrame, name: str) -> DataFrame:
         F.min(F.struct(*attributes)).alias("_best"), F.sum("_events").alias("_events")
     )
     named = per_key.select(*[F.col(f"_best.{n}").alias(n) for n in labels], "_events")
-    return named.groupBy(*[_own_label(n) for n in labels]).agg(F.sum("_events").alias("events"))
+    return named.groupBy(*[own_label(n) for n in labels]).agg(F.sum("_events").alias("events"))
 
 
 def label_counts(events: DataFrame, name: str) -> DataFrame:
@@ -149,7 +129,7 @@ def recent_events_of(events: DataFrame, rows: int = SNAPSHOT_ROWS) -> DataFrame:
     return (
         events.select(
             stable_key("meta_id").alias("_key"), "event_datetime", "event_date", "comment",
-            *[_own_label(n) for n in ("event_type", "wiki", "page_title", "event_user", "is_bot", "namespace")],
+            *[own_label(n) for n in ("event_type", "wiki", "page_title", "event_user", "is_bot", "namespace")],
         )
         .orderBy(F.col("event_datetime").desc_nulls_last(), "_key")
         .limit(rows)
@@ -198,16 +178,8 @@ def recent_events_snapshot(
     )
     if materialize is not None:
         top = materialize(top)
-    labelled = (
-        top.join(_semi_filtered(wiki_lookup(dim_wiki), top, "wiki_key"), "wiki_key", "left")
-        .join(_semi_filtered(page_lookup(dim_page), top, "page_key"), "page_key", "left")
-        .join(_semi_filtered(user_lookup(dim_user), top, "user_key"), "user_key", "left")
-        .join(
-            _semi_filtered(event_type_lookup(dim_event_type), top, "event_type_key"),
-            "event_type_key",
-            "left",
-        )
-    )
+    dimensions = {"dim_event_type": dim_event_type, "dim_wiki": dim_wiki, "dim_user": dim_user, "dim_page": dim_page}
+    labelled = with_labels(top, {n: _semi_filtered(d, top, DIMENSION_KEYS[n]) for n, d in dimensions.items()})
     return labelled.select(
         "event_datetime",
         "event_date",

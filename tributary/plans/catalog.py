@@ -24,6 +24,7 @@ from tributary.functions.values import coerce_date, coerce_timestamp
 from tributary.operators import aggregates as agg
 from tributary.operators import checks, serving
 from tributary.operators.gold import build_model, build_star_schema, serving_tables_of
+from tributary.operators.dashboard_base import dashboard_base_of
 from tributary.operators.quality import (
     QuarantineGateError,
     apply_processing_window,
@@ -37,6 +38,7 @@ from tributary.operators.star import build_dashboard_base
 from tributary.plans import jobs
 from tributary.plans.gold_refresh import refresh_gold
 from tributary.plans.landing import Landing, land_new_offsets
+from tributary.plans.publication import publish, publish_lake, published
 from tributary.schemas import KAFKA_SCHEMA, UNKNOWN_LABEL
 from tributary.session import checkpoint_dir, use_utc
 from tributary.sinks.kafka import kafka_records, write_kafka
@@ -284,6 +286,51 @@ def q_dashboard_base(spark, sf_dir):
     )
 
 
+def q_dashboard_base_of_silver(spark, sf_dir):
+    """J1-J5 straight from stored Silver: no exchange of the events."""
+    config = _landed_lake(spark, sf_dir)
+    jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    return _ntz(dashboard_base_of(read_layer(spark, config.path("silver"))))
+
+
+class _Stopped(Exception):
+    pass
+
+
+def _stopped_lake(spark, sf_dir) -> jobs.LakeConfig:
+    """A published lake after a run that wrote Silver and Gold of one date only
+    and stopped before the switch."""
+    config = _landed_lake(spark, sf_dir)
+    publish_lake(spark, config, late_arrival_days=LATE_ARRIVAL_DAYS, as_of=AS_OF)
+
+    def stopping(fresh: jobs.LakeConfig) -> None:
+        jobs.run_bronze_to_silver(spark, fresh, LATE_ARRIVAL_DAYS, REFRESH_DATE, REFRESH_DATE, as_of=AS_OF)
+        jobs.run_silver_to_gold(spark, fresh)
+        raise _Stopped
+
+    try:
+        publish(spark, config, stopping)
+    except _Stopped:
+        return published(spark, config)
+    raise RuntimeError("the run did not stop")
+
+
+def q_published_after_stop(spark, sf_dir):
+    """K4-K6: the fact that readers see after a run stopped before its switch."""
+    return _ntz(read_gold_table(spark, _stopped_lake(spark, sf_dir).path("gold"), "fact_recent_changes"))
+
+
+def q_published_switch(spark, sf_dir):
+    """K4-K6: KPIs after a second published run over events that landed since."""
+    use_utc(spark)
+    config, events = _scratch_lake(spark), _table(spark, sf_dir, "events")
+    _land(spark, sf_dir, config, events.where(f"not ({_LANDS_LATE})"))
+    publish_lake(spark, config, late_arrival_days=LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    _land(spark, sf_dir, config, events.where(_LANDS_LATE))
+    lake = publish_lake(spark, config, late_arrival_days=LATE_ARRIVAL_DAYS, as_of=AS_OF)
+    return _ntz(read_gold_table(spark, lake.path("gold"), "agg_dashboard_kpis"))
+
+
 def q_stream_bronze(spark, sf_dir):
     """The feed as Kafka-layout files, landed by the streaming
     Bronze job (available-now trigger, checkpointed offsets), read back."""
@@ -840,6 +887,9 @@ def queries() -> dict[str, Query]:
         {
             "recent_events_snapshot": q_recent_events_snapshot,
             "dashboard_base": q_dashboard_base,
+            "dashboard_base_of_silver": q_dashboard_base_of_silver,
+            "published_after_stop": q_published_after_stop,
+            "published_switch": q_published_switch,
             "kafka_publish": q_kafka_publish,
             "stream_bronze": q_stream_bronze,
             "stream_restart": q_stream_restart,

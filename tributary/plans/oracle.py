@@ -445,6 +445,9 @@ def oracle_sql() -> dict[str, str]:
         {
             "recent_events_snapshot": "SELECT * FROM recent_events_snapshot",
             "dashboard_base": "SELECT * EXCLUDE (recent_change_key) FROM base",
+            "dashboard_base_of_silver": "SELECT * EXCLUDE (recent_change_key) FROM base",
+            "published_after_stop": "SELECT * FROM fact_recent_changes",
+            "published_switch": "SELECT * FROM agg_dashboard_kpis",
             "stream_bronze": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
             "stream_restart": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
             "bronze_batch_then_stream": "SELECT * EXCLUDE (bronze_ingested_at, bronze_ingested_date) FROM bronze",
