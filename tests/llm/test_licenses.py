@@ -130,3 +130,52 @@ def test_every_license_of_a_document_is_found(frame):
     assert len(got) == len(want) + 2
     texts = dict(rows)
     assert {texts[6][r.start : r.end] for r in got if r.doc_id == 6} == {"Released under the MIT License."}
+
+
+VARIANTS = {
+    # In the order of the names the wrong one would come first: both hold.
+    "house 1": "All rights under the house licence remain with the author and nobody may sell copies of this work abroad.",
+    "house 2": "All rights under the house licence remain with the author and anybody may sell copies of this work abroad.",
+}
+
+
+def test_the_ranking_alone_decides_between_templates_that_hold(monkeypatch):
+    block = f"{filler(40)} {VARIANTS['house 2']} {filler(40, 70)}"
+    scanner = licenses.Scanner(VARIANTS)
+    assert all(scanner.confirm(block, name) for name in VARIANTS)
+    assert scanner.rank(block, list(VARIANTS)) == ["house 2", "house 1"]
+    assert [n[2] for n in scanner.scan(block)] == ["house 2"]
+    monkeypatch.setattr(licenses.Scanner, "reductions", lambda self, block, names: ((0, 0.0) for _ in names))
+    assert [n[2] for n in scanner.scan(block)] == ["house 1"]
+
+
+def every_window(text):
+    """(start word, license) of the templates that stand word for word in the
+    text, tried at every word, without those inside another one."""
+    words = licenses.tokens(text)
+    spans = []
+    for name, template in licenses.TEMPLATES.items():
+        own = licenses.tokens(template)
+        spans += [(i, i + len(own), name) for i in range(len(words)) if words[i : i + len(own)] == own]
+    return sorted(
+        (i, name) for i, j, name in spans
+        if not any(a <= i and j <= b and (a, b) != (i, j) for a, b, _ in spans)
+    )
+
+
+def test_like_all_templates_at_all_windows(frame):
+    r = random.Random(5)
+    names = list(licenses.TEMPLATES)
+    rows = []
+    for i in range(60):
+        parts = [filler(r.choice([0, 1, 5, 40, 300]), r.randrange(10**6))]
+        for _ in range(r.randrange(4)):
+            parts += [licenses.TEMPLATES[r.choice(names)], filler(r.choice([3, 20, 250]), r.randrange(10**6))]
+        rows.append((i, r.choice([" ", "\n"]).join(parts)))
+    want = sorted((i, name) for i, text in rows for _, name in every_window(text))
+    texts = dict(rows)
+    got = licenses.scan_licenses(frame(rows)).collect()
+    assert sorted((x.doc_id, x.license) for x in got) == want
+    for x in got:
+        assert licenses.tokens(texts[x.doc_id][x.start : x.end]) == licenses.tokens(licenses.TEMPLATES[x.license])
+        assert x.coverage == 1 and not x.missing_words and not x.added_words

@@ -3,12 +3,13 @@
 A text's candidate blocks are windows around its license words, wide enough
 for the longest template before and after each, across lines. Each block is
 compressed on its own and with every template as a zstandard raw dictionary;
-templates are ranked by how much they shorten the block. They are confirmed by
-their exact wording: the words of template and block are aligned, and a
-template holds if nearly all of its words stand in the block and none of its
+templates are ranked by the bytes that they shorten the block by. They are
+confirmed in that order by their exact wording, up to the first that holds: the
+words of template and block are aligned, and a template holds if nearly all of its words stand in the block and none of its
 deciding words (numbers but those of list items, license names) differs. What
-is missing or added is reported. Where notices overlap, the one with most
-words counts.
+is missing or added is reported, and what is left of the block beside the notice
+is ranked anew until nothing holds. Where notices of different blocks overlap,
+the one whose template saves most bytes of it counts.
 
 One pass over the documents, without a shuffle; templates are a parameter.
 
@@ -144,15 +145,19 @@ class Scanner:
             for name, t in templates.items()
         }
 
-    def rank(self, block: str, names: list[str]) -> list[tuple[float, str]]:
-        """(reduction, name), best first: the bytes that the template saves, as
-        a share of the smaller of the compressed block and template."""
+    def reductions(self, block: str, names: list[str]) -> Iterator[tuple[int, float]]:
+        """(bytes that the template saves, the same as a share of the smaller
+        of the compressed block and template) for each of ``names``."""
         data = plain_form(block).encode()
         alone = len(self.plain.compress(data))
-        ranked = []
         for name in names:
-            ranked.append(((alone - len(self.given[name].compress(data))) / min(alone, self.sizes[name]), name))
-        return sorted(ranked, key=lambda r: (-r[0], r[1]))
+            saved = alone - len(self.given[name].compress(data))
+            yield saved, saved / min(alone, self.sizes[name])
+
+    def rank(self, block: str, names: list[str]) -> list[str]:
+        """The templates by the bytes that they save, most first (ties by name)."""
+        saved = {name: r[0] for name, r in zip(names, self.reductions(block, names), strict=True)}
+        return sorted(names, key=lambda name: (-saved[name], name))
 
     def confirm(self, block: str, name: str) -> tuple[float, list[str], list[str], int, int] | None:
         """Share of the template's words in the block in order, the missing
@@ -180,46 +185,47 @@ class Scanner:
         return coverage, missing, [words[j] for j in added], at[first][0], at[last - 1][1]
 
     def best(self, block: str) -> tuple | None:
-        """(words, reduction, name, result) of the held template with most
-        words, longer ones first where two hold: a notice inside a header."""
+        """(name, result) of the winner: the first of the ranked templates whose
+        wording holds. A longer notice saves more than one that stands in it."""
         words = Counter(tokens(block))
         # The others cannot hold, in whatever order their words stand.
         able = [n for n, t in self.tokens.items() if (Counter(t) & words).total() >= MIN_COVERAGE * len(t)]
-        held = []
-        for reduction, name in self.rank(block, able) if able else ():
-            template = self.tokens[name]
+        for name in self.rank(block, able) if able else ():
             result = self.confirm(block, name)
             if result:
-                held.append((len(template) * result[0], reduction, name, result))
-        return max(held, key=lambda h: (h[0], h[1])) if held else None
+                return name, result
+        return None
 
     def notices(self, text: str, start: int, end: int) -> Iterator[tuple]:
-        """(words, start, end, name, coverage, missing, added) of a window: the
-        best, and those of what is left before and after it, until none holds."""
+        """(start, end, name, coverage, missing, added) of a window: the winner,
+        and those of what is left before and after it, until none holds."""
         parts = [(start, end)]
         while parts:
             start, end = parts.pop()
             best = self.best(text[start:end])
             if best:
-                n, _, name, (coverage, missing, added, lo, hi) = best
-                yield n, start + lo, start + hi, name, coverage, missing, added
+                name, (coverage, missing, added, lo, hi) = best
+                yield start + lo, start + hi, name, coverage, missing, added
                 parts += [(start, start + lo), (start + hi, end)]
 
     def scan(self, text: str) -> Iterator[tuple]:
         """(start, end, license, reduction, coverage, missing, added) per
-        notice, in order; the reduction is that of the notice."""
+        notice, in order; the reduction is that of the notice. Of notices that
+        overlap (windows do) the one whose template saves most of it counts."""
         reach = REACH * max(map(len, self.tokens.values()), default=0)
         found = {n for window in candidate_blocks(text, reach) for n in map(_hashable, self.notices(text, *window))}
+        ranked = []
+        for notice in found:
+            start, end = whole_words(text, *notice[:2])
+            ranked.append((*next(self.reductions(text[start:end], [notice[2]])), start, end, notice))
         taken: list[tuple] = []
-        for notice in sorted(found, key=lambda n: (-n[0], n[1:4])):
-            at = bisect_right(taken, notice[1:])
-            if at and taken[at - 1][1] > notice[1] or at < len(taken) and taken[at][0] < notice[2]:
+        for _, share, start, end, notice in sorted(ranked, key=lambda r: (-r[0], r[4][:3])):
+            at = bisect_right(taken, notice[:2], key=lambda t: t[0][:2])
+            if at and taken[at - 1][0][1] > notice[0] or at < len(taken) and taken[at][0][0] < notice[1]:
                 continue
-            taken.insert(at, notice[1:])
-        for start, end, name, coverage, missing, added in taken:
-            start, end = whole_words(text, start, end)
-            reduction = self.rank(text[start:end], [name])[0][0]
-            yield start, end, name, reduction, coverage, " ".join(missing), " ".join(added)
+            taken.insert(at, (notice, share, start, end))
+        for (*_, name, coverage, missing, added), share, start, end in taken:
+            yield start, end, name, share, coverage, " ".join(missing), " ".join(added)
 
 
 def _hashable(notice: tuple) -> tuple:
