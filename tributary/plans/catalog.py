@@ -36,6 +36,7 @@ from tributary.operators.quality import (
 from tributary.operators.silver import transform_to_silver
 from tributary.operators.star import build_dashboard_base
 from tributary.plans import jobs
+from tributary.plans.check_state import lake_metrics_by_state
 from tributary.plans.gold_refresh import refresh_gold
 from tributary.plans.landing import Landing, land_new_offsets
 from tributary.plans.publication import publish, publish_lake, published
@@ -228,7 +229,7 @@ REFRESH_DATE = dt.date(2024, 1, 12)
 _LANDS_LATE = f"to_date(ts) = date'{REFRESH_DATE}' and event_id % 100 between 20 and 60"
 
 
-def _refreshed_lake(spark, sf_dir) -> tuple[jobs.LakeConfig, dict[str, DataFrame]]:
+def _refreshed_lake(spark, sf_dir, between=None) -> tuple[jobs.LakeConfig, dict[str, DataFrame]]:
     """A lake whose Gold was built without some events of one date, which then
     land, change that date of Silver, and come into Gold by a refresh."""
     use_utc(spark)
@@ -236,6 +237,8 @@ def _refreshed_lake(spark, sf_dir) -> tuple[jobs.LakeConfig, dict[str, DataFrame
     _land(spark, sf_dir, config, events.where(f"not ({_LANDS_LATE})"))
     jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, as_of=AS_OF)
     refresh_gold(spark, config)
+    if between is not None:
+        between(config)
     _land(spark, sf_dir, config, events.where(_LANDS_LATE))
     jobs.run_bronze_to_silver(spark, config, LATE_ARRIVAL_DAYS, REFRESH_DATE, REFRESH_DATE, as_of=AS_OF)
     refresh_gold(spark, config)
@@ -616,6 +619,16 @@ def q_job_checks(spark, sf_dir):
     return jobs.lake_metrics(spark, config)
 
 
+def q_checks_by_state(spark, sf_dir):
+    """Q9, Q12-Q14 from the states of the dates: counted once before events of
+    one date land late and once after, when that date alone is read."""
+    config, _ = _refreshed_lake(spark, sf_dir, between=lambda c: lake_metrics_by_state(spark, c, skip_bronze=True))
+    report, read = lake_metrics_by_state(spark, config, skip_bronze=True)
+    if read["silver"] != [str(REFRESH_DATE)]:
+        raise RuntimeError(f"Dates that had not changed were read: {read['silver']}.")
+    return report
+
+
 # --- Kafka publishing --------------------------------------------------------------
 
 def q_kafka_publish(spark, sf_dir):
@@ -926,6 +939,7 @@ def queries() -> dict[str, Query]:
             "job_silver": q_job_silver,
             "job_gold_fact": q_job_gold_fact,
             "job_checks": q_job_checks,
+            "checks_by_state": q_checks_by_state,
             "clean_text_pages": q_clean_text_pages,
             "dim_date_orders": q_dim_date_orders,
             "duplicate_keys": q_duplicate_keys,

@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from tributary.operators.checks import raise_on_failures
 from tributary.plans import jobs
+from tributary.plans.check_state import lake_metrics_by_state
 from tributary.schemas import DEFAULT_LATE_ARRIVAL_DAYS
 from tributary.session import configure
 
@@ -62,6 +63,7 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_parser("gold", help="Silver -> Gold")
     checks = sub.add_parser("checks", help="layer checks")
     checks.add_argument("--skip-bronze", action="store_true")
+    checks.add_argument("--by-state", action="store_true", help="read only the dates that changed since the last such run")
     dash = sub.add_parser("dashboard-check", help="serving tables ready")
     dash.add_argument("--min-fact-rows", type=int, default=1)
     preview = sub.add_parser("preview", help="schema and first rows of a layer or Gold table")
@@ -101,7 +103,10 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
     if args.job == "gold":
         return jobs.run_silver_to_gold(spark, config)
     if args.job == "checks":
-        rows = jobs.run_checks(spark, config, skip_bronze=args.skip_bronze, raise_on_failure=False)
+        if args.by_state:
+            rows = list(map(tuple, lake_metrics_by_state(spark, config, args.skip_bronze)[0].collect()))
+        else:
+            rows = jobs.run_checks(spark, config, skip_bronze=args.skip_bronze, raise_on_failure=False)
         for check, metric, value, failed in rows:
             print(f"{check}.{metric}: {value}{'  FAILED' if failed else ''}")
         return raise_on_failures(rows)

@@ -86,6 +86,7 @@ class LakeConfig:
     bronze_offsets_path: str = "checkpoints/bronze_offsets"
     gold_state_path: str = "checkpoints/gold_state"
     silver_keys_path: str = "checkpoints/silver_keys"
+    check_state_path: str = "checkpoints/check_state"
     layer_format: str = "parquet"
     bronze_partitions: str = BRONZE_PARTITIONS
     silver_partitions: str = SILVER_PARTITIONS

@@ -31,8 +31,13 @@ COLUMNS = "meta_id string, event_date date, run string"
 
 
 class KeyIndex:
-    def __init__(self, spark: SparkSession, path: str, silver_path: str, silver_format: str = "parquet") -> None:
-        self.spark = spark
+    """Index of ``key`` over a layer by event date; ``meta_id`` is the index's
+    own name of the key."""
+
+    def __init__(
+        self, spark: SparkSession, path: str, silver_path: str, silver_format: str = "parquet", key: str = "meta_id"
+    ) -> None:
+        self.spark, self.key = spark, key
         self.path = path.rstrip("/")
         self.silver_path, self.silver_format = silver_path, silver_format
         self.manifest = Manifest(spark, f"{self.path}/manifest")
@@ -53,7 +58,7 @@ class KeyIndex:
 
     def _keys(self, dates: list[str], run: str) -> DataFrame:
         silver = read_layer(self.spark, self.silver_path, self.silver_format)
-        return silver.where(on_dates(dates)).select("meta_id", "event_date", F.lit(run).alias("run"))
+        return silver.where(on_dates(dates)).select(F.col(self.key).alias("meta_id"), "event_date", F.lit(run).alias("run"))
 
     def _valid(self, table: DataFrame, dates: dict[str, dict]) -> DataFrame:
         """Entries that the manifest names: a row per date is broadcast."""
@@ -108,3 +113,19 @@ class KeyIndex:
             return
         with self._table(now["folder"], now["buckets"]) as table:
             yield self._valid(self.spark.table(table), others).select("meta_id")
+
+    @contextmanager
+    def counts(self) -> Iterator[DataFrame | None]:
+        """(meta_id, n): rows of the layer per key, counted bucket by bucket
+        without an exchange; None if the layer has no rows."""
+        now = self.refresh()
+        if not now or not now["dates"]:
+            yield None
+            return
+        with self._table(now["folder"], now["buckets"]) as table:
+            yield self._valid(self.spark.table(table), now["dates"]).groupBy("meta_id").agg(F.count("*").alias("n"))
+
+    def duplicates(self) -> int:
+        """Keys of more than one row of the layer."""
+        with self.counts() as counts:
+            return 0 if counts is None else counts.where("n > 1").count()

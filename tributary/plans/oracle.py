@@ -521,6 +521,13 @@ FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'no date'
                 "count(*), false FROM quarantine GROUP BY quality_error_category",
                 _gold_checks(),
             ]),
+            "checks_by_state": "\nUNION ALL ".join([
+                _silver_checks(),
+                _metric("quarantine", "rows", "count(*)", "false", "quarantine"),
+                "SELECT 'quarantine', 'rows_' || coalesce(quality_error_category, 'none'), "
+                "count(*), false FROM quarantine GROUP BY quality_error_category",
+                _gold_checks(),
+            ]),
             "kafka_publish": f"""
 SELECT n AS event_id,
        CASE WHEN w <> '' AND t <> '' THEN w || ':' || t
