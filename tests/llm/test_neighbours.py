@@ -117,6 +117,19 @@ def test_abandoned_candidates_are_beyond_the_bound():
     assert len(kept) < 0.2 * exact.size
 
 
+def test_double_vectors_are_scored_as_doubles(spark):
+    r = np.random.default_rng(2)
+    base = r.standard_normal(6)
+    # Vectors that a float tells apart from none of the others.
+    rows = [(i, (base * (1 + i * 1e-12)).tolist()) for i in range(60)]
+    df = spark.createDataFrame([(i, v, 0, "clash") for i, v in rows], SCHEMA.replace("float", "double"))
+    x = {i: np.array(v) for i, v in rows}
+    for q, near in got(df).items():
+        want = sorted((-float((x[q] * x[c]).sum()), c) for c in x if c != q)[:20]
+        assert [c for _, c in near] == [c for _, c in want]
+        assert all(math.isclose(s, t, rel_tol=1e-15) for (s, _), (t, _) in zip(near, want, strict=True))
+
+
 def test_scan_reads_only_the_vectors(spark):
     plan = neighbours.usable(table(spark, random_rows(5)).withColumn("other", F.lit(1)))
     assert plan.columns == ["vec_id", "embedding"]

@@ -17,13 +17,14 @@ scored exactly: the inner product of the original vectors in double precision.
 Copies of one vector are searched once: distinct vectors carry their ``2 +
 TOP_K`` smallest ids, enough for any result without the query's own row. Lists
 are packed into shards of at most ``ROWS_PER_SHARD`` rows (long lists are split
-by hash), queries into blocks of ``QUERIES_PER_BLOCK``; one task sees one shard
-and one block.
+by hash). A vector travels once, to its shard; the queries' visits are sorted
+behind it and scanned in blocks of ``QUERIES_PER_BLOCK``, so a task holds one
+shard and one block.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components
 take no part, nor do rows without vec_id or of another length than the most
 common one; of rows that repeat a vec_id the one with the smallest vector
-counts; ties go to the smaller vec_id; fewer candidates than ``TOP_K`` give
+counts; components that are not floats count as doubles; ties go to the smaller vec_id; fewer candidates than ``TOP_K`` give
 them all; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import hash52, ship_package, stage_table
+from tributary.llm.common import hash52, ship_package, shuffle_partitions, stage_table
 
 TOP_K = 20
 QUERY_EVERY = 20
@@ -54,9 +55,12 @@ SEED = 7
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of the vectors that take part."""
+    """(vec_id, embedding) of the vectors that take part: components as stored
+    if they are floats, otherwise as doubles."""
+    kind = dict(vectors.dtypes)["embedding"]
+    kind = kind if kind == "array<float>" else "array<double>"
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-    kept = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).where(
+    kept = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).where(
         F.col("vec_id").isNotNull()
         & F.col("embedding").isNotNull()
         & F.forall("embedding", finite)
@@ -70,7 +74,7 @@ class Index:
     """What the bounded sample fits; a few MB, the same on every worker."""
 
     ids: np.ndarray  # sampled vec_ids
-    sample: np.ndarray  # their vectors, float32
+    sample: np.ndarray  # their vectors
     centroids: np.ndarray  # of augmented vectors
     rotation: np.ndarray
     norm: float  # M
@@ -154,11 +158,10 @@ def scores_of(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray) -> n
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """Rows of an array<float> column without nulls as a float32 matrix."""
+    """Rows of an array<float> or array<double> column without nulls as a matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float32, copy=False).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def scan_lists(
@@ -255,6 +258,7 @@ def search(vectors: DataFrame) -> DataFrame:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n_vectors, largest = stats[0].n, stats[0].m
     rows = rows.where(F.col("_dims") == stats[0]._dims).drop("_dims")
+    kind = dict(rows.dtypes)["embedding"]
     sample = rows.orderBy(hash52(F.lit("sample"), F.col("vec_id").cast("string")), "vec_id").limit(SAMPLE_ROWS)
     sampled = sample.select("vec_id", "embedding").toArrow()  # SAMPLE_ROWS rows at most
     index = fit_index(sampled["vec_id"].to_numpy(), matrix(sampled["embedding"]), n_vectors, largest)
@@ -279,7 +283,7 @@ def search(vectors: DataFrame) -> DataFrame:
                 )
 
     indexed = stage_table(
-        distinct.mapInArrow(assign, "rep long, ids array<long>, embedding array<float>, list int"), "vector-lists"
+        distinct.mapInArrow(assign, f"rep long, ids array<long>, embedding {kind}, list int"), "vector-lists"
     )
     shards = _pack({r.list: r["count"] for r in indexed.groupBy("list").count().collect()})  # MAX_LISTS rows at most
 
@@ -291,10 +295,7 @@ def search(vectors: DataFrame) -> DataFrame:
         .select("query_id", "rep"),
         "vector-queries",
     )
-    n_queries = asked.select("rep").distinct().count()
-    n_blocks = max(1, math.ceil(n_queries / QUERIES_PER_BLOCK))
-    block = F.pmod(F.xxhash64("rep"), F.lit(n_blocks)).cast("int")
-    queries = indexed.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "embedding", block.alias("block"))
+    queries = indexed.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "embedding")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,21 +311,16 @@ def search(vectors: DataFrame) -> DataFrame:
             at, shard, bounds, lists = zip(*out, strict=True) if out else ((), (), (), ())
             own = batch.take(pa.array(at, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int32()), own.column(2), own.column(0), pa.array(bounds, pa.float64()), pa.array(lists, pa.list_(pa.int32())), own.column(1)],
-                names=["shard", "block", "rep", "bound", "lists", "embedding"],
+                [pa.array(shard, pa.int32()), own.column(0), pa.array(bounds, pa.float64()), pa.array(lists, pa.list_(pa.int32())), own.column(1)],
+                names=["shard", "rep", "bound", "lists", "embedding"],
             )
 
-    visits = queries.mapInArrow(
-        probe, "shard int, block int, rep long, bound double, lists array<int>, embedding array<float>"
-    )
+    visits = queries.mapInArrow(probe, f"shard int, rep long, bound double, lists array<int>, embedding {kind}")
     first = F.create_map(*[x for number, own in shards.items() for x in (F.lit(number), F.lit(own[0]))])
     pieces = F.create_map(*[x for number, own in shards.items() for x in (F.lit(number), F.lit(len(own)))])
     shard = first[F.col("list")] + F.pmod(F.xxhash64("rep"), pieces[F.col("list")]).cast("int")
-    stored = indexed.select(
-        shard.cast("int").alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
-        "list", "ids", "embedding",
-    )
+    stored = indexed.select(shard.cast("int").alias("shard"), "list", "ids", "embedding")
+    at_a_time = QUERIES_PER_BLOCK
 
     def scan(stored: pa.Table, visits: pa.Table) -> pa.Table:
         empty = pa.table({"rep": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
@@ -355,11 +351,41 @@ def search(vectors: DataFrame) -> DataFrame:
                 out_s.append(-s)
         return pa.table({"rep": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_x, pa.int64()), "score": pa.array(out_s, pa.float64())})
 
+    def scan_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A shard's vectors come first and are held; its visits pass in blocks."""
+        now, held, asking = None, [], []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held and asking:
+                yield from scan(pa.Table.from_batches(held), pa.Table.from_batches(asking)).to_batches()
+            asking.clear()
+
+        for batch in batches:
+            own, visit = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            edges = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (visit[1:] != visit[:-1]), True]) if len(own) else [0]
+            for start, stop in zip(edges, edges[1:], strict=False):
+                if own[start] != now:
+                    yield from flush()
+                    now, held = own[start], []
+                if not visit[start]:
+                    held.append(batch.slice(start, stop - start))
+                    continue
+                for at in range(start, stop, at_a_time):
+                    part = batch.slice(at, min(at_a_time, stop - at))
+                    if sum(map(len, asking)) + len(part) > at_a_time:
+                        yield from flush()
+                    asking.append(part)
+        yield from flush()
+
+    # A vector travels once, to its shard; a query's visits go to the shards that it probes.
+    both = stored.withColumn("visit", F.lit(0)).unionByName(visits.withColumn("visit", F.lit(1)), allowMissingColumns=True)
     found = (
-        stored.groupBy("shard", "block")
-        .cogroup(visits.groupBy("shard", "block"))
-        .applyInArrow(scan, "rep long, vec_id long, score double")
+        both.select("shard", "visit", "list", "ids", "rep", "bound", "lists", "embedding")
+        .repartition(shuffle_partitions(spark), "shard")
+        .sortWithinPartitions("shard", "visit")
+        .mapInArrow(scan_shards, "rep long, vec_id long, score double")
     )
+
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
