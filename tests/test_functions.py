@@ -1,5 +1,7 @@
 import datetime as dt
 import hashlib
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from tributary.functions import (
     safe_percent,
     stable_key,
 )
+from tributary.plans.catalog import queries
 
 
 def one(spark, column, rows, schema):
@@ -104,6 +107,28 @@ def test_clean_text_has_no_length_limit(spark, run):
     assert got == want.get(run, "a z>")
 
 
+def test_clean_text_is_its_steps_one_after_another(spark):
+    steps = [(r"<[^>]*>", " "), (r"&nbsp;|&#160;", " "), (r"&quot;", '"'), (r"&#39;|&apos;", "'"), (r"&amp;", "&"),
+             (r"[ \t\n\x0b\f\r]+", " ")]
+    draw = random.Random(5)
+    pieces = ["<", ">", "<b>", "</i >", "&", "amp;", "&amp;", "nbsp;", "&nbsp;", "&#160;", "&#39;", "&quot;", "&apos;",
+              " ", "\t\n", "\u00a0", "x", "é", "$1", "\\"]
+    texts = ["".join(draw.choices(pieces, k=draw.randrange(1, 30))) for _ in range(3000)]
+    want = []
+    for text in texts:
+        for pattern, plain in steps:
+            text = re.sub(pattern, lambda _, plain=plain: plain, text)
+        want.append(text.strip(" "))
+    assert one(spark, clean_text("t"), [(t,) for t in texts], "t string") == want
+
+
+def test_long_texts_are_dealt_to_all_cores(spark, tmp_path):
+    pages = spark.createDataFrame([(i % 2 or None, "<p>x</p>") for i in range(64)], "page_id long, html string")
+    pages.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    dealt = queries()["clean_text_long"](spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) >= spark.sparkContext.defaultParallelism and sum(r[1] for r in dealt) == 64
+
+
 def test_event_time_keeps_repeated_dst_hour(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:

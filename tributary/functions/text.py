@@ -1,4 +1,4 @@
-"""Text clean-up expressions (built-in regex functions, no UDF)."""
+"""Text clean-up expressions (built-in functions, no UDF)."""
 
 from __future__ import annotations
 
@@ -8,14 +8,9 @@ from pyspark.sql import functions as F
 from tributary.functions.util import as_column
 
 # --- fixed values: clean-up steps, applied in this order --------------------
-CLEAN_UP_STEPS = (
-    (r"<[^>]*>", " "),
-    (r"&nbsp;|&#160;", " "),
-    (r"&quot;", '"'),
-    (r"&#39;|&apos;", "'"),
-    (r"&amp;", "&"),
-    (r"\s+", " "),
-)
+TAGS = r"(?:<[^>]*+>)++"
+ENTITIES = (("&nbsp;", " "), ("&#160;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+BLANKS = r"\s+"
 # ---------------------------------------------------------------------------
 
 
@@ -25,15 +20,15 @@ def clean_text(text: Column | str) -> Column:
     Null becomes ``''``. Each step runs once, so ``&amp;quot;`` ends up as
     ``&quot;`` and ``&lt;`` stays. ``trim`` removes spaces only.
 
-    Every step is a pattern of its own that the regex engine runs in a loop:
-    a repeated alternation over tags, entities and blanks would save two
-    passes, but it recurses once per repetition and overflows the task's
-    stack on a text with some thousands of them in a row.
+    Entities are fixed texts and take no pattern. A run of tags is one match
+    (its blanks would be collapsed anyway); the possessive group is a loop of
+    the regex engine, where a plain one recurses once per repetition and
+    overflows the task's stack on a text with some thousands of tags in a row.
     """
-    value = F.coalesce(as_column(text), F.lit(""))
-    for pattern, replacement in CLEAN_UP_STEPS:
-        value = F.regexp_replace(value, pattern, replacement)
-    return F.trim(value)
+    value = F.regexp_replace(F.coalesce(as_column(text), F.lit("")), TAGS, " ")
+    for entity, plain in ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(plain))
+    return F.trim(F.regexp_replace(value, BLANKS, " "))
 
 
 def blank_to_null(text: Column | str) -> Column:

@@ -92,6 +92,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Parts for work that its input's files don't divide enough."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
     return to_bronze(change_feed(_table(spark, sf_dir, "events")), ingested_at=F.col("ingested_at"))
@@ -652,8 +657,12 @@ def q_clean_text_pages(spark, sf_dir):
 
 
 def q_clean_text_long(spark, sf_dir):
-    """Pages with long runs of blanks, tags and entities around them."""
-    pages = _table(spark, sf_dir, "pages")
+    """Pages with long runs of blanks, tags and entities around them.
+
+    The texts are some hundred times as long as the stored ones, so the pages
+    are dealt to all cores before they grow, however few files hold them.
+    """
+    pages = _table(spark, sf_dir, "pages").repartition(_tasks(spark))
     run = {text: F.repeat(F.lit(text), LONG_RUN) for text in (" ", "<b>", "&nbsp;")}
     text = F.concat(run[" "], F.col("html"), run["<b>"], F.lit("middle"), run["&nbsp;"], F.lit("end"))
     return pages.select("page_id", clean_text(text).alias("clean_html"))
