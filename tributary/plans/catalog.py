@@ -121,8 +121,9 @@ def _serving_tables(spark, sf_dir) -> dict[str, DataFrame]:
     return serving_tables_of(_silver(spark, sf_dir))
 
 
-def _serving_data(spark, sf_dir) -> dict[str, DataFrame]:
-    return serving.load_dashboard_data(_serving_tables(spark, sf_dir), MAX_TOP_N, MAX_RECENT_ROWS)
+def _serving_data(spark, sf_dir, tables: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    tables = _serving_tables(spark, sf_dir) if tables is None else tables
+    return serving.load_dashboard_data(tables, MAX_TOP_N, MAX_RECENT_ROWS)
 
 
 # --- Bronze, parse, quality ----------------------------------------------------
@@ -574,11 +575,18 @@ def q_star_schema_rows(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+def _exports(spark, sf_dir) -> dict[str, str]:
+    """The four CSV exports. Each is a job of its own, so Silver is stored
+    first: the feed is parsed, deduplicated and cleaned once, not four times."""
+    use_utc(spark)
+    silver = write_layer(_silver(spark, sf_dir), _scratch_lake(spark).path("silver"))
+    tables = serving_tables_of(read_layer(spark, silver))
+    return export_dashboard(_views(spark, sf_dir, tables), f"{_shared_root(spark)}/exports-{uuid.uuid4().hex}")
+
+
 def q_csv_exports(spark, sf_dir):
     """K9: the dashboard's four CSV exports, read back and counted."""
-    use_utc(spark)
-    base = f"{_shared_root(spark)}/exports-{uuid.uuid4().hex}"
-    paths = export_dashboard(_views(spark, sf_dir), base)
+    paths = _exports(spark, sf_dir)
     frames = [
         spark.read.option("header", True).csv(path).agg(F.lit(name).alias("export"), F.count(F.lit(1)).alias("rows"))
         for name, path in paths.items()
@@ -588,9 +596,7 @@ def q_csv_exports(spark, sf_dir):
 
 def q_csv_top_pages(spark, sf_dir):
     """K9: the top pages export, read back with its types."""
-    use_utc(spark)
-    base = f"{_shared_root(spark)}/exports-{uuid.uuid4().hex}"
-    path = export_dashboard(_views(spark, sf_dir), base)["top_pages"]
+    path = _exports(spark, sf_dir)["top_pages"]
     return spark.read.option("header", True).schema("page_title string, namespace long, events long").csv(path)
 
 
@@ -803,9 +809,9 @@ def q_dashboard_readiness(spark, sf_dir):
 
 # --- serving ----------------------------------------------------------------------------
 
-def _views(spark, sf_dir):
+def _views(spark, sf_dir, tables: dict[str, DataFrame] | None = None):
     return serving.dashboard_views(
-        _serving_data(spark, sf_dir), SERVING_START, SERVING_END, TOP_N, RECENT_ROWS,
+        _serving_data(spark, sf_dir, tables), SERVING_START, SERVING_END, TOP_N, RECENT_ROWS,
         STALE_AFTER_MINUTES, AS_OF,
     )
 
