@@ -40,14 +40,18 @@ DIMENSIONS = {
 }
 
 
-def partial_states(silver: DataFrame) -> dict[str, DataFrame]:
+def fact_of(silver: DataFrame) -> DataFrame:
+    """The fact rows of the dates in ``silver``."""
+    return build_fact_recent_changes(add_star_schema_keys(silver))
+
+
+def partial_states(silver: DataFrame, fact: DataFrame) -> dict[str, DataFrame]:
     """The states of the dates in ``silver`` (one row per ``meta_id``), each
-    with its ``event_date``, and the dates' fact rows."""
+    with its ``event_date``; ``fact`` holds the dates' fact rows. Three states
+    read it, so it should be stored: it shuffles whole rows to be made."""
     events = add_star_schema_keys(silver)
-    fact = build_fact_recent_changes(events)
     newest = Window.partitionBy("event_date").orderBy(F.col("event_datetime").desc_nulls_last(), "recent_change_key")
     states = {
-        "fact": fact,
         "days": fact.groupBy("event_date").agg(
             F.count("*").alias("events"), F.sum(F.when(F.col("is_bot"), 1).otherwise(0)).cast("long").alias("bot_events")
         ),

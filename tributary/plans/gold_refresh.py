@@ -9,9 +9,11 @@ write names its files anew, so no order of runs and no stopped run can hide one.
 
 A refresh reads the changed dates of Silver and nothing else of it. Old states
 of those dates come off the totals, new ones go on; the other dates' states are
-small (a row per date, its windows, its latest rows). Every table follows from
-the previous manifest's states and the changed dates, so a run that stops before
-its manifest is published is repeated from the same start.
+small (a row per date, its windows, its latest rows). The changed dates' fact is
+written first, and the states of a date come from it: its rows are made and
+deduplicated once. Every table follows from the previous manifest's states and
+the changed dates, so a run that stops before its manifest is published is
+repeated from the same start.
 """
 
 from __future__ import annotations
@@ -24,14 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tributary.operators.aggregates import BREAKDOWNS
-from tributary.operators.gold_state import gold_of_states, moved_totals, partial_states
+from tributary.operators.gold_state import fact_of, gold_of_states, moved_totals, partial_states
 from tributary.plans.jobs import LakeConfig, run_silver_to_gold
 from tributary.sinks.lake import LayerWriter, run_concurrently, write_tables
 from tributary.sinks.manifest import Manifest
 from tributary.sources.dates import DATE_FOLDER, changed_dates, date_files, on_dates
-from tributary.sources.lake import child_folders, delete_folder, partition_columns, read_layer
+from tributary.sources.lake import child_folders, delete_folder, has_data_files, partition_columns, read_layer
 
 _DAY_STATES = ("days", "windows", "latest")
+_FACT = "fact_recent_changes"
 
 
 @dataclass
@@ -86,8 +89,9 @@ def refresh_gold(spark: SparkSession, config: LakeConfig) -> GoldRefresh:
 
     run = uuid.uuid4().hex
     layer = read_layer(spark, config.path("silver"), config.format_of("silver"))
-    partials = partial_states(layer.where(on_dates(changed)))
-    fact = partials.pop("fact")
+    moved = layer.where(on_dates(changed))
+    fact_path = _move_fact(spark, config, moved, changed, gone, first=before["totals"] is None)
+    partials = partial_states(moved, _stored_fact(spark, config, fact_of(moved), changed))
     partitions = config.gold_partitions
     write_tables(
         LayerWriter(f"{state.root}/dates/{run}", mode="overwrite"), partials, dict.fromkeys(partials, "event_date")
@@ -111,29 +115,38 @@ def refresh_gold(spark: SparkSession, config: LakeConfig) -> GoldRefresh:
     written = {name: state.totals(name, run) for name in BREAKDOWNS}
     days = {name: of_dates(name, {d: v["run"] for d, v in dates.items()}) for name in _DAY_STATES}
     gold = config.writer("gold")
-    paths = write_tables(gold, gold_of_states(days, written), partitions)
-    paths |= _move_fact(spark, config, fact, changed, gone, first=before["totals"] is None)
+    paths = write_tables(gold, gold_of_states(days, written), partitions) | fact_path
     state.manifest.publish({"dates": dates, "totals": run})
     _remove_unused(spark, state, before, dates)
     return GoldRefresh(paths, changed, gone)
 
 
 def _move_fact(
-    spark: SparkSession, config: LakeConfig, fact: DataFrame, changed: list[str], gone: list[str], first: bool
+    spark: SparkSession, config: LakeConfig, moved: DataFrame, changed: list[str], gone: list[str], first: bool
 ) -> dict[str, str]:
-    """Replace the changed dates of the stored fact, and drop those that are gone."""
-    name = "fact_recent_changes"
-    spec = config.gold_partitions.get(name, "")
+    """Replace the changed dates of the stored fact (``moved``: their Silver),
+    and drop those that are gone."""
+    spec = config.gold_partitions.get(_FACT, "")
     if first:
-        return write_tables(config.writer("gold"), {name: fact}, {name: spec})
+        return write_tables(config.writer("gold"), {_FACT: fact_of(moved)}, {_FACT: spec})
     if partition_columns(spec) != ["event_date"]:
         silver = read_layer(spark, config.path("silver"), config.format_of("silver"))
-        return write_tables(config.writer("gold"), {name: partial_states(silver)["fact"]}, {name: spec})
+        return write_tables(config.writer("gold"), {_FACT: fact_of(silver)}, {_FACT: spec})
     if changed:
-        config.writer("gold", overwrite_partitions="dynamic").write(fact, child=name, partition_by=spec)
+        config.writer("gold", overwrite_partitions="dynamic").write(fact_of(moved), child=_FACT, partition_by=spec)
     for date in gone:
-        delete_folder(spark, f"{config.path('gold', name)}/{DATE_FOLDER}{date}")
-    return {name: config.path("gold", name)}
+        delete_folder(spark, f"{config.path('gold', _FACT)}/{DATE_FOLDER}{date}")
+    return {_FACT: config.path("gold", _FACT)}
+
+
+def _stored_fact(spark: SparkSession, config: LakeConfig, fact: DataFrame, changed: list[str]) -> DataFrame:
+    """The rows of ``fact``, the changed dates' fact, as just written. A Gold
+    that isn't replaced by its writes holds others as well."""
+    path = config.path("gold", _FACT)
+    if config.mode_of("gold") != "overwrite" or not has_data_files(spark, path):
+        return fact
+    stored = read_layer(spark, path, config.format_of("gold"), fact.schema)
+    return stored.where(on_dates(changed)).select(*fact.columns)
 
 
 def _remove_unused(spark: SparkSession, state: GoldState, before: dict, dates: dict) -> None:
