@@ -68,6 +68,22 @@ def test_refresh_reads_the_changed_date_and_equals_a_rebuild(spark, lake):
     assert refresh_gold(spark, lake) == gold_refresh.GoldRefresh({}, [], [])
 
 
+def test_states_read_the_stored_fact(spark, lake, monkeypatch):
+    states, read = gold_refresh.partial_states, []
+
+    def partial_states(silver, fact):
+        read.append((fact.inputFiles(), {r.event_date for r in fact.select("event_date").distinct().collect()}))
+        return states(silver, fact)
+
+    monkeypatch.setattr(gold_refresh, "partial_states", partial_states)
+    refresh_gold(spark, lake)
+    change_one_date(spark, lake)
+    refresh_gold(spark, lake)
+    assert len(read) == 2 and read[1][1] == {DAY}
+    for files, _ in read:
+        assert files and all("/gold/recent_changes/fact_recent_changes/" in f for f in files)
+
+
 def test_refresh_drops_dates_that_are_gone(spark, lake):
     refresh_gold(spark, lake)
     gone = sorted(date_files(spark, lake.path("silver")))[3]
