@@ -24,8 +24,10 @@ def clean_text(text: Column | str) -> Column:
     (its blanks would be collapsed anyway); the possessive group is a loop of
     the regex engine, where a plain one recurses once per repetition and
     overflows the task's stack on a text with some thousands of tags in a row.
+    A text without ``<`` meets no pattern of tags.
     """
-    value = F.regexp_replace(F.coalesce(as_column(text), F.lit("")), TAGS, " ")
+    value = F.coalesce(as_column(text), F.lit(""))
+    value = F.when(F.contains(value, F.lit("<")), F.regexp_replace(value, TAGS, " ")).otherwise(value)
     for entity, plain in ENTITIES:
         value = F.replace(value, F.lit(entity), F.lit(plain))
     return F.trim(F.regexp_replace(value, BLANKS, " "))

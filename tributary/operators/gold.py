@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -15,6 +15,7 @@ from tributary.operators.aggregates import (
     label_counts,
     recent_events_of,
 )
+from tributary.operators.silver import keep_one_per_key
 from tributary.operators.star import (
     add_star_schema_keys,
     build_dimensions,
@@ -22,11 +23,13 @@ from tributary.operators.star import (
 )
 
 
-def build_model(silver: DataFrame) -> dict[str, DataFrame]:
+def build_model(
+    silver: DataFrame, one_per_key: Callable[[DataFrame, str], DataFrame] = keep_one_per_key
+) -> dict[str, DataFrame]:
     """Silver -> 5 dimensions and the fact."""
     modeled = add_star_schema_keys(silver)
     tables = build_dimensions(modeled)
-    tables["fact_recent_changes"] = build_fact_recent_changes(modeled)
+    tables["fact_recent_changes"] = build_fact_recent_changes(modeled, one_per_key)
     return tables
 
 

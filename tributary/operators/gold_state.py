@@ -14,7 +14,7 @@ leaves its dimension, which keeps the distinct counts exact.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -28,6 +28,7 @@ from tributary.operators.aggregates import (
     labelled_counts,
     recent_events_snapshot,
 )
+from tributary.operators.silver import keep_one_per_key
 from tributary.operators.star import add_star_schema_keys, build_fact_recent_changes
 from tributary.schemas import SNAPSHOT_ROWS
 
@@ -40,9 +41,9 @@ DIMENSIONS = {
 }
 
 
-def fact_of(silver: DataFrame) -> DataFrame:
+def fact_of(silver: DataFrame, one_per_key: Callable[[DataFrame, str], DataFrame] = keep_one_per_key) -> DataFrame:
     """The fact rows of the dates in ``silver``."""
-    return build_fact_recent_changes(add_star_schema_keys(silver))
+    return build_fact_recent_changes(add_star_schema_keys(silver), one_per_key)
 
 
 def partial_states(silver: DataFrame, fact: DataFrame) -> dict[str, DataFrame]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,46 @@ def keep_one_per_key(
     )
 
 
+#: Repeated keys that travel to every task; beyond, all rows are grouped.
+MOST_REPEATED = 500_000
+
+
+@contextmanager
+def one_per_repeated_key(
+    rows: DataFrame, key: str, by: Sequence[str] = (), most: int = MOST_REPEATED
+) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``keep_one_per_key`` for ``rows`` that are stored or persisted, so cheap
+    to read again, and for parts of them: the same rows, but only those whose
+    key repeats are sorted and sent.
+
+    The repeated keys (null is one) are counted on the key column alone, and are
+    held until the block ends. All other rows stay in the tasks that read them;
+    the deduplicated ones are rebalanced on ``by`` where that is given.
+    """
+    repeated = rows.groupBy(key).agg(F.count("*").alias("_rows")).where("_rows > 1")
+    repeated = repeated.select(F.col(key).alias("_repeated")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = repeated.count()
+
+        def sent(df: DataFrame) -> DataFrame:
+            kept = keep_one_per_key(df, key)
+            return kept.hint("rebalance", *by) if by else kept
+
+        def keep(df: DataFrame, own_key: str) -> DataFrame:
+            if own_key != key:
+                raise ValueError(f"The repeated values are those of {key}, not of {own_key}.")
+            if not found:
+                return df
+            if found > most:
+                return sent(df)
+            again, same = F.broadcast(repeated), F.col(key).eqNullSafe(F.col("_repeated"))
+            return df.join(again, same, "left_anti").unionByName(sent(df.join(again, same, "left_semi")))
+
+        yield keep
+    finally:
+        repeated.unpersist()
+
+
 def structural_filter(df: DataFrame) -> DataFrame:
     """Drop rows whose identifying fields did not parse."""
     return df.dropna(how="any", subset=list(STRUCTURAL_COLUMNS))
@@ -76,12 +118,16 @@ def silver_projection(df: DataFrame) -> DataFrame:
     return df.select(*SILVER_COLUMNS, *extra)
 
 
-def transform_to_silver(loaded: DataFrame) -> DataFrame:
+def transform_to_silver(
+    loaded: DataFrame, one_per_key: Callable[[DataFrame, str], DataFrame] = keep_one_per_key
+) -> DataFrame:
     """Structural filter -> dedup by meta_id -> clean -> project.
 
     Dedup comes before the time filter, as in the original order, and keeps
     the lowest (topic, partition, offset) so reruns give the same rows. One
-    shuffle, on ``meta_id``; the output stays hash-partitioned on it.
+    shuffle, on ``meta_id``; the output stays hash-partitioned on it. Of a
+    persisted frame ``one_per_repeated_key`` gives the same rows and shuffles
+    those with a repeated ``meta_id`` only.
     """
-    deduped = keep_one_per_key(silver_inputs(structural_filter(loaded)), "meta_id")
+    deduped = one_per_key(silver_inputs(structural_filter(loaded)), "meta_id")
     return silver_projection(clean_events(deduped))

@@ -27,6 +27,7 @@ from pyspark.sql.types import StructType
 
 from tributary.operators.aggregates import BREAKDOWNS
 from tributary.operators.gold_state import fact_of, gold_of_states, moved_totals, partial_states
+from tributary.operators.silver import one_per_repeated_key
 from tributary.plans.jobs import LakeConfig, run_silver_to_gold
 from tributary.sinks.lake import LayerWriter, run_concurrently, write_tables
 from tributary.sinks.manifest import Manifest
@@ -127,11 +128,13 @@ def _move_fact(
     """Replace the changed dates of the stored fact (``moved``: their Silver),
     and drop those that are gone."""
     spec = config.gold_partitions.get(_FACT, "")
-    if first:
-        return write_tables(config.writer("gold"), {_FACT: fact_of(moved)}, {_FACT: spec})
-    if partition_columns(spec) != ["event_date"]:
-        silver = read_layer(spark, config.path("silver"), config.format_of("silver"))
-        return write_tables(config.writer("gold"), {_FACT: fact_of(silver)}, {_FACT: spec})
+    date = ["event_date"]
+    by_date = partition_columns(spec) == date
+    if first or not by_date:
+        silver = moved if first else read_layer(spark, config.path("silver"), config.format_of("silver"))
+        with one_per_repeated_key(silver, "meta_id", by=date if by_date else ()) as one_per_key:
+            fact = fact_of(silver, one_per_key)
+            return write_tables(config.writer("gold"), {_FACT: fact}, {_FACT: spec}, dealt={_FACT} if by_date else ())
     if changed:
         config.writer("gold", overwrite_partitions="dynamic").write(fact_of(moved), child=_FACT, partition_by=spec)
     for date in gone:

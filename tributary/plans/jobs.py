@@ -31,7 +31,7 @@ from tributary.operators.quality import (
     split_valid_and_quarantine,
     window_bounds,
 )
-from tributary.operators.silver import transform_to_silver
+from tributary.operators.silver import keep_one_per_key, one_per_repeated_key, transform_to_silver
 from tributary.schemas import (
     BRONZE_KEY,
     BRONZE_PARTITIONS,
@@ -335,7 +335,8 @@ def run_bronze_to_silver(
 
     The classified frame is persisted, so Bronze is scanned and parsed once
     for both outputs (a lost executor only recomputes its blocks); the raw
-    message stays in it for rejected rows only.
+    message stays in it for rejected rows only. In a full run only rows whose
+    ``meta_id`` repeats are sorted and sent to be deduplicated.
 
     Silver holds one row per ``meta_id`` after any order of runs. A full run
     replaces Silver: of the copies of a ``meta_id`` the lowest (topic,
@@ -371,10 +372,13 @@ def run_bronze_to_silver(
         before = _stored_dates(spark, config, window) if windowed_run else {}
         observation = Observation("quarantine")
         rows = [F.count(F.lit(1)).alias("rows")]
-        with _silver_outside(spark, config, window) if windowed_run else nullcontext() as outside:
+        with (
+            _silver_outside(spark, config, window) if windowed_run else nullcontext() as outside,
+            nullcontext(keep_one_per_key) if windowed_run else one_per_repeated_key(valid, "meta_id") as one_per_key,
+        ):
             if outside is not None:
                 valid = valid.join(outside, "meta_id", "left_anti")
-            silver = transform_to_silver(valid)
+            silver = transform_to_silver(valid, one_per_key)
             paths = run_concurrently(
                 {
                     "silver": lambda: config.writer("silver", overwrite_partitions=overwrite).write(silver),
@@ -414,8 +418,15 @@ def run_silver_to_gold(spark: SparkSession, config: LakeConfig) -> dict[str, str
     """
     silver = read_layer(spark, config.path("silver"), config.format_of("silver"))
     gold = config.writer("gold")
-    model = build_model(silver)
-    paths = write_tables(gold, model, config.gold_partitions)
+    # The fact has Silver's rows: where both lie by date, its tasks read the
+    # dates that they write.
+    fact, date = "fact_recent_changes", ["event_date"]
+    by_date = all(
+        partition_columns(p) == date for p in (config.silver_partitions, config.gold_partitions.get(fact))
+    )
+    with one_per_repeated_key(silver, "meta_id", by=date if by_date else ()) as one_per_key:
+        model = build_model(silver, one_per_key)
+        paths = write_tables(gold, model, config.gold_partitions, dealt={fact} if by_date else ())
     written = read_gold_tables(spark, config, model)
     aggregates = build_serving_tables(written, materialize=cut_lineage)  # a top-k of 100 rows
     paths.update(write_tables(gold, aggregates, config.gold_partitions))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import TypeVar
@@ -88,6 +88,7 @@ class LayerWriter:
         child: str | None = None,
         partition_by: str | None = None,
         observe: tuple[Observation, Sequence[Column]] | None = None,
+        rebalance: bool = True,
     ) -> str:
         path = self.path.rstrip("/") + (f"/{child.strip('/')}" if child else "")
         return write_layer(
@@ -97,6 +98,7 @@ class LayerWriter:
             output_format=self.output_format,
             partition_by=self.partition_by if partition_by is None else partition_by,
             overwrite_partitions=self.overwrite_partitions,
+            rebalance=rebalance,
             observe=observe,
         )
 
@@ -106,6 +108,7 @@ def write_tables(
     tables: Mapping[str, DataFrame],
     partitions: Mapping[str, str],
     parallel: int = 8,
+    dealt: Collection[str] = (),
 ) -> dict[str, str]:
     """Each table to its own folder with its own partition columns (K6).
 
@@ -114,10 +117,17 @@ def write_tables(
     jobs no longer leave most executor slots idle while each one finishes.
     Frames persisted upstream are computed once (concurrent tasks wait for the
     block being cached instead of computing it twice).
+
+    Tables named in ``dealt`` come in tasks of few partition values already
+    (read from a layer with the same partitions) and are not rebalanced.
     """
     return run_concurrently(
         {
-            name: (lambda df=df, name=name: writer.write(df, child=name, partition_by=partitions.get(name, "")))
+            name: (
+                lambda df=df, name=name: writer.write(
+                    df, child=name, partition_by=partitions.get(name, ""), rebalance=name not in dealt
+                )
+            )
             for name, df in tables.items()
         },
         parallel,
