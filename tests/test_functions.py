@@ -122,6 +122,19 @@ def test_clean_text_is_its_steps_one_after_another(spark):
     assert one(spark, clean_text("t"), [(t,) for t in texts], "t string") == want
 
 
+def test_clean_text_takes_one_pass_of_patterns(spark, tmp_path, capsys):
+    spark.createDataFrame([(1, "<p>x</p>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    queries()["clean_text_long"](spark, str(tmp_path)).explain("extended")
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimized.count("regexp_replace(") == 1
+
+
+@pytest.mark.parametrize("text", ["<b><i", "<<b>>", "&nbsp;<b>&#160;\t</b> ", "&nb<b>sp;", "&amp;nbsp;&nbsp;", "&nbsp", "&#16&nbsp;0;", "<\n>", "a<b", ""])
+def test_clean_text_where_gaps_meet(spark, text):
+    want = re.sub("[ \t\n]+", " ", re.sub("&nbsp;|&#160;", " ", re.sub("<[^>]*>", " ", text))).replace("&amp;", "&").strip(" ")
+    assert one(spark, clean_text("t"), [(text,)], "t string") == [want]
+
+
 def test_long_texts_are_dealt_to_all_cores(spark, tmp_path):
     pages = spark.createDataFrame([(i % 2 or None, "<p>x</p>") for i in range(64)], "page_id long, html string")
     pages.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")

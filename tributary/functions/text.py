@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tributary.functions.util import as_column
 
 # --- fixed values: clean-up steps, applied in this order --------------------
-TAGS = r"(?:<[^>]*+>)++"
-ENTITIES = (("&nbsp;", " "), ("&#160;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
-BLANKS = r"\s+"
+#: Runs of what ends up as blanks: blanks, tags, hard spaces. The class in front
+#: turns away every other position at once; a run of one kind stays in its inner loop.
+GAPS = r"(?=[\s<&])(?:\s+|(?:<[^>]*>)++|(?:&nbsp;)++|(?:&#160;)++)++"
+ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
 # ---------------------------------------------------------------------------
 
 
@@ -20,17 +21,17 @@ def clean_text(text: Column | str) -> Column:
     Null becomes ``''``. Each step runs once, so ``&amp;quot;`` ends up as
     ``&quot;`` and ``&lt;`` stays. ``trim`` removes spaces only.
 
-    Entities are fixed texts and take no pattern. A run of tags is one match
-    (its blanks would be collapsed anyway); the possessive group is a loop of
-    the regex engine, where a plain one recurses once per repetition and
-    overflows the task's stack on a text with some thousands of tags in a row.
-    A text without ``<`` meets no pattern of tags.
+    Tags, hard spaces and blanks all end up as one space, so a run of them is
+    one match of one pass, however they are mixed: none of them can come out of
+    the others' removal. The possessive groups are loops of the regex engine,
+    where plain ones recurse once per repetition and overflow the task's stack
+    on a text with some thousands of tags in a row. The other entities are fixed
+    texts and take no pattern.
     """
-    value = F.coalesce(as_column(text), F.lit(""))
-    value = F.when(F.contains(value, F.lit("<")), F.regexp_replace(value, TAGS, " ")).otherwise(value)
+    value = F.regexp_replace(F.coalesce(as_column(text), F.lit("")), GAPS, " ")
     for entity, plain in ENTITIES:
         value = F.replace(value, F.lit(entity), F.lit(plain))
-    return F.trim(F.regexp_replace(value, BLANKS, " "))
+    return F.trim(value)
 
 
 def blank_to_null(text: Column | str) -> Column:
