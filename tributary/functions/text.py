@@ -11,6 +11,7 @@ from tributary.functions.util import as_column
 #: Runs of what ends up as blanks: blanks, tags, hard spaces. The class in front
 #: turns away every other position at once; a run of one kind stays in its inner loop.
 GAPS = r"(?=[\s<&])(?:\s+|(?:<[^>]*>)++|(?:&nbsp;)++|(?:&#160;)++)++"
+BLANKS = r"\s+"
 ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
 # ---------------------------------------------------------------------------
 
@@ -26,9 +27,11 @@ def clean_text(text: Column | str) -> Column:
     the others' removal. The possessive groups are loops of the regex engine,
     where plain ones recurse once per repetition and overflow the task's stack
     on a text with some thousands of tags in a row. The other entities are fixed
-    texts and take no pattern.
+    texts and take no pattern. Without ``<`` and ``&`` all gaps are blanks.
     """
-    value = F.regexp_replace(F.coalesce(as_column(text), F.lit("")), GAPS, " ")
+    value = F.coalesce(as_column(text), F.lit(""))
+    marked = F.contains(value, F.lit("<")) | F.contains(value, F.lit("&"))
+    value = F.when(marked, F.regexp_replace(value, GAPS, " ")).otherwise(F.regexp_replace(value, BLANKS, " "))
     for entity, plain in ENTITIES:
         value = F.replace(value, F.lit(entity), F.lit(plain))
     return F.trim(value)
